@@ -248,3 +248,111 @@ def oracle(body: str, extra_ctes: list[tuple[str, str]] | None = None) -> str:
     """Prefix ``body`` (a SELECT) with the catalogue mapping as CTEs, plus optional extra CTEs."""
     ctes = ORACLE_CTES + list(extra_ctes or [])
     return "WITH " + ",\n".join(f"{name} AS ({sql.strip()})" for name, sql in ctes) + "\n" + body.strip()
+
+
+# ---------------------------------------------------------------------------
+# Incoming sample batches for the ingest operators.
+# Each lineitem row is one record of sample SRR<suppkey> (load order = suppkey), so an id
+# (part, line number) arrives from several samples and the first writer must win.
+# ---------------------------------------------------------------------------
+AS_OF = "2000-01-01 00:00:00"
+
+ANN_FIELDS = [
+    "seed_ortholog", "evalue", "score", "eggNOG_OGs", "max_annot_lvl", "COG_category", "Description", "Preferred_name",
+    "GOs", "EC", "KEGG_ko", "KEGG_Pathway", "KEGG_Module", "KEGG_Reaction", "KEGG_rclass", "BRITE", "KEGG_TC", "CAZy",
+    "BiGG_Reaction", "PFAMs", "sample_id",
+]
+
+
+def incoming(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    li = read_table(spark, sf_dir, "lineitem")
+    part = read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_brand", "p_size")
+    j = li.join(part, F.col("l_partkey") == F.col("p_partkey"))
+    sample = F.concat(F.lit("SRR"), _s("l_suppkey"))
+    rank = F.col("l_suppkey").cast("int")
+    protein = F.concat(F.lit("v1_DLS_"), _s("l_partkey"), F.lit(".p"), _s("l_linenumber"))
+    proteins = j.select(
+        protein.alias("seqhash_id"), F.concat(F.col("p_name"), F.lit(" "), F.col("p_type")).alias("sequence"),
+        sample.alias("sample_id"), rank.alias("sample_rank"),
+    )
+    qty = F.col("l_quantity").cast("int")
+    dash = F.lit("-")
+    ann = j.filter(F.col("l_partkey") % ANNOTATED_EVERY != 0).select(
+        protein.alias("query"),
+        F.concat(F.lit("2711.XP_"), _s("l_partkey")).alias("seed_ortholog"),
+        F.when(F.col("l_partkey") % 7 == 0, dash).otherwise(
+            F.concat(_s("l_partkey"), F.lit("e-"), _s("l_linenumber"))).alias("evalue"),
+        qty.cast("string").alias("score"),
+        F.concat(F.lit("COG"), (F.col("l_partkey") % 89).cast("string"), F.lit("@1|root")).alias("eggNOG_OGs"),
+        F.lit("1|root").alias("max_annot_lvl"),
+        F.when(F.col("p_type") == "ECONOMY", "Q").when(F.col("p_type") == "SMALL", "QE")
+        .when(F.col("p_type") == "STANDARD", "KL").otherwise("S").alias("COG_category"),
+        F.col("p_name").alias("Description"),
+        F.col("p_brand").alias("Preferred_name"),
+        F.when(F.col("l_partkey") % 5 == 0, dash).otherwise(F.concat(
+            F.lit("GO:"), F.split_part("p_name", F.lit(" "), F.lit(1)), F.lit(",GO:"),
+            F.split_part("p_name", F.lit(" "), F.lit(2)))).alias("GOs"),
+        F.when(F.col("p_size") < 10, F.concat(F.lit("EC:1."), (F.col("p_size") % 7).cast("string"))).otherwise(dash).alias("EC"),
+        F.when(qty % 2 == 0, F.concat(F.lit("ko:K"), (qty % 50).cast("string"))).otherwise(dash).alias("KEGG_ko"),
+        F.when(qty % 3 == 0, F.concat(F.lit("map"), (qty % 9).cast("string"))).otherwise(dash).alias("KEGG_Pathway"),
+        *[dash.alias(c) for c in ("KEGG_Module", "KEGG_Reaction", "KEGG_rclass", "BRITE", "KEGG_TC", "CAZy", "BiGG_Reaction")],
+        F.when(qty % 5 == 0, F.concat(F.lit("PF"), (qty % 97).cast("string"))).otherwise(dash).alias("PFAMs"),
+        sample.alias("sample_id"), rank.alias("sample_rank"),
+    )
+    quant = li.groupBy("l_partkey", "l_suppkey").agg(
+        (F.max("l_extendedprice") * F.min("l_discount") / 50).alias("tpm"),
+        F.sum("l_quantity").alias("num_reads"),
+        (F.min("l_quantity") + 0.5).alias("effective_length"),
+    ).select(
+        F.concat(F.lit("v1_DLS_"), _s("l_partkey")).alias("gene_seqhash_id"), sample.alias("sample_id"),
+        "tpm", "num_reads", "effective_length", rank.alias("sample_rank"),
+    )
+    samples = read_table(spark, sf_dir, "supplier").select(
+        F.concat(F.lit("SRR"), _s("s_suppkey")).alias("sample_id"), F.col("s_suppkey").cast("int").alias("sample_rank")
+    )
+    return {"proteins": proteins, "annotations": ann, "quant": quant, "samples": samples}
+
+
+INCOMING_CTES: list[tuple[str, str]] = [
+    ("in_proteins", """
+SELECT 'v1_DLS_'||CAST(l_partkey AS VARCHAR)||'.p'||CAST(l_linenumber AS VARCHAR) AS seqhash_id,
+       p_name||' '||p_type AS sequence, 'SRR'||CAST(l_suppkey AS VARCHAR) AS sample_id, CAST(l_suppkey AS INT) AS sample_rank
+FROM lineitem JOIN part ON l_partkey = p_partkey"""),
+    ("in_annotations", f"""
+SELECT 'v1_DLS_'||CAST(l_partkey AS VARCHAR)||'.p'||CAST(l_linenumber AS VARCHAR) AS query,
+       '2711.XP_'||CAST(l_partkey AS VARCHAR) AS seed_ortholog,
+       CASE WHEN l_partkey % 7 = 0 THEN '-' ELSE CAST(l_partkey AS VARCHAR)||'e-'||CAST(l_linenumber AS VARCHAR) END AS evalue,
+       CAST(CAST(l_quantity AS INT) AS VARCHAR) AS score,
+       'COG'||CAST(l_partkey % 89 AS VARCHAR)||'@1|root' AS eggNOG_OGs, '1|root' AS max_annot_lvl,
+       CASE p_type WHEN 'ECONOMY' THEN 'Q' WHEN 'SMALL' THEN 'QE' WHEN 'STANDARD' THEN 'KL' ELSE 'S' END AS COG_category,
+       p_name AS Description, p_brand AS Preferred_name,
+       CASE WHEN l_partkey % 5 = 0 THEN '-' ELSE 'GO:'||split_part(p_name,' ',1)||',GO:'||split_part(p_name,' ',2) END AS GOs,
+       CASE WHEN p_size < 10 THEN 'EC:1.'||CAST(p_size % 7 AS VARCHAR) ELSE '-' END AS EC,
+       CASE WHEN CAST(l_quantity AS INT) % 2 = 0 THEN 'ko:K'||CAST(CAST(l_quantity AS INT) % 50 AS VARCHAR) ELSE '-' END AS KEGG_ko,
+       CASE WHEN CAST(l_quantity AS INT) % 3 = 0 THEN 'map'||CAST(CAST(l_quantity AS INT) % 9 AS VARCHAR) ELSE '-' END AS KEGG_Pathway,
+       '-' AS KEGG_Module, '-' AS KEGG_Reaction, '-' AS KEGG_rclass, '-' AS BRITE, '-' AS KEGG_TC, '-' AS CAZy,
+       '-' AS BiGG_Reaction,
+       CASE WHEN CAST(l_quantity AS INT) % 5 = 0 THEN 'PF'||CAST(CAST(l_quantity AS INT) % 97 AS VARCHAR) ELSE '-' END AS PFAMs,
+       'SRR'||CAST(l_suppkey AS VARCHAR) AS sample_id, CAST(l_suppkey AS INT) AS sample_rank
+FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_partkey % {ANNOTATED_EVERY} <> 0"""),
+    ("in_quant", """
+SELECT 'v1_DLS_'||CAST(l_partkey AS VARCHAR) AS gene_seqhash_id, 'SRR'||CAST(l_suppkey AS VARCHAR) AS sample_id,
+       max(l_extendedprice)*min(l_discount)/50 AS tpm, sum(l_quantity) AS num_reads, min(l_quantity)+0.5 AS effective_length,
+       CAST(l_suppkey AS INT) AS sample_rank
+FROM lineitem GROUP BY l_partkey, l_suppkey"""),
+    ("in_samples", "SELECT 'SRR'||CAST(s_suppkey AS VARCHAR) AS sample_id, CAST(s_suppkey AS INT) AS sample_rank FROM supplier"),
+    ("in_first", "SELECT seqhash_id, min(sample_rank) AS first_rank FROM in_proteins GROUP BY seqhash_id"),
+    ("in_seq", f"""
+SELECT seqhash_id, sequence, sample_id, TIMESTAMP '{AS_OF}' AS assembly_date, FALSE AS is_representative,
+       seqhash_id AS repseq_id, CAST(length(sequence) AS INT) AS length
+FROM (SELECT *, row_number() OVER (PARTITION BY seqhash_id ORDER BY sample_rank, sequence) AS rn FROM in_proteins) t
+WHERE rn = 1"""),
+    ("in_ann_first", f"""
+SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query ORDER BY sample_rank, {", ".join(ANN_FIELDS)}) AS rn
+               FROM in_annotations WHERE query IN (SELECT seqhash_id FROM in_seq)) t WHERE rn = 1"""),
+]
+
+
+def oracle_incoming(body: str) -> str:
+    ctes = list(INCOMING_CTES)
+    return "WITH " + ",\n".join(f"{n} AS ({s.strip()})" for n, s in ctes) + "\n" + body.strip()
