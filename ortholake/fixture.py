@@ -356,3 +356,70 @@ SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query ORDER BY sample_r
 def oracle_incoming(body: str) -> str:
     ctes = list(INCOMING_CTES)
     return "WITH " + ",\n".join(f"{n} AS ({s.strip()})" for n, s in ctes) + "\n" + body.strip()
+
+
+# ---------------------------------------------------------------------------
+# Inputs for merge and cluster maintenance, derived from the mapped catalogue.
+# ---------------------------------------------------------------------------
+def _parity(col: str):
+    return F.substring(F.col(col), 4, 64).cast("bigint") % 2
+
+
+def split_catalog(cat: Catalog) -> tuple[Catalog, Catalog]:
+    """Two source catalogues: A holds even-numbered samples, B odd ones. Both carry every
+    metadata row (A with 'A:'-prefixed titles, so first-wins is visible) and every cluster;
+    B uses the version-1 schema (no is_representative)."""
+    even = {}
+    odd = {}
+    for part, keep in ((even, 0), (odd, 1)):
+        seqs = cat.sequences.filter(_parity("sample_id") == keep)
+        ids = seqs.select("seqhash_id")
+        part["sequences"] = seqs
+        for t in ("annotations", "kegg_info"):
+            part[t] = cat[t].filter(_parity("sample_id") == keep)
+        part["expression"] = cat.expression.filter(_parity("sample_id") == keep)
+        for t in ("go_terms", "ec_numbers", "cluster_members"):
+            part[t] = cat[t].join(ids, "seqhash_id", "left_semi")
+        part["gene_protein_map"] = cat.gene_protein_map.join(
+            ids.select(F.col("seqhash_id").alias("protein_seqhash_id")), "protein_seqhash_id", "left_semi")
+        part["clusters"] = cat.clusters
+    even["sra_metadata"] = cat.sra_metadata.withColumn("study_title", F.concat(F.lit("A:"), F.col("study_title")))
+    odd["sra_metadata"] = cat.sra_metadata
+    odd["sequences"] = odd["sequences"].drop("is_representative")
+    return Catalog(cat.spark, even), Catalog(cat.spark, odd)
+
+
+def cluster_edges(cat: Catalog) -> DataFrame:
+    """Edge list of the current clustering plus edges naming ids absent from the catalogue."""
+    s = cat.sequences
+    edges = s.select(F.col("repseq_id").alias("representative"), F.col("seqhash_id").alias("member"))
+    ghost_members = s.filter(F.col("seqhash_id").endswith(".p1")).select(
+        F.col("seqhash_id").alias("representative"), F.concat(F.split_part("seqhash_id", F.lit(".p"), F.lit(1)), F.lit(".p9")).alias("member"))
+    ghost_reps = s.filter(F.col("seqhash_id").endswith(".p2")).select(
+        F.concat(F.lit("v1_MISSING_"), F.col("seqhash_id")).alias("representative"), F.col("seqhash_id").alias("member"))
+    return edges.unionByName(ghost_members).unionByName(ghost_reps)
+
+
+def recluster_edges(cat: Catalog, groups: int = 97) -> DataFrame:
+    """A different clustering: sequences grouped by length modulo ``groups``, representative =
+    smallest id of the group (aggregate of at most ``groups`` rows, broadcast)."""
+    s = cat.sequences.select("seqhash_id", (F.col("length") % groups).alias("g"))
+    reps = s.groupBy("g").agg(F.min("seqhash_id").alias("representative"))
+    return s.join(F.broadcast(reps), "g").select("representative", F.col("seqhash_id").alias("member"))
+
+
+MAINTAIN_CTES: list[tuple[str, str]] = [
+    ("edges", """
+SELECT repseq_id AS representative, seqhash_id AS member FROM sequences
+UNION ALL SELECT seqhash_id, split_part(seqhash_id, '.p', 1)||'.p9' FROM sequences WHERE ends_with(seqhash_id, '.p1')
+UNION ALL SELECT 'v1_MISSING_'||seqhash_id, seqhash_id FROM sequences WHERE ends_with(seqhash_id, '.p2')"""),
+    ("edges2", """
+SELECT min(seqhash_id) OVER (PARTITION BY length % 97) AS representative, seqhash_id AS member FROM sequences"""),
+    ("valid_edges", """
+SELECT * FROM edges WHERE representative IN (SELECT seqhash_id FROM sequences)
+                      AND member IN (SELECT seqhash_id FROM sequences)"""),
+]
+
+
+def oracle_maintain(body: str) -> str:
+    return oracle(body, MAINTAIN_CTES)
