@@ -423,3 +423,56 @@ SELECT * FROM edges WHERE representative IN (SELECT seqhash_id FROM sequences)
 
 def oracle_maintain(body: str) -> str:
     return oracle(body, MAINTAIN_CTES)
+
+
+# ---------------------------------------------------------------------------
+# The document corpus as a second catalogue (sequence = text, sample = source), used by
+# the sequence-set operators and the search-result joins.
+# ---------------------------------------------------------------------------
+def document_catalog(spark: SparkSession, sf_dir: str) -> Catalog:
+    docs = read_table(spark, sf_dir, "documents")
+    labels = read_table(spark, sf_dir, "labels")
+    sid = F.concat(F.lit("doc_"), _s("doc_id"))
+    d = docs.select(sid.alias("seqhash_id"), F.col("text").alias("sequence"), F.col("source").alias("sample_id"),
+                    F.col("lang"), F.sha2(F.col("text"), 256).alias("h"))
+    reps = d.groupBy("h").agg(F.min("seqhash_id").alias("repseq_id"))
+    seqs = d.join(reps, "h").select(
+        "seqhash_id", "sequence", "sample_id", F.lit(None).cast("timestamp_ntz").alias("assembly_date"),
+        (F.col("seqhash_id") == F.col("repseq_id")).alias("is_representative"), "repseq_id",
+        F.length("sequence").cast("int").alias("length"),
+    )
+    meta = docs.groupBy(F.col("source").alias("sample_id")).agg(F.min("lang").alias("organism"))
+    ann = labels.join(docs.select("doc_id", "source"), "doc_id").select(
+        F.concat(F.lit("doc_"), _s("doc_id")).alias("seqhash_id"),
+        F.when(F.col("quality") == 1, "high quality").otherwise("low quality").alias("description"),
+        F.when(F.col("toxic") == 1, "toxic").otherwise("clean").alias("preferred_name"),
+        F.when(F.col("toxic") == 1, "V").otherwise("S").alias("cog_category"),
+        F.col("source").alias("sample_id"),
+    )
+    members = seqs.select("seqhash_id", F.col("repseq_id").alias("cluster_id"))
+    clusters = seqs.groupBy("repseq_id").agg(F.count(F.lit(1)).cast("int").alias("size")).select(
+        F.col("repseq_id").alias("cluster_id"), F.col("repseq_id").alias("representative_seqhash_id"), "size")
+    tables = {"sequences": seqs, "sra_metadata": meta, "annotations": ann, "cluster_members": members, "clusters": clusters}
+    return Catalog(spark, {k: conform(v, SCHEMA_V2[k]) for k, v in tables.items()})
+
+
+DOC_CTES: list[tuple[str, str]] = [
+    ("d_base", "SELECT 'doc_'||CAST(doc_id AS VARCHAR) AS seqhash_id, text AS sequence, source AS sample_id, lang, sha256(text) AS h FROM documents"),
+    ("d_seq", """
+SELECT seqhash_id, sequence, sample_id, CAST(NULL AS TIMESTAMP) AS assembly_date,
+       seqhash_id = min(seqhash_id) OVER (PARTITION BY h) AS is_representative,
+       min(seqhash_id) OVER (PARTITION BY h) AS repseq_id, CAST(length(sequence) AS INT) AS length FROM d_base"""),
+    ("d_meta", "SELECT source AS sample_id, min(lang) AS organism FROM documents GROUP BY source"),
+    ("d_ann", """
+SELECT 'doc_'||CAST(l.doc_id AS VARCHAR) AS seqhash_id,
+       CASE WHEN quality = 1 THEN 'high quality' ELSE 'low quality' END AS description,
+       CASE WHEN toxic = 1 THEN 'toxic' ELSE 'clean' END AS preferred_name,
+       CASE WHEN toxic = 1 THEN 'V' ELSE 'S' END AS cog_category, d.source AS sample_id
+FROM labels l JOIN documents d ON l.doc_id = d.doc_id"""),
+    ("d_members", "SELECT seqhash_id, repseq_id AS cluster_id FROM d_seq"),
+]
+
+
+def oracle_docs(body: str, extra: list[tuple[str, str]] | None = None) -> str:
+    ctes = DOC_CTES + list(extra or [])
+    return "WITH " + ",\n".join(f"{n} AS ({s.strip()})" for n, s in ctes) + "\n" + body.strip()

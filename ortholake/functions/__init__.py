@@ -12,5 +12,6 @@ from ortholake.functions.columns import (  # noqa: F401
     tpm_bucket,
     tpm_badge,
     word_shingles,
+    words,
     char_kmers,
 )

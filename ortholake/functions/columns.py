@@ -115,27 +115,35 @@ def cog_dimension(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(COG_CATEGORIES, schema)
 
 
+ASCII_LOWER = "abcdefghijklmnopqrstuvwxyz"
+ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+
 def content_id(seq: Column | str) -> Column:
-    """Content-derived sequence id: ``v1_`` + SHA-256 of the upper-cased sequence."""
+    """Content-derived sequence id: ``v1_`` + SHA-256 of the sequence with ASCII letters
+    upper-cased (sequence alphabets are ASCII; other characters are hashed as they are)."""
     s = F.col(seq) if isinstance(seq, str) else seq
-    return F.concat(F.lit("v1_"), F.sha2(F.upper(s), 256))
+    return F.concat(F.lit("v1_"), F.sha2(F.translate(s, ASCII_LOWER, ASCII_UPPER), 256))
 
 
-def word_shingles(text: Column | str, n: int) -> Column:
-    """Array of word n-grams (lower-cased, split on non-word runs), each joined by one space.
-
-    The whole text is used; a text with fewer than n words yields an empty array.
-    """
+def words(text: Column | str) -> Column:
+    """Lower-cased words of a text (split on runs of non-letter, non-digit characters)."""
     t = F.col(text) if isinstance(text, str) else text
-    words = F.filter(F.split(F.lower(t), r"[^\p{L}\p{N}]+"), lambda w: F.length(w) > 0)
-    m = F.size(words) - F.lit(n) + F.lit(1)
-    return F.when(
-        m > 0,
-        F.transform(
-            F.sequence(F.lit(1), F.greatest(m, F.lit(1))),
-            lambda i: F.array_join(F.slice(words, i, n), " "),
-        ),
-    ).otherwise(F.array().cast("array<string>"))
+    return F.filter(F.split(F.lower(t), r"[^\p{L}\p{N}]+"), lambda w: F.length(w) > 0)
+
+
+def word_shingles(text: Column | str, n: int) -> Column:
+    """Array of word n-grams of the whole text, each joined by one space; a text with fewer
+    than n words yields an empty array.
+
+    Built from n shifted slices zipped element-wise, so the cost is linear in the text: no
+    lambda refers back to the text (a lambda that did would re-split it per n-gram)."""
+    w = words(text)
+    m = F.size(w) - F.lit(n) + F.lit(1)
+    parts = [F.slice(w, k + 1, F.greatest(m, F.lit(1))) for k in range(n)]
+    zipped = F.arrays_zip(*parts)
+    grams = F.transform(zipped, lambda z: F.concat_ws(" ", *[z[str(k)] for k in range(n)]))
+    return F.when(m > 0, grams).otherwise(F.array().cast("array<string>"))
 
 
 def char_kmers(seq: Column | str, k: int) -> Column:
