@@ -12,6 +12,8 @@ from ortholake.functions.columns import (  # noqa: F401
     tpm_bucket,
     tpm_badge,
     word_shingles,
+    ngrams,
+    with_words,
     words,
     char_kmers,
 )

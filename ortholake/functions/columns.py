@@ -132,13 +132,13 @@ def words(text: Column | str) -> Column:
     return F.filter(F.split(F.lower(t), r"[^\p{L}\p{N}]+"), lambda w: F.length(w) > 0)
 
 
-def word_shingles(text: Column | str, n: int) -> Column:
-    """Array of word n-grams of the whole text, each joined by one space; a text with fewer
-    than n words yields an empty array.
+def ngrams(word_array: Column | str, n: int) -> Column:
+    """Word n-grams of an array of words, each joined by one space (empty when shorter than n).
 
-    Built from n shifted slices zipped element-wise, so the cost is linear in the text: no
-    lambda refers back to the text (a lambda that did would re-split it per n-gram)."""
-    w = words(text)
+    Built from n shifted slices zipped element-wise, so the cost is linear: no lambda refers
+    back to the text. Pass a *column* holding the words (see ``with_words``): an expression
+    here would be evaluated once per slice."""
+    w = F.col(word_array) if isinstance(word_array, str) else word_array
     m = F.size(w) - F.lit(n) + F.lit(1)
     parts = [F.slice(w, k + 1, F.greatest(m, F.lit(1))) for k in range(n)]
     zipped = F.arrays_zip(*parts)
@@ -146,6 +146,17 @@ def word_shingles(text: Column | str, n: int) -> Column:
     return F.when(m > 0, grams).otherwise(F.array().cast("array<string>"))
 
 
+def with_words(df: DataFrame, text_col: str, out: str = "_words") -> DataFrame:
+    """Add the word array of ``text_col`` as a column, computed once per row."""
+    return df.withColumn(out, words(text_col))
+
+
+def word_shingles(text: Column | str, n: int) -> Column:
+    """Word n-grams of a whole text as one expression (convenient for small inputs; operators
+    use ``with_words`` + ``ngrams`` so the text is split once)."""
+    return ngrams(words(text), n)
+
+
 def char_kmers(seq: Column | str, k: int) -> Column:
     """Array of all length-k substrings of a sequence (empty when shorter than k)."""
     s = F.col(seq) if isinstance(seq, str) else seq
