@@ -14,6 +14,7 @@ from ortholake.functions.columns import (  # noqa: F401
     word_shingles,
     ngrams,
     with_words,
+    with_ngrams,
     words,
     char_kmers,
 )

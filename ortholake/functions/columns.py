@@ -151,6 +151,15 @@ def with_words(df: DataFrame, text_col: str, out: str = "_words") -> DataFrame:
     return df.withColumn(out, words(text_col))
 
 
+def with_ngrams(df: DataFrame, words_col: str, n: int, out: str = "_ngrams") -> DataFrame:
+    """Add the word n-grams of ``words_col`` as a column using Spark ML's JVM-side ``NGram``
+    transformer (space-joined sliding windows; empty when there are fewer than n words).
+    Same result as ``ngrams`` without evaluating a lambda per n-gram."""
+    from pyspark.ml.feature import NGram
+
+    return NGram(n=n, inputCol=words_col, outputCol=out).transform(df)
+
+
 def word_shingles(text: Column | str, n: int) -> Column:
     """Word n-grams of a whole text as one expression (convenient for small inputs; operators
     use ``with_words`` + ``ngrams`` so the text is split once)."""

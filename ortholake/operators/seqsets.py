@@ -4,7 +4,7 @@ read filtering, homology search and clustering, as distributed table jobs.
 The studied system shells out to external tools for these; here each has a deterministic
 definition of its own (documented per function) so results are testable:
 
-* texts are compared through word n-gram shingles (``functions.ngrams`` over ``functions.with_words``) of the whole
+* texts are compared through word n-gram shingles (``functions.with_ngrams`` over ``functions.with_words``) of the whole
   text; a shingle index is a plain (id, shingle) table, and matching is an equi-join on the
   shingle after a semi-join has removed every shingle that cannot match;
 * ranking is exact: the per-query top-k is taken in two stages over salted groups, so a
@@ -21,7 +21,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ortholake.functions.columns import content_id, ngrams, with_words
+from ortholake.functions.columns import content_id, with_ngrams, with_words
 from ortholake.session import ensure_checkpoint_dir
 
 # Fixed parameters of the operators (defaults).
@@ -42,8 +42,8 @@ def content_ids(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
 # Shingle tables -------------------------------------------------------------
 def shingles(df: DataFrame, id_col: str, text_col: str, n: int, extra: list[str] | None = None) -> DataFrame:
     """Distinct (id, shingle) rows over the whole text (the text is split into words once)."""
-    w = with_words(df.select(id_col, *(extra or []), text_col), text_col)
-    return w.select(id_col, *(extra or []), F.explode(F.array_distinct(ngrams("_words", n))).alias("shingle"))
+    w = with_ngrams(with_words(df.select(id_col, *(extra or []), text_col), text_col), "_words", n)
+    return w.select(id_col, *(extra or []), F.explode(F.array_distinct("_ngrams")).alias("shingle"))
 
 
 # R2 -------------------------------------------------------------------------
@@ -92,7 +92,8 @@ def depth_normalize(reads: DataFrame, target: float, min_depth: float, n: int =
     """Normalise coverage: a read's depth is the (lower) median, over its n-gram occurrences, of
     how often each n-gram occurs in the whole read set. Reads below ``min_depth`` are dropped;
     reads above ``target`` are kept with probability target/depth using a deterministic draw."""
-    occ = with_words(reads.select(read_id, text_col), text_col).select(read_id, F.explode(ngrams("_words", n)).alias("shingle"))
+    occ = with_ngrams(with_words(reads.select(read_id, text_col), text_col), "_words", n).select(
+        read_id, F.explode("_ngrams").alias("shingle"))
     counts = occ.groupBy("shingle").agg(F.count(F.lit(1)).alias("c"))
     depth = occ.join(counts, "shingle").groupBy(read_id).agg(
         F.percentile_approx("c", F.lit(0.5), F.lit(1_000_000)).alias("depth")
@@ -170,8 +171,8 @@ def minhash_bands(df: DataFrame, id_col: str, text_col: str, n: int = SEARCH_NGR
     def perm(i: int):
         return lambda s: F.xxhash64(s, F.lit(i))
 
-    base = with_words(df.select(id_col, text_col), text_col).select(
-        id_col, F.array_distinct(ngrams("_words", n)).alias("_sh")).filter(F.size("_sh") > 0)
+    base = with_ngrams(with_words(df.select(id_col, text_col), text_col), "_words", n).select(
+        id_col, F.array_distinct("_ngrams").alias("_sh")).filter(F.size("_sh") > 0)
     s = base.select(id_col, F.array(*[F.array_min(F.transform(F.col("_sh"), perm(i))) for i in range(perms)]).alias("_sig"))
     keys = F.array(*[F.xxhash64(F.lit(b), F.slice(F.col("_sig"), b * rows + 1, rows)) for b in range(bands)])
     return s.select(id_col, F.explode(keys).alias("band_key"))
