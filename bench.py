@@ -14,6 +14,7 @@ import os
 import sys
 import tempfile
 import time
+import uuid
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -44,7 +45,9 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = local_session(cores=cpus, shuffle_partitions=int(cpus) * 2, app="ortholake-bench")
-    scratch = tempfile.mkdtemp(prefix="ortholake-bench-")
+    # Write the catalogue under the shared checkpoint folder the session names, if any.
+    ck = spark.conf.get("spark.checkpoint.dir", None)
+    scratch = os.path.join(ck, f"ortholake-bench-{uuid.uuid4().hex}") if ck else tempfile.mkdtemp(prefix="ortholake-bench-")
 
     t0 = time.perf_counter()
     fixture.build(spark, sf_dir).save(os.path.join(scratch, "catalog"), mode="overwrite")

@@ -544,3 +544,17 @@ def catalog_totals(cat: Catalog) -> DataFrame:
     u = reduce(DataFrame.unionAll, parts)
     return u.agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(n) for c, n in
                    (("s", "total_sequences"), ("c", "total_clusters"), ("m", "total_members"), ("d", "total_samples"))])
+
+
+def table_preview(cat: Catalog, n: int = 3) -> DataFrame:
+    """First ``n`` rows of every table by primary key, as (table_name, row_json): a top-k per
+    table (TakeOrderedAndProject), never a full sort."""
+    from ortholake.catalog import PRIMARY_KEYS
+
+    parts = []
+    for name in cat.names:
+        df = cat[name]
+        key = [k for k in PRIMARY_KEYS.get(name, []) if k in df.columns] or df.columns[:1]
+        top = df.orderBy(*key).limit(n)
+        parts.append(top.select(F.lit(name).alias("table_name"), F.to_json(F.struct(*key)).alias("row_key")))
+    return reduce(DataFrame.unionAll, parts)
