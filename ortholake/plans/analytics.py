@@ -20,7 +20,7 @@ from ortholake.functions.columns import (
     tpm_badge,
     tpm_bucket,
 )
-from ortholake.plans.common import id_filter
+from ortholake.plans.common import exact_median, id_filter
 from ortholake.plans.named import median
 
 
@@ -222,10 +222,12 @@ def length_histogram_bins(cat: Catalog, bins: int = 100) -> DataFrame:
 
 # N20 -----------------------------------------------------------------------
 def length_stats(cat: Catalog) -> DataFrame:
-    return cat.sequences.agg(
+    stats = cat.sequences.agg(
         F.count(F.lit(1)).alias("n"), F.min("length").alias("min_length"), F.max("length").alias("max_length"),
-        F.avg("length").alias("avg_length"), median("length").alias("median_length"),
+        F.avg("length").alias("avg_length"),
     )
+    med = exact_median(cat.sequences, "length", "median_length")
+    return stats.withColumn("_k", F.lit(1)).join(med.withColumn("_k", F.lit(1)), "_k").drop("_k")
 
 
 # N21 -----------------------------------------------------------------------

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -51,3 +51,37 @@ def flag(c: Column) -> Column:
 
 def empty_ids(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], T.StructType([T.StructField("seqhash_id", T.StringType())]))
+
+
+MEDIAN_BUCKETS = 1 << 16
+
+
+def exact_median(df: DataFrame, col: str, out: str = "median") -> DataFrame:
+    """Exact (interpolated) median of ``col`` as a one-row frame, without sending all values
+    to one task.
+
+    1. one-row stats (n, min, max); 2. an equal-width histogram of at most
+    ``MEDIAN_BUCKETS`` rows, whose running count finds the one or two buckets holding the
+    middle ranks; 3. only those buckets' rows are ranked, after collapsing equal values, so a
+    hot value cannot inflate the ranking step. NULLs are ignored; an empty input gives NULL."""
+    x = df.select(F.col(col).cast("double").alias("x")).filter(F.col("x").isNotNull())
+    stats = x.agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi")).withColumn("_k", F.lit(1))
+    span = F.col("hi") - F.col("lo")
+    bucket = F.when(span > 0, F.least(F.floor((F.col("x") - F.col("lo")) / span * MEDIAN_BUCKETS),
+                                      F.lit(MEDIAN_BUCKETS - 1))).otherwise(F.lit(0)).cast("long")
+    # one-row stats frame: a proven size bound for the broadcast
+    xb = x.withColumn("_k", F.lit(1)).join(F.broadcast(stats), "_k").withColumn("b", bucket)
+    k1 = F.floor((F.col("n") - 1) / 2)          # 0-based middle ranks
+    k2 = F.floor(F.col("n") / 2)
+    hist = xb.groupBy("b").agg(F.count(F.lit(1)).alias("c"), F.max("n").alias("n"))
+    # at most MEDIAN_BUCKETS rows: the running count below runs over a bounded frame
+    hist = hist.withColumn("cum", F.sum("c").over(Window.orderBy("b").rowsBetween(Window.unboundedPreceding, 0)))
+    hist = hist.withColumn("start", F.col("cum") - F.col("c"))
+    covers = lambda k: (F.col("start") <= k) & (k < F.col("cum"))
+    targets = hist.filter(covers(k1) | covers(k2)).select("b", "start")       # at most two rows
+    vals = xb.join(F.broadcast(targets), "b").groupBy("b", "start", "n", "x").agg(F.count(F.lit(1)).alias("cx"))
+    wv = Window.partitionBy("b").orderBy("x").rowsBetween(Window.unboundedPreceding, 0)
+    vals = vals.withColumn("vcum", F.col("start") + F.sum("cx").over(wv)).withColumn("vstart", F.col("vcum") - F.col("cx"))
+    hit = lambda k: (F.col("vstart") <= k) & (k < F.col("vcum"))
+    picked = vals.agg(F.max(F.when(hit(k1), F.col("x"))).alias("v1"), F.max(F.when(hit(k2), F.col("x"))).alias("v2"))
+    return picked.select(((F.col("v1") + F.col("v2")) / 2).alias(out))

@@ -26,7 +26,7 @@ from ortholake.functions.columns import (
     tpm_bucket,
     tpm_bucket_order,
 )
-from ortholake.plans.common import id_filter
+from ortholake.plans.common import exact_median, id_filter
 
 # Relative accuracy of the mergeable quantile sketch used for medians; exact below this
 # many values per group, bounded memory above.
@@ -305,21 +305,27 @@ def expression_distribution(cat: Catalog, sample_id: str | None = None) -> DataF
 # Q8 expression_summary
 # ---------------------------------------------------------------------------
 def expression_summary(cat: Catalog, sample_id: str | None = None) -> DataFrame:
+    """Expression statistics; the median is exact and interpolated (see ``exact_median``)."""
     e = cat.expression
     if sample_id is not None:
         e = e.filter(F.col("sample_id") == F.lit(sample_id))
     e = e.filter(F.col("sample_id").isNotNull())
-    return e.agg(
+    stats = e.agg(
         F.lit(sample_id if sample_id is not None else "all").alias("sample_id"),
         F.count(F.lit(1)).alias("expression_records"),
         round_half_up(F.min("tpm"), 2).alias("min_tpm"),
         round_half_up(F.max("tpm"), 2).alias("max_tpm"),
         round_half_up(F.avg("tpm"), 2).alias("mean_tpm"),
-        round_half_up(median("tpm"), 2).alias("median_tpm"),
         round_half_up(F.stddev_samp("tpm"), 2).alias("std_tpm"),
         round_half_up(F.avg("num_reads"), 2).alias("mean_reads"),
         round_half_up(F.sum("num_reads"), 0).alias("total_reads"),
     )
+    med = exact_median(e, "tpm", "m").select(round_half_up(F.col("m"), 2).alias("median_tpm"))
+    # two one-row frames joined on a constant key
+    return stats.withColumn("_k", F.lit(1)).join(med.withColumn("_k", F.lit(1)), "_k").select(
+        "sample_id", "expression_records", "min_tpm", "max_tpm", "mean_tpm", "median_tpm", "std_tpm", "mean_reads",
+        "total_reads",
+    )
 
 
 # ---------------------------------------------------------------------------

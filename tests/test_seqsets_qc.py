@@ -93,3 +93,23 @@ def test_n50_and_exn50_match_direct_computation(spark):
         sub = [r for r in rows if r[0] == f"S{s}"]
         assert got_n50[f"S{s}"] == _n50([r[2] for r in sub])
         assert got_ex[f"S{s}"] == _exn50([r[1] for r in sub], [r[2] for r in sub], [r[3] for r in sub])
+
+
+def test_exact_median_matches_numpy(spark):
+    import statistics
+
+    from ortholake.plans.common import exact_median
+
+    rnd = random.Random(5)
+    cases = [
+        [rnd.random() * 1000 for _ in range(1001)],
+        [rnd.random() * 1000 for _ in range(1000)],
+        [7.0] * 400 + [rnd.random() for _ in range(800)],       # a hot value holding a third of the rows
+        [3.0] * 10,
+        [1.0, 2.0],
+    ]
+    for vals in cases:
+        df = spark.createDataFrame([(v,) for v in vals], "v double")
+        got = exact_median(df, "v").first()[0]
+        assert abs(got - statistics.median(vals)) < 1e-9
+    assert exact_median(spark.createDataFrame([], "v double"), "v").first()[0] is None
