@@ -618,22 +618,32 @@ def sequence_by_id(cat: Catalog, seqhash_id=None) -> DataFrame:
 # Q18 sequence_expression
 # ---------------------------------------------------------------------------
 def resolve_genes(cat: Catalog, seq_id) -> DataFrame:
-    """Gene ids for a gene or protein id: an id containing ``.p`` is looked up in the gene map."""
+    """Gene ids for a gene or protein id: an id containing ``.p`` is looked up in the gene map.
+
+    Literal ids become literal filters (pushed to the Parquet scans); an id frame is joined."""
     if isinstance(seq_id, DataFrame):
         ids = seq_id.select(F.col(seq_id.columns[0]).alias("id"))
-    else:
-        vals = [seq_id] if isinstance(seq_id, str) else list(seq_id)
-        ids = cat.spark.createDataFrame([(v,) for v in vals], "id string")
-    is_protein = F.col("id").contains(".p")
-    genes = ids.filter(~is_protein).select(F.col("id").alias("gene_seqhash_id"))
-    prot = ids.filter(is_protein).select(F.col("id").alias("protein_seqhash_id"))
-    mapped = cat.gene_protein_map.join(prot, "protein_seqhash_id", "left_semi").select("gene_seqhash_id")
-    return genes.unionByName(mapped).distinct()
+        is_protein = F.col("id").contains(".p")
+        genes = ids.filter(~is_protein).select(F.col("id").alias("gene_seqhash_id"))
+        prot = ids.filter(is_protein).select(F.col("id").alias("protein_seqhash_id"))
+        mapped = cat.gene_protein_map.join(prot, "protein_seqhash_id", "left_semi").select("gene_seqhash_id")
+        return genes.unionByName(mapped).distinct()
+    vals = [seq_id] if isinstance(seq_id, str) else list(seq_id)
+    gene_vals = [v for v in vals if ".p" not in v]
+    prot_vals = [v for v in vals if ".p" in v]
+    mapped = cat.gene_protein_map.filter(F.col("protein_seqhash_id").isin(prot_vals)).select("gene_seqhash_id")
+    if gene_vals:
+        lit_genes = cat.spark.createDataFrame([(g,) for g in gene_vals], "gene_seqhash_id string")
+        mapped = mapped.unionByName(lit_genes)
+    return mapped.distinct()
 
 
 def sequence_expression(cat: Catalog, seq_id) -> DataFrame:
-    genes = resolve_genes(cat, seq_id)
-    e = cat.expression.join(genes, "gene_seqhash_id", "left_semi")
+    e = cat.expression
+    if isinstance(seq_id, str) and ".p" not in seq_id:
+        e = e.filter(F.col("gene_seqhash_id") == F.lit(seq_id))          # pushed to the scan
+    else:
+        e = e.join(resolve_genes(cat, seq_id), "gene_seqhash_id", "left_semi")
     sm = cat.sra_metadata.select("sample_id", "organism", "study_title")
     return (
         e.join(sm, "sample_id")
