@@ -50,7 +50,7 @@ def main() -> None:
     scratch = os.path.join(ck, f"ortholake-bench-{uuid.uuid4().hex}") if ck else tempfile.mkdtemp(prefix="ortholake-bench-")
 
     t0 = time.perf_counter()
-    fixture.build(spark, sf_dir).save(os.path.join(scratch, "catalog"), mode="overwrite")
+    fixture.build(spark, sf_dir, stage_dir=os.path.join(scratch, "stage")).save(os.path.join(scratch, "catalog"), mode="overwrite")
     build_s = round(time.perf_counter() - t0, 3)
     cat = Catalog.open(spark, os.path.join(scratch, "catalog"))
     raw = fixture.build(spark, sf_dir)

@@ -33,7 +33,10 @@ def _s(c):
     return F.col(c).cast("string")
 
 
-def build(spark: SparkSession, sf_dir: str) -> Catalog:
+def build(spark: SparkSession, sf_dir: str, stage_dir: str | None = None) -> Catalog:
+    """The mapped catalogue, lazily. With ``stage_dir`` (a folder on shared storage), the two
+    lineitem aggregates every table derives from are written there once and read back, so
+    writing all tables does not re-aggregate lineitem per table."""
     li = read_table(spark, sf_dir, "lineitem")
     part = read_table(spark, sf_dir, "part")
     supplier = read_table(spark, sf_dir, "supplier")
@@ -54,6 +57,9 @@ def build(spark: SparkSession, sf_dir: str) -> Catalog:
 
     p = part.select("p_partkey", "p_name", "p_type", "p_brand", "p_size")
     seq_part = seq_rep.join(p, F.col("pk") == F.col("p_partkey"))
+    if stage_dir is not None:
+        seq_part.write.mode("overwrite").parquet(f"{stage_dir}/seq_part")
+        seq_part = spark.read.parquet(f"{stage_dir}/seq_part")
 
     protein = F.concat(F.lit("v1_DLS_"), _s("pk"), F.lit(".p"), _s("ln"))
     sequences = seq_part.select(
@@ -83,6 +89,9 @@ def build(spark: SparkSession, sf_dir: str) -> Catalog:
         F.concat(F.lit("SRR"), _s("l_suppkey")).alias("sample_id"),
         "tpm", "num_reads", "effective_length",
     )
+    if stage_dir is not None:
+        expression.write.mode("overwrite").parquet(f"{stage_dir}/expression")
+        expression = spark.read.parquet(f"{stage_dir}/expression")
 
     q = F.col("pk") % 4
     taxon = lambda vals: F.when(q == 0, F.lit(vals[0])).when(q == 1, F.lit(vals[1])).when(q == 2, F.lit(vals[2])).otherwise(F.lit(vals[3]))

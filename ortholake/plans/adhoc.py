@@ -12,8 +12,6 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
 from ortholake.catalog import Catalog
 
 # Words refused in ad-hoc statements, the template limit and the row cap.
@@ -43,9 +41,9 @@ def guarded_sql(cat: Catalog, sql: str, max_rows: int = MAX_ROWS) -> DataFrame:
     if "Command" in plan:
         raise RefusedQuery(f"statement is a command ({plan})")
     # One extra row tells whether the cap cut the result; only max_rows + 1 rows ever move.
-    return df.limit(max_rows + 1).withColumn("_rn", F.monotonically_increasing_id())
+    return df.limit(max_rows + 1)
 
 
 def guarded_sql_result(cat: Catalog, sql: str, max_rows: int = MAX_ROWS) -> tuple[list, bool]:
-    rows = guarded_sql(cat, sql, max_rows).drop("_rn").collect()
+    rows = guarded_sql(cat, sql, max_rows).collect()
     return rows[:max_rows], len(rows) > max_rows

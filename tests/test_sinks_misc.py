@@ -86,3 +86,24 @@ def test_catalog_conform_open_missing_tables(spark, scratch):
     assert back.names == ["sequences"]
     r = q.database_summary(back, dynamic=True).collect()[0]
     assert r["status"] == "error"
+
+
+def test_staged_build_equals_lazy_build(spark, scratch):
+    lazy = fixture.build(spark, SF)
+    staged = fixture.build(spark, SF, stage_dir=os.path.join(scratch, "stage"))
+    for t in ("sequences", "annotations", "go_terms", "ec_numbers", "expression", "clusters"):
+        assert sorted(map(tuple, lazy[t].collect())) == sorted(map(tuple, staged[t].collect())), t
+
+
+def test_guarded_sql_refuses_writes_and_caps_rows(spark):
+    import pytest
+
+    from ortholake.plans import adhoc
+
+    cat = fixture.build(spark, SF)
+    with pytest.raises(adhoc.RefusedQuery):
+        adhoc.guarded_sql(cat, "DROP TABLE sequences")
+    rows, truncated = adhoc.guarded_sql_result(cat, "SELECT seqhash_id FROM sequences", max_rows=5)
+    assert len(rows) == 5 and truncated
+    rows, truncated = adhoc.guarded_sql_result(cat, "SELECT count(*) AS n FROM sequences WHERE length > ?")
+    assert len(rows) == 1 and not truncated
