@@ -165,17 +165,16 @@ def homology_search(queries: DataFrame, targets: DataFrame, n: int = SEARCH_NGRA
 # MinHash / LSH ----------------------------------------------------------------
 def minhash_bands(df: DataFrame, id_col: str, text_col: str, n: int = SEARCH_NGRAM, bands: int = MINHASH_BANDS,
                   rows: int = MINHASH_ROWS) -> DataFrame:
-    """(id, band_key): one key per band of the MinHash signature of the text's shingles."""
-    perms = bands * rows
-
-    def perm(i: int):
-        return lambda s: F.xxhash64(s, F.lit(i))
+    """(id, band_key): one key per band of the MinHash signature of the text's shingles.
 
-    base = with_ngrams(with_words(df.select(id_col, text_col), text_col), "_words", n).select(
-        id_col, F.array_distinct("_ngrams").alias("_sh")).filter(F.size("_sh") > 0)
-    s = base.select(id_col, F.array(*[F.array_min(F.transform(F.col("_sh"), perm(i))) for i in range(perms)]).alias("_sig"))
-    keys = F.array(*[F.xxhash64(F.lit(b), F.slice(F.col("_sig"), b * rows + 1, rows)) for b in range(bands)])
-    return s.select(id_col, F.explode(keys).alias("band_key"))
+    The signature is a grouped ``min`` over exploded shingles of ``bands * rows`` seeded
+    hash columns: plain generated code with map-side partial aggregation (no per-element
+    lambdas). Texts without shingles get no band and stay singletons."""
+    perms = bands * rows
+    sh = shingles(df, id_col, text_col, n)
+    sig = sh.groupBy(id_col).agg(*[F.min(F.xxhash64(F.col("shingle"), F.lit(i))).alias(f"_h{i}") for i in range(perms)])
+    keys = F.array(*[F.xxhash64(F.lit(b), *[F.col(f"_h{b * rows + r}") for r in range(rows)]) for b in range(bands)])
+    return sig.select(id_col, F.explode(keys).alias("band_key"))
 
 
 def band_star_edges(bands: DataFrame, id_col: str) -> DataFrame:
