@@ -127,9 +127,9 @@ def content_id(seq: Column | str) -> Column:
 
 
 def words(text: Column | str) -> Column:
-    """Lower-cased words of a text (split on runs of non-letter, non-digit characters)."""
+    """Lower-cased words of a text: maximal runs of letters and digits."""
     t = F.col(text) if isinstance(text, str) else text
-    return F.filter(F.split(F.lower(t), r"[^\p{L}\p{N}]+"), lambda w: F.length(w) > 0)
+    return F.regexp_extract_all(F.lower(t), F.lit(r"[\p{L}\p{N}]+"), 0)
 
 
 def ngrams(word_array: Column | str, n: int) -> Column:
