@@ -529,6 +529,14 @@ def search_sequence_by_seqhash(cat: Catalog, seqhash_ids) -> DataFrame:
     )
 
 
+def search_sequence_members(cat: Catalog, seqhash_ids) -> DataFrame:
+    """Long form of the member list of ``search_sequence_by_seqhash``: one row per (queried
+    id, member of its cluster). Use it when clusters are too large for one array per row."""
+    ids = id_filter(cat.sequences, "seqhash_id", seqhash_ids).select("seqhash_id")
+    mine = cat.cluster_members.join(ids, "seqhash_id", "left_semi").select(F.col("seqhash_id").alias("query_id"), "cluster_id")
+    return mine.join(cat.cluster_members.select("cluster_id", F.col("seqhash_id").alias("member_id")), "cluster_id")
+
+
 # ---------------------------------------------------------------------------
 # Q15 search_sequences
 # ---------------------------------------------------------------------------

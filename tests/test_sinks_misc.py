@@ -107,3 +107,21 @@ def test_guarded_sql_refuses_writes_and_caps_rows(spark):
     assert len(rows) == 5 and truncated
     rows, truncated = adhoc.guarded_sql_result(cat, "SELECT count(*) AS n FROM sequences WHERE length > ?")
     assert len(rows) == 1 and not truncated
+
+
+def test_quant_cog_and_id_writers(spark, scratch):
+    from ortholake.plans import analytics as an
+
+    cat = fixture.build(spark, SF)
+    quant = cat.expression.select(F.col("gene_seqhash_id").alias("Name"), F.col("tpm").alias("TPM"))
+    sinks.write_quant(quant, os.path.join(scratch, "q_tsv"), sample_id="SRR1")
+    back = spark.read.csv(os.path.join(scratch, "q_tsv"), sep="\t", header=True)
+    assert back.count() == quant.count() and set(back.columns) == {"Name", "TPM", "sample"}
+    sinks.write_quant(quant, os.path.join(scratch, "q_json"), fmt="json")
+    assert spark.read.json(os.path.join(scratch, "q_json")).count() == quant.count()
+    counts = an.cog_expand_counts(cat)
+    sinks.write_cog_counts(counts, os.path.join(scratch, "cog"))
+    assert spark.read.csv(os.path.join(scratch, "cog"), header=True).count() == counts.count()
+    ids = cat.sequences.select("seqhash_id")
+    sinks.export_id_list(ids, os.path.join(scratch, "ids"))
+    assert sources.scan_id_list(spark, os.path.join(scratch, "ids")).withColumnRenamed("sample_id", "x").count() == ids.count()
