@@ -19,7 +19,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ortholake.catalog import SCHEMA_V2, Catalog, conform
 from ortholake.functions.columns import MISSING, any_informative, gene_id, nullif_dash
@@ -330,5 +329,5 @@ __all__ = [
     "SequenceIngest", "SampleBundle", "CatalogNotEmpty", "sample_order", "ingest_sequences", "ingest_gene_protein_map",
     "ingest_annotations", "ingest_go_terms", "ingest_ec_numbers", "ingest_kegg", "ingest_expression", "backfill_expression",
     "ingest_report", "ingest_bundle", "build_catalog", "update_catalog", "upsert_sample_metadata", "attach_cds_coordinates",
-    "load_transcript_model", "sample_stats_json", "T",
+    "load_transcript_model", "sample_stats_json",
 ]

@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ortholake.functions.columns import content_id, with_ngrams, with_words
@@ -258,5 +258,5 @@ __all__ = [
     "content_ids", "shingles", "contaminant_pairs", "contaminant_screen", "contaminant_stats", "screen_report",
     "depth_normalize", "read_filter_flags", "read_filter_report", "top_k_per_group", "homology_search",
     "minhash_bands", "band_star_edges", "connected_components", "cluster_sequences", "cluster_incremental",
-    "concat_batches", "SparkSession",
+    "concat_batches",
 ]

@@ -19,8 +19,6 @@ from pyspark.sql import functions as F
 
 from ortholake.catalog import Catalog
 from ortholake.functions.columns import (
-    TPM_BUCKETS,
-    gene_id,
     round_half_up,
     sorted_string_agg,
     tpm_bucket,
@@ -686,6 +684,6 @@ __all__ = [
     "annotation_with_expression", "cluster_info", "cluster_stats", "database_summary", "ec_number_summary",
     "expression_distribution", "expression_summary", "go_term_summary", "organism_summary", "sample_metadata",
     "sample_stats", "search_samples_by_id", "search_sequence_by_seqhash", "search_sequences",
-    "sequence_annotations", "sequence_by_id", "sequence_expression", "top_expressed_sequences", "gene_id",
-    "TPM_BUCKETS", "largest_cluster", "resolve_genes",
+    "sequence_annotations", "sequence_by_id", "sequence_expression", "top_expressed_sequences", "largest_cluster",
+    "resolve_genes", "search_sequence_members", "median",
 ]
