@@ -145,3 +145,29 @@ def transcript_quant_balance(cat: Catalog) -> DataFrame:
         F.coalesce(F.col("n_quant"), F.lit(0)).cast("bigint").alias("n_quant"),
         (F.coalesce(F.col("n_transcripts"), F.lit(0)) == F.coalesce(F.col("n_quant"), F.lit(0))).alias("balanced"),
     )
+
+
+def exn50_std(tx_expr: DataFrame, percent: float = 90.0) -> DataFrame:
+    """Standard ExN50 (survey X2, shipped next to the studied variant): the N50 of the most
+    highly expressed transcripts that together hold ``percent`` % of a sample's expression
+    (transcripts by TPM descending, ties by id; the transcript that crosses the threshold is
+    included).
+
+    Selection needs a running TPM sum per sample; as in ``exn50`` the running sum is taken
+    over log-spaced TPM buckets first and only the crossing bucket's rows are ordered."""
+    t = tx_expr.select("sample_id", "transcript_id", "length", "tpm")
+    b = F.when(F.col("tpm") > 0, F.floor(F.log2(F.col("tpm")) * EXN50_BUCKETS_PER_OCTAVE)).otherwise(F.lit(-(2 ** 40)))
+    t = t.withColumn("b", b.cast("bigint"))
+    target = t.groupBy("sample_id").agg((F.sum("tpm") * F.lit(percent / 100.0)).alias("target"))
+    buckets = t.groupBy("sample_id", "b").agg(F.sum("tpm").alias("bt"))
+    wb = Window.partitionBy("sample_id").orderBy(F.col("b").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    buckets = buckets.withColumn("b_incl", F.sum("bt").over(wb)).withColumn("b_excl", F.col("b_incl") - F.col("bt"))
+    buckets = buckets.join(target, "sample_id")
+    rows = t.join(buckets.select("sample_id", "b", "b_incl", "b_excl", "target"), ["sample_id", "b"])
+    whole = rows.filter(F.col("b_incl") < F.col("target")).select("sample_id", "length")
+    crossing = rows.filter((F.col("b_excl") < F.col("target")) & (F.col("b_incl") >= F.col("target")))
+    wr = Window.partitionBy("sample_id", "b").orderBy(F.col("tpm").desc(), F.col("transcript_id")).rowsBetween(
+        Window.unboundedPreceding, -1)
+    crossing = crossing.withColumn("excl", F.col("b_excl") + F.coalesce(F.sum("tpm").over(wr), F.lit(0.0)))
+    part = crossing.filter(F.col("excl") < F.col("target")).select("sample_id", "length")
+    return n50(whole.unionByName(part)).withColumnRenamed("n50", "exn50_std")

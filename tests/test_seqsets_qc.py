@@ -113,3 +113,18 @@ def test_exact_median_matches_numpy(spark):
         got = exact_median(df, "v").first()[0]
         assert abs(got - statistics.median(vals)) < 1e-9
     assert exact_median(spark.createDataFrame([], "v double"), "v").first()[0] is None
+
+
+def test_exn50_std_matches_direct_computation(spark):
+    rnd = random.Random(13)
+    rows = [(f"S{s}", f"t{s}_{i}", rnd.randrange(50, 5000), round(rnd.random() * 300, 3)) for s in range(3) for i in range(250)]
+    df = spark.createDataFrame(rows, "sample_id string, transcript_id string, length int, tpm double")
+    got = {r["sample_id"]: r["exn50_std"] for r in qc.exn50_std(df).collect()}
+    for s in range(3):
+        sub = sorted([r for r in rows if r[0] == f"S{s}"], key=lambda r: (-r[3], r[1]))
+        target, run, keep = 0.9 * sum(r[3] for r in sub), 0.0, []
+        for r in sub:
+            if run < target:
+                keep.append(r[2])
+            run += r[3]
+        assert got[f"S{s}"] == _n50(keep)
