@@ -7,9 +7,11 @@ tests, the bench and command-line use on a single machine.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "ortholake") -> SparkSession:
@@ -34,8 +36,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
-    On a cluster ``spark.checkpoint.dir`` points at shared storage and is used as is.
-    Only when it is unset (local tests) do we pick a scratch folder of our own.
+    On a cluster ``spark.checkpoint.dir`` points at shared storage and is used as is. Only a
+    local master may go without: there we pick a scratch folder of our own. Any other master
+    without the setting is refused, since executors would each write to their own disk.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -43,11 +46,24 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf = spark.conf.get("spark.checkpoint.dir", None)
     if not conf:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         conf = tempfile.mkdtemp(prefix="ortholake-ckpt-")
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir()
 
 
-def checkpoint_root(spark: SparkSession) -> str:
-    """Folder (shared on a cluster) where iterative jobs may write intermediate tables."""
-    return ensure_checkpoint_dir(spark)
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path under the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def materialise(df: DataFrame, name: str = "step") -> DataFrame:
+    """Write ``df`` once to the shared checkpoint folder and read it back.
+
+    Cuts the lineage (a lost executor recomputes nothing), and the result is a plain scan: a
+    join with it shuffles both sides, which lets adaptive execution split a hot key. The
+    schema is kept as it is, nullability aside."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

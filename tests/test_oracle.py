@@ -4,11 +4,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from ortholake.registry import ORACLE as REGISTERED_SQL
+from ortholake.registry import QUERIES as REGISTERED
 from tools.oracle_check import TABLES, rows_key
 
 SF = "/root/testdata/sf0.001"
-QUERIES = E.queries()
-ORACLE = E.oracle_sql()
+QUERIES, ORACLE = dict(REGISTERED), dict(REGISTERED_SQL)      # the training-data queries have their own tests
 
 
 @pytest.fixture(scope="module")
