@@ -8,11 +8,15 @@
    estimates the similarity as 1 + bits / (4 k) * ln(1 - 2 d / bits), most precisely
    when it is high.
 3. Bands of the signature are bucket keys. In each bucket all members are compared with
-   its smallest one (linear); the links found give components. Then, in buckets that still hold
-   several components, the members outside the largest one are compared with the members of
-   other components. So every pair of a bucket is compared or already connected.
+   its smallest one (linear); the links found give components. In buckets that still hold
+   several components, the members outside the largest one are compared with one member of
+   it, another one in every round and bucket, as long as that connects a good part of them. At
+   last those still outside are compared with all members of other components. So
+   every pair of a bucket is compared or already connected.
 4. A pair whose sketches speak against it (estimate below the threshold by ``MARGIN`` or more) or whose set
-   sizes rule it out is dropped; every other one is confirmed on the full sets.
+   sizes rule it out is dropped. So is one that a second odd sketch, over all shingles of the
+   set, excludes: the population count of its XOR never exceeds the number of shingles that
+   only one side has, which a link bounds. Every other pair is confirmed on the full sets.
 
 ``plan_bands`` picks the bands so that a pair at the threshold shares none with a probability of at
 most ``MISS``. Links are exact: none is below the threshold.
@@ -38,9 +42,11 @@ from ortholake.llm.common import by_batch, fresh, materialise, table, text_or_em
 from ortholake.operators.components import star_forest
 
 SKETCH_BITS = 512
+SET_BITS = 1024           # of the parity bitmap of the whole set
 SAMPLES = 256             # at most
 MISS = 1e-5
 MARGIN = 0.12
+SKETCH_WORDS, SET_WORDS = SKETCH_BITS // 64, SET_BITS // 64
 CHUNK_BYTES = 1 << 18     # texts hashed together
 
 
@@ -162,6 +168,12 @@ class Sketcher:
         return key.view(np.int64), np.packbits(odd.reshape(len(s), -1), axis=1).view(np.int64)
 
 
+def parity(s: np.ndarray) -> np.ndarray:
+    """Odd sketch of a whole set, as int64 words."""
+    odd = (np.bincount((s & np.uint64(SET_BITS - 1)).astype(np.int64), minlength=SET_BITS) & 1).astype(np.uint8)
+    return np.packbits(odd).view(np.int64)
+
+
 def estimate(xor_bits: float, samples: int) -> float:
     """Similarity that an odd sketch pair shows."""
     return 1 + SKETCH_BITS / (4 * samples) * math.log(max(1 - 2 * xor_bits / SKETCH_BITS, 1e-9))
@@ -186,6 +198,7 @@ def features(docs: DataFrame, words: int, bands: int, rows: int, id_col: str, te
             some = [s for s in sets if len(s)]
             sigs = np.stack([sketch.signature(s) for s in some]) if some else np.zeros((0, bands * rows), np.uint32)
             key, bits = sketch.bands_and_bits(sigs)
+            bits = np.concatenate([bits, np.stack([parity(s) for s in some]) if some else np.zeros((0, SET_BITS // 64), np.int64)], axis=1)
             digest = np.zeros((len(sets), 2), np.int64)
             if some:
                 digest[full] = np.frombuffer(b"".join(hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in some), np.int64).reshape(-1, 2)
@@ -200,16 +213,20 @@ def features(docs: DataFrame, words: int, bands: int, rows: int, id_col: str, te
 
 
 def _plausible(a: str, b: str, percent: int, bits: int) -> Column:
-    """Sizes and sketches of two sides allow a link."""
+    """Sizes and sketches of two sides allow a link. A link has 100 * shared >= percent * all, so
+    at most (100 - percent) / (100 + percent) of both sizes together is on one side only."""
     sizes = 100 * F.least(f"{a}.n", f"{b}.n") >= percent * F.greatest(f"{a}.n", f"{b}.n")
-    xor = [F.bit_count(F.col(f"{a}.s{i}").bitwiseXOR(F.col(f"{b}.s{i}"))) for i in range(SKETCH_BITS // 64)]
-    return sizes & (reduce(lambda x, y: x + y, xor) <= bits)
+    xor = [F.bit_count(F.col(f"{a}.s{i}").bitwiseXOR(F.col(f"{b}.s{i}"))) for i in range(SKETCH_WORDS + SET_WORDS)]
+    total = lambda cols: reduce(lambda x, y: x + y, cols)
+    one_sided = (100 + percent) * total(xor[SKETCH_WORDS:]) <= (100 - percent) * (F.col(f"{a}.n") + F.col(f"{b}.n"))
+    return sizes & one_sided & (total(xor[:SKETCH_WORDS]) <= bits)
 
 
 def confirm(pairs: DataFrame, docs: DataFrame, words: int, percent: int, id_col: str, text_col: str) -> DataFrame:
     """The pairs (a, b) whose full shingle sets have 100 * intersection >= percent * union."""
+    # The ids grow with the corpus: never broadcast them, however few they are here.
     ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    texts = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).cast("binary").alias("text")).join(ids, "id", "left_semi")
+    texts = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).cast("binary").alias("text")).join(ids.hint("merge"), "id", "left_semi")
     texts = materialise(texts, "texts")
     j = pairs.join(texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b").join(
         texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a").select("a", "b", "ta", "tb")
@@ -237,31 +254,51 @@ def confirm(pairs: DataFrame, docs: DataFrame, words: int, percent: int, id_col:
 def link_classes(docs: DataFrame, reps: DataFrame, words: int, percent: int, bands: int, rows: int, id_col: str, text_col: str) -> DataFrame:
     """(id, component) of the classes that have a link. ``reps``: (id, n, sketch, bands)."""
     bits = most_bits(percent / 100, bands * rows)
-    words64 = [F.get("sketch", F.lit(i)).alias(f"s{i}") for i in range(SKETCH_BITS // 64)]
+    words64 = [F.get("sketch", F.lit(i)).alias(f"s{i}") for i in range(SKETCH_WORDS + SET_WORDS)]
     sketches = materialise(reps.select("id", "n", *words64), "sketches")
     banded = materialise(reps.select("id", F.explode("bands").alias("key")), "bands")
     keys = banded.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min("id").alias("center")).filter("m > 1 and center is not null")
     keys = materialise(keys, "keys")
     buckets = materialise(banded.join(keys, "key"), "buckets")
 
-    side = lambda name: sketches.select([F.col(c).alias("b" if c == "id" and name == "y" else "a" if c == "id" else c) for c in sketches.columns]).alias(name)
-    star = materialise(buckets.filter("id != center").select(F.col("center").alias("a"), F.col("id").alias("b")).distinct(), "star")
-    first = star.alias("p").join(side("y"), "b").join(side("x"), "a").filter(_plausible("x", "y", percent, bits)).select("a", "b")
-    found = materialise(confirm(materialise(first.distinct(), "pairs"), docs, words, percent, id_col, text_col), "links")
+    def verified(pairs: DataFrame) -> DataFrame:
+        """Links among candidate pairs (a, b): first by sketches, then on full sets."""
+        x, y = (sketches.select([F.col(c).alias(n if c == "id" else c) for c in sketches.columns]) for n in "ab")
+        ok = pairs.join(y.alias("y"), "b").join(x.alias("x"), "a").filter(_plausible("x", "y", percent, bits)).select("a", "b")
+        return materialise(confirm(materialise(ok.distinct(), "pairs"), docs, words, percent, id_col, text_col), "links")
+
+    ordered = lambda u, v: [F.least(u, v).alias("a"), F.greatest(u, v).alias("b")]
+    found = verified(buckets.filter("id != center").select(*ordered("center", "id")).distinct())
+    buckets = materialise(buckets.filter("m > 2"), "larger-buckets")
+    turn = 0
+    while True:
+        # Members of one bucket that are still in different components; main: the largest one.
+        comp = materialise(star_forest(found, "a", "b"), "components")
+        labelled = buckets.join(comp, "id", "left").select("key", "id", "center", F.coalesce("component", "id").alias("label"))
+        labelled = materialise(labelled, "labelled")
+        counts = labelled.groupBy("key", "label").agg(F.count(F.lit(1)).alias("c"), F.max_by("id", F.xxhash64("id", "key", F.lit(turn))).alias("pick"))
+        main = F.max_by(F.struct("label", "pick"), F.struct("c", "label"))
+        open_ = counts.groupBy("key").agg(F.count(F.lit(1)).alias("labels"), main.alias("top")).filter("labels > 1")
+        open_ = materialise(open_.select("key", F.col("top.label").alias("main"), F.col("top.pick").alias("pick")), "open")
+        rest = materialise(labelled.join(open_, "key"), "open-buckets")
+        outside = rest.filter("label != main")
+        left = outside.select("id").distinct().count()
+        # Another star from a member of the main component, another one in every bucket, as long
+        # as that connects a good part of the members outside.
+        new = verified(outside.filter("pick != center").select(*ordered("pick", "id")).distinct())
+        linked = new.count()
+        found = materialise(found.unionByName(new).distinct(), "links")
+        if linked * 10 < left or not left:
+            break
+        turn += 1
 
-    # What the stars left: members of one bucket that are still in different components.
     comp = materialise(star_forest(found, "a", "b"), "components")
-    labelled = buckets.filter("m > 2").join(comp, "id", "left").select("key", "id", "center", F.coalesce("component", "id").alias("label"))
-    labelled = materialise(labelled, "labelled")
-    counts = labelled.groupBy("key", "label").agg(F.count(F.lit(1)).alias("c"))
-    open_ = counts.groupBy("key").agg(F.count(F.lit(1)).alias("labels"), F.max_by("label", F.struct("c", "label")).alias("main")).filter("labels > 1")
-    rest = materialise(labelled.join(materialise(open_, "open"), "key").join(sketches, "id"), "open-buckets")
-    x = rest.filter("label != main").alias("x")
-    y = rest.filter("id != center").alias("y")
+    rest = rest.drop("label").join(comp, "id", "left").withColumn("label", F.coalesce("component", "id")).drop("component")
+    rest = materialise(rest.join(sketches, "id"), "open-buckets")
+    x, y = rest.filter("label != main").alias("x"), rest.filter("id != center").alias("y")
     other = (F.col("x.key") == F.col("y.key")) & (F.col("x.label") != F.col("y.label")) & (F.col("x.id") != F.col("x.center")) & (
         (F.col("y.label") == F.col("y.main")) | (F.col("x.id") < F.col("y.id"))) & _plausible("x", "y", percent, bits)
-    more = x.join(y, other).select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
-    more = materialise(more, "more-pairs")
+    more = materialise(x.join(y, other).select(*ordered("x.id", "y.id")).distinct(), "more-pairs")
     late = materialise(confirm(more, docs, words, percent, id_col, text_col), "more-links")
     return materialise(star_forest(found.unionByName(late), "a", "b"), "components")
 
