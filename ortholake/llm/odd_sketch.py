@@ -165,7 +165,7 @@ class Sketcher:
         bit = _mix(s | self.place) % np.uint64(SKETCH_BITS)
         flat = (bit + np.arange(len(s), dtype=np.uint64)[:, None] * np.uint64(SKETCH_BITS)).astype(np.int64).ravel()
         odd = (np.bincount(flat, minlength=len(s) * SKETCH_BITS) & 1).astype(np.uint8)
-        return key.view(np.int64), np.packbits(odd.reshape(len(s), -1), axis=1).view(np.int64)
+        return key.view(np.int64), np.packbits(odd.reshape(len(s), SKETCH_BITS), axis=1).view(np.int64).reshape(len(s), SKETCH_WORDS)
 
 
 def parity(s: np.ndarray) -> np.ndarray:
