@@ -147,32 +147,21 @@ class Catalog:
                 found[name] = spark.read.parquet(p)
         return cls(spark, found)
 
-    def save(self, path: str, mode: str = "errorifexists", layout: str = "auto",
-             rows_per_sample_dir: int = 1_000_000) -> None:
-        """Persist every table (K1).
-
-        Large tables are range-partitioned by (sample_id, primary key) and sorted inside each
-        file, so a sample that holds a third of all rows is still spread over many tasks and
-        row-group min/max statistics skip by sample and by key. With ``layout="auto"`` a
-        table is also split into ``sample_id=`` directories (partition pruning) when its
-        samples average at least ``rows_per_sample_dir`` rows; smaller samples would only
-        produce many tiny files. ``layout="partitioned"`` / ``"clustered"`` force either."""
+    def save(self, path: str, mode: str = "errorifexists") -> None:
+        """Persist every table (K1), all in one layout: tables with samples are range-partitioned
+        by (sample_id, primary key) and sorted inside each file, so a sample that holds a third
+        of all rows is still spread over many tasks, and row-group min/max statistics skip by
+        sample and by key. No column becomes a directory name, so types and order stay."""
         for name in self.names:
             df = self._tables[name]
             key = [k for k in PRIMARY_KEYS.get(name, []) if k in df.columns]
             part = PARTITION_COLUMNS.get(name)
             target = os.path.join(path, name)
             if part and part in df.columns:
-                split_dirs = layout == "partitioned"
-                if layout == "auto":
-                    stats = df.agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct(part).alias("s")).first()
-                    split_dirs = stats["s"] > 0 and stats["n"] / stats["s"] >= rows_per_sample_dir
-                clustered = df.repartitionByRange(F.col(part), *[F.col(k) for k in key]).sortWithinPartitions(part, *key)
-                w = clustered.write.mode(mode)
-                (w.partitionBy(part) if split_dirs else w).parquet(target)
-            else:
-                w = df.sortWithinPartitions(*key) if key else df
-                w.write.mode(mode).parquet(target)
+                df = df.repartitionByRange(F.col(part), *[F.col(k) for k in key]).sortWithinPartitions(part, *key)
+            elif key:
+                df = df.sortWithinPartitions(*key)
+            df.write.mode(mode).parquet(target)
 
 
 def _exists(spark: SparkSession, path: str) -> bool:

@@ -11,10 +11,9 @@ from ortholake.functions.columns import (  # noqa: F401
     sorted_string_agg,
     tpm_bucket,
     tpm_badge,
-    word_shingles,
     ngrams,
     with_words,
     with_ngrams,
     words,
-    char_kmers,
+    with_kmers,
 )

@@ -160,17 +160,11 @@ def with_ngrams(df: DataFrame, words_col: str, n: int, out: str = "_ngrams") ->
     return NGram(n=n, inputCol=words_col, outputCol=out).transform(df)
 
 
-def word_shingles(text: Column | str, n: int) -> Column:
-    """Word n-grams of a whole text as one expression (convenient for small inputs; operators
-    use ``with_words`` + ``ngrams`` so the text is split once)."""
-    return ngrams(words(text), n)
-
+def with_kmers(df: DataFrame, seq_col: str, k: int, out: str = "_ngrams") -> DataFrame:
+    """Add the length-k substrings of a sequence, ASCII letters upper-cased, white space left out (none when
+    shorter than k): the n-grams of its characters, which come space-joined."""
+    from pyspark.ml.feature import NGram
 
-def char_kmers(seq: Column | str, k: int) -> Column:
-    """Array of all length-k substrings of a sequence (empty when shorter than k)."""
-    s = F.col(seq) if isinstance(seq, str) else seq
-    m = F.length(s) - F.lit(k) + F.lit(1)
-    return F.when(
-        m > 0,
-        F.transform(F.sequence(F.lit(1), F.greatest(m, F.lit(1))), lambda i: F.substring(s, i, k)),
-    ).otherwise(F.array().cast("array<string>"))
+    flat = F.regexp_replace(F.translate(F.coalesce(F.col(seq_col), F.lit("")), ASCII_LOWER, ASCII_UPPER), r"\s", "")
+    chars = df.withColumn("_chars", F.filter(F.split(flat, ""), lambda c: c != ""))
+    return NGram(n=k, inputCol="_chars", outputCol=out).transform(chars).drop("_chars")

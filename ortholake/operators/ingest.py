@@ -120,10 +120,14 @@ def ingest_annotations(ann: DataFrame, catalog: Catalog) -> DataFrame:
 # I5 / I6 ----------------------------------------------------------------------
 def _ingest_list(ann: DataFrame, catalog: Catalog, src: str, table: str, col: str) -> DataFrame:
     seqs = catalog.sequences.select(F.col("seqhash_id").alias("query"))
-    a = ann.join(seqs, "query", "left_semi").select("query", nullif_dash(src).alias("v")).filter(F.col("v").isNotNull())
-    items = a.select(F.col("query").alias("seqhash_id"), F.explode(F.split("v", ",")).alias(col)).filter(
+    a = ann.join(seqs, "query", "left_semi").select("query", "sample_rank", nullif_dash(src).alias("v")).filter(F.col("v").isNotNull())
+    # Samples load one after another, and a sequence that has a term by then keeps it: so only
+    # the fields of the earliest sample with any count. Empty items and '-' are no terms.
+    items = a.select(F.col("query").alias("seqhash_id"), "sample_rank", F.explode(F.split("v", ",")).alias(col)).filter(
         (F.length(F.col(col)) > 0) & (F.col(col) != MISSING)
-    ).distinct()
+    )
+    first = items.groupBy("seqhash_id").agg(F.min("sample_rank").alias("_first"))
+    items = items.join(first, "seqhash_id").filter(F.col("sample_rank") == F.col("_first")).select("seqhash_id", col).distinct()
     prior = _ids(catalog, table, ["seqhash_id"])
     # A sequence that already has any term keeps its terms untouched.
     return items if prior is None else items.join(prior.distinct(), "seqhash_id", "left_anti")
@@ -161,10 +165,6 @@ def ingest_expression(quant: DataFrame, catalog: Catalog, ownership: bool = True
     if ownership:
         owned = catalog.sequences.select("sample_id", gene_id("seqhash_id").alias("gene_seqhash_id")).distinct()
         q = q.join(owned, ["sample_id", "gene_seqhash_id"], "left_semi")
-    else:
-        genes = catalog.gene_protein_map.select("gene_seqhash_id").distinct() if catalog.has("gene_protein_map") else None
-        if genes is not None:
-            q = q.join(genes, "gene_seqhash_id", "left_semi")
     # (gene, sample) is the key: keep the first record of each pair.
     q = q.groupBy("gene_seqhash_id", "sample_id").agg(
         F.min_by(F.struct("tpm", "num_reads", "effective_length"), F.struct("tpm", "num_reads", "effective_length")).alias("r")
@@ -176,7 +176,8 @@ def ingest_expression(quant: DataFrame, catalog: Catalog, ownership: bool = True
 
 
 def backfill_expression(quant: DataFrame, catalog: Catalog) -> DataFrame:
-    """Expression for samples already in the catalogue, insert-or-ignore, no ownership filter."""
+    """Expression for samples already in the catalogue, insert-or-ignore, no ownership filter:
+    genes without a gene-map row are kept too."""
     q = quant.join(catalog.sra_metadata.select("sample_id"), "sample_id", "left_semi")
     return ingest_expression(q, catalog, ownership=False)
 

@@ -14,6 +14,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ortholake.session import materialise
 from ortholake.catalog import LATEST_VERSION, PRIMARY_KEYS, SCHEMA_V2, SCHEMAS, TABLE_ORDER, Catalog, conform
 
 
@@ -110,10 +111,14 @@ def merge_summary(cat: Catalog) -> DataFrame:
 def sequential_ids(df: DataFrame, order_col: str, out_col: str = "seq_no", partitions: int | None = None) -> DataFrame:
     """Dense 1-based numbering of ``df`` by ``order_col`` (unique values) without a global
     window: range-partition, count rows per partition (one small row each), turn the counts
-    into offsets over that small frame, and number rows inside each partition."""
+    into offsets over that small frame, and number rows inside each partition.
+
+    The range-partitioned rows are written once with their partition number, and both the
+    counts and the numbers come from that copy: range bounds are sampled, so a second
+    evaluation could cut the rows differently."""
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, F.col(order_col)).withColumn("_pid", F.spark_partition_id())
+    ranged = materialise(df.repartitionByRange(n, F.col(order_col)).withColumn("_pid", F.spark_partition_id()), "ranged")
     counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     # One row per partition: the window below runs over at most `n` rows.
     offsets = counts.withColumn(
@@ -141,6 +146,7 @@ def load_clusters(edges: DataFrame, sequences: DataFrame) -> tuple[DataFrame, Da
         F.concat(F.lit("CLUSTER_"), F.col("seq_no").cast("string")).alias("cluster_id"),
         F.col("representative").alias("representative_seqhash_id"), "size",
     )
+    clusters = materialise(clusters, "clusters")        # members take their ids from this copy
     members = v.join(clusters.select(F.col("representative_seqhash_id").alias("representative"), "cluster_id"), "representative").select(
         F.col("member").alias("seqhash_id"), "cluster_id"
     ).distinct()

@@ -4,8 +4,7 @@ read filtering, homology search and clustering, as distributed table jobs.
 The studied system shells out to external tools for these; here each has a deterministic
 definition of its own (documented per function) so results are testable:
 
-* texts are compared through word n-gram shingles (``functions.with_ngrams`` over ``functions.with_words``) of the whole
-  text; a shingle index is a plain (id, shingle) table, and matching is an equi-join on the
+* texts are compared through n-gram shingles of the whole text, of words or (``unit="char"``) of characters; a shingle index is a plain (id, shingle) table, and matching is an equi-join on the
   shingle after a semi-join has removed every shingle that cannot match;
 * ranking is exact: the per-query top-k is taken in two stages over salted groups, so a
   query with a huge candidate list is never sorted in one task, and no candidate is capped;
@@ -21,8 +20,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ortholake.functions.columns import content_id, with_ngrams, with_words
-from ortholake.session import ensure_checkpoint_dir
+from ortholake.functions.columns import content_id, with_kmers, with_ngrams, with_words
+from ortholake.operators.components import connected_components
+from ortholake.session import materialise
 
 # Fixed parameters of the operators (defaults).
 SCREEN_NGRAM = 5          # word n-gram of the contaminant screen
@@ -40,41 +40,51 @@ def content_ids(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
 
 
 # Shingle tables -------------------------------------------------------------
-def shingles(df: DataFrame, id_col: str, text_col: str, n: int, extra: list[str] | None = None) -> DataFrame:
-    """Distinct (id, shingle) rows over the whole text (the text is split into words once)."""
-    w = with_ngrams(with_words(df.select(id_col, *(extra or []), text_col), text_col), "_words", n)
+def units(df: DataFrame, text_col: str, n: int, unit: str = "word") -> DataFrame:
+    """Add ``_ngrams``: the n-grams of words (texts), or of characters with ``unit="char"``
+    (k-mers of nucleotide reads and proteins, letter case ignored)."""
+    if unit == "char":
+        return with_kmers(df, text_col, n)
+    if unit != "word":
+        raise ValueError(f"unit must be word or char, not {unit!r}")
+    return with_ngrams(with_words(df, text_col), "_words", n)
+
+
+def shingles(df: DataFrame, id_col: str, text_col: str, n: int, extra: list[str] | None = None, unit: str = "word") -> DataFrame:
+    """Distinct (id, shingle) rows over the whole text (the text is cut once)."""
+    w = units(df.select(id_col, *(extra or []), text_col), text_col, n, unit)
     return w.select(id_col, *(extra or []), F.explode(F.array_distinct("_ngrams")).alias("shingle"))
 
 
 # R2 -------------------------------------------------------------------------
 def contaminant_pairs(reads: DataFrame, refs: DataFrame, n: int = SCREEN_NGRAM,
-                      read_id: str = "doc_id", ref_id: str = "item_id", text_col: str = "text") -> DataFrame:
+                      read_id: str = "doc_id", ref_id: str = "item_id", text_col: str = "text", unit: str = "word") -> DataFrame:
     """(read_id, ref_id, shared): read / reference pairs sharing at least one word n-gram."""
-    rs = shingles(reads, read_id, text_col, n)
-    fs = shingles(refs.select(F.col(ref_id), F.col(text_col)), ref_id, text_col, n)
+    rs = shingles(reads, read_id, text_col, n, unit=unit)
+    fs = shingles(refs.select(F.col(ref_id), F.col(text_col)), ref_id, text_col, n, unit=unit)
     keys = fs.select("shingle").distinct()
     hit = rs.join(keys, "shingle", "left_semi")
     return hit.join(fs, "shingle").groupBy(read_id, ref_id).agg(F.count(F.lit(1)).alias("shared"))
 
 
 def contaminant_screen(reads: DataFrame, refs: DataFrame, n: int = SCREEN_NGRAM, read_id: str = "doc_id",
-                       ref_id: str = "item_id", text_col: str = "text") -> DataFrame:
+                       ref_id: str = "item_id", text_col: str = "text", unit: str = "word") -> DataFrame:
     """Reads that share no word n-gram with the reference set (the clean output)."""
-    pairs = contaminant_pairs(reads, refs, n, read_id, ref_id, text_col)
+    pairs = contaminant_pairs(reads, refs, n, read_id, ref_id, text_col, unit)
     return reads.join(pairs.select(read_id).distinct(), read_id, "left_anti")
 
 
 def contaminant_stats(reads: DataFrame, refs: DataFrame, n: int = SCREEN_NGRAM, read_id: str = "doc_id",
-                      ref_id: str = "item_id", text_col: str = "text") -> DataFrame:
+                      ref_id: str = "item_id", text_col: str = "text", unit: str = "word") -> DataFrame:
     """Per reference: reads matched and shared n-grams (summed over its reads)."""
-    pairs = contaminant_pairs(reads, refs, n, read_id, ref_id, text_col)
+    pairs = contaminant_pairs(reads, refs, n, read_id, ref_id, text_col, unit)
     return pairs.groupBy(ref_id).agg(F.count(F.lit(1)).alias("reads_matched"), F.sum("shared").alias("shared_total"))
 
 
 def screen_report(reads: DataFrame, refs: DataFrame, sample_col: str = "source", n: int = SCREEN_NGRAM,
-                  read_id: str = "doc_id", ref_id: str = "item_id", text_col: str = "text") -> DataFrame:
+                  read_id: str = "doc_id", ref_id: str = "item_id", text_col: str = "text", unit: str = "word") -> DataFrame:
     """Per sample: reads in, reads removed, reads kept (the matched/total header of the tool)."""
-    bad = contaminant_pairs(reads, refs, n, read_id, ref_id, text_col).select(read_id).distinct().withColumn("_bad", F.lit(1))
+    bad = contaminant_pairs(reads, refs, n, read_id, ref_id, text_col, unit).select(read_id).distinct().withColumn("_bad", F.lit(1))
     r = reads.select(read_id, sample_col).join(bad, read_id, "left")
     return r.groupBy(sample_col).agg(
         F.count(F.lit(1)).alias("reads_in"), F.count("_bad").alias("reads_removed"),
@@ -88,11 +98,11 @@ def _draw(id_col: str) -> Column:
 
 
 def depth_normalize(reads: DataFrame, target: float, min_depth: float, n: int = 3, read_id: str = "doc_id",
-                    text_col: str = "text") -> DataFrame:
+                    text_col: str = "text", unit: str = "word") -> DataFrame:
     """Normalise coverage: a read's depth is the (lower) median, over its n-gram occurrences, of
     how often each n-gram occurs in the whole read set. Reads below ``min_depth`` are dropped;
     reads above ``target`` are kept with probability target/depth using a deterministic draw."""
-    occ = with_ngrams(with_words(reads.select(read_id, text_col), text_col), "_words", n).select(
+    occ = units(reads.select(read_id, text_col), text_col, n, unit).select(
         read_id, F.explode("_ngrams").alias("shingle"))
     counts = occ.groupBy("shingle").agg(F.count(F.lit(1)).alias("c"))
     depth = occ.join(counts, "shingle").groupBy(read_id).agg(
@@ -138,15 +148,15 @@ def top_k_per_group(df: DataFrame, group: str, order: list[Column], k: int, salt
 # R5 -------------------------------------------------------------------------
 def homology_search(queries: DataFrame, targets: DataFrame, n: int = SEARCH_NGRAM, k: int = TOP_K,
                     query_id: str = "query", target_id: str = "target", text_col: str = "text",
-                    target_text: bool = True) -> DataFrame:
+                    target_text: bool = True, unit: str = "word") -> DataFrame:
     """Ranked hits of each query against the targets by shared word n-grams.
 
     pident = 100 x shared / query n-grams (containment of the query), jaccard = shared / union.
     Ranking: shared desc, then target id; top ``k`` per query, exact."""
     q = queries.select(F.col(query_id).alias("query"), F.col(text_col).alias("text"))
     t = targets.select(F.col(target_id).alias("target"), F.col(text_col).alias("text"))
-    qs = shingles(q, "query", "text", n)
-    ts = shingles(t, "target", "text", n)
+    qs = shingles(q, "query", "text", n, unit=unit)
+    ts = shingles(t, "target", "text", n, unit=unit)
     qn = qs.groupBy("query").agg(F.count(F.lit(1)).alias("q_n"))
     tn = ts.groupBy("target").agg(F.count(F.lit(1)).alias("t_n"))
     ts_hit = ts.join(qs.select("shingle").distinct(), "shingle", "left_semi")
@@ -164,14 +174,14 @@ def homology_search(queries: DataFrame, targets: DataFrame, n: int = SEARCH_NGRA
 
 # MinHash / LSH ----------------------------------------------------------------
 def minhash_bands(df: DataFrame, id_col: str, text_col: str, n: int = SEARCH_NGRAM, bands: int = MINHASH_BANDS,
-                  rows: int = MINHASH_ROWS) -> DataFrame:
+                  rows: int = MINHASH_ROWS, unit: str = "word") -> DataFrame:
     """(id, band_key): one key per band of the MinHash signature of the text's shingles.
 
     The signature is a grouped ``min`` over exploded shingles of ``bands * rows`` seeded
     hash columns: plain generated code with map-side partial aggregation (no per-element
     lambdas). Texts without shingles get no band and stay singletons."""
     perms = bands * rows
-    sh = shingles(df, id_col, text_col, n)
+    sh = shingles(df, id_col, text_col, n, unit=unit)
     sig = sh.groupBy(id_col).agg(*[F.min(F.xxhash64(F.col("shingle"), F.lit(i))).alias(f"_h{i}") for i in range(perms)])
     keys = F.array(*[F.xxhash64(F.lit(b), *[F.col(f"_h{b * rows + r}") for r in range(rows)]) for b in range(bands)])
     return sig.select(id_col, F.explode(keys).alias("band_key"))
@@ -185,39 +195,6 @@ def band_star_edges(bands: DataFrame, id_col: str) -> DataFrame:
     ).distinct()
 
 
-def connected_components(nodes: DataFrame, edges: DataFrame, max_iter: int = 64, checkpoint_every: int = 2) -> DataFrame:
-    """(id, component = smallest id of its component) by min-label propagation with pointer
-    jumping.
-
-    The undirected edge table is written once to the checkpoint folder the cluster names in
-    ``spark.checkpoint.dir`` (a reliable checkpoint, so lost executors never recompute the
-    hashing that produced it); each round's labels are persisted and every
-    ``checkpoint_every`` rounds checkpointed, which keeps lineage short."""
-    spark = nodes.sparkSession
-    ensure_checkpoint_dir(spark)
-    und = (
-        edges.select("src", "dst")
-        .unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
-        .distinct()
-        .checkpoint()
-    )
-    labels = nodes.select(F.col(nodes.columns[0]).alias("id")).distinct().withColumn("label", F.col("id")).checkpoint()
-    for it in range(max_iter):
-        # min over own label and the neighbours' labels
-        nb = und.join(labels.withColumnRenamed("id", "src"), "src").select(F.col("dst").alias("id"), "label")
-        new = labels.unionByName(nb).groupBy("id").agg(F.min("label").alias("label"))
-        # pointer jumping: adopt the label of your label
-        jump = new.join(new.select(F.col("id").alias("label"), F.col("label").alias("l2")), "label", "left")
-        new = jump.select("id", F.least(F.col("label"), F.coalesce(F.col("l2"), F.col("label"))).alias("label"))
-        new = new.checkpoint() if (it + 1) % checkpoint_every == 0 else new.persist()
-        changed = new.join(labels.withColumnRenamed("label", "old"), "id").filter(F.col("label") != F.col("old")).limit(1).count()
-        labels.unpersist()
-        labels = new
-        if changed == 0:
-            break
-    return labels.withColumnRenamed("label", "component")
-
-
 # R6 -------------------------------------------------------------------------
 def cluster_sequences(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str | None = None,
                       **lsh) -> DataFrame:
@@ -243,7 +220,9 @@ def cluster_incremental(existing: DataFrame, new: DataFrame, id_col: str = "doc_
     reps = existing.filter(F.col(id_col) == F.col(rep_col)).select(id_col, text_col)
     rb = minhash_bands(reps, id_col, text_col, **lsh).withColumnRenamed(id_col, "_rep")
     nb = minhash_bands(new.select(id_col, text_col), id_col, text_col, **lsh)
-    matched = nb.join(rb, "band_key").groupBy(id_col).agg(F.min("_rep").alias(rep_col))
+    # One row per band first: only the smallest representative of a band can be chosen.
+    smallest = materialise(rb.groupBy("band_key").agg(F.min("_rep").alias("_rep")), "bands")
+    matched = nb.join(smallest, "band_key").groupBy(id_col).agg(F.min("_rep").alias(rep_col))
     rest = new.join(matched.select(id_col), id_col, "left_anti")
     fresh = cluster_sequences(rest.select(id_col, text_col), id_col, text_col, **lsh)
     return existing.select(id_col, rep_col).unionByName(matched).unionByName(fresh)

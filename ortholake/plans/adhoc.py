@@ -1,23 +1,27 @@
 """Guarded ad-hoc SQL over the catalogue views.
 
-The statement runs through ``spark.sql`` on the catalogue's temp views. It is refused when
-it contains a data-changing keyword (same word list as the studied app) and, as a second
-line, when Spark's analysed plan is a command rather than a query. ``{{ limit }}``
-becomes 100 and ``?`` placeholders become NULL; at most ``max_rows`` rows are returned,
-with a ``truncated`` flag computed from one extra row.
+The statement is parsed first and runs only if nothing speaks against it: no data-changing
+word (the studied app's list), a query and no command or other statement, and no relation but
+the catalogue's views and the statement's own common table expressions (so no file path and
+no other table), and no call of Java methods. ``{{ limit }}`` becomes 100 and ``?`` placeholders become NULL; at
+most ``max_rows`` rows are returned, and every row tells in ``truncated`` whether there were more.
 """
 
 from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
 from ortholake.catalog import Catalog
 
 # Words refused in ad-hoc statements, the template limit and the row cap.
-FORBIDDEN_WORDS = ["INSERT", "UPDATE", "DELETE", "DROP", "CREATE", "ALTER", "TRUNCATE", "REPLACE"]
+FORBIDDEN_WORDS = ["CREATE", "DROP", "ALTER", "INSERT", "UPDATE", "DELETE", "TRUNCATE", "VACUUM"]
 TEMPLATE_LIMIT = 100
 MAX_ROWS = 1000
+# Functions that reach outside the data.
+FORBIDDEN_FUNCTIONS = ["reflect", "java_method", "try_reflect"]
 
 
 class RefusedQuery(ValueError):
@@ -33,17 +37,39 @@ def prepare(sql: str) -> str:
     return sql.replace("?", "NULL")
 
 
+def check(spark: SparkSession, sql: str, views: list[str]) -> None:
+    """Refuse, before anything runs, what is not a plain query over ``views``."""
+    plan = spark._jsparkSession.sessionState().sqlParser().parsePlan(sql)
+    classes, c = [], plan.getClass()
+    while c is not None:
+        classes += [c.getName(), *[i.getName() for i in c.getInterfaces()]]
+        c = c.getSuperclass()
+    if any(n.endswith(("Command", "ParsedStatement", "CompoundBody")) for n in classes):
+        raise RefusedQuery(f"statement is no query ({plan.nodeName()})")
+    own = {m.lower() for m in re.findall(r"([A-Za-z_]\w*)\s*(?:\([^()]*\)\s*)?AS\s*\(", sql, re.I)}
+    for name in re.findall(r"UnresolvedRelation \[([^\]]*)\]", plan.treeString()):
+        if name.strip().strip("`").lower() not in {v.lower() for v in views} | own:
+            raise RefusedQuery(f"relation {name} is not a catalogue view")
+    for name in FORBIDDEN_FUNCTIONS:
+        if re.search(rf"\b{name}\b", sql, re.I):
+            raise RefusedQuery(f"function {name} is not allowed")
+
+
 def guarded_sql(cat: Catalog, sql: str, max_rows: int = MAX_ROWS) -> DataFrame:
+    """At most ``max_rows`` rows of the statement, with ``truncated``."""
     text = prepare(sql)
+    check(cat.spark, text, cat.names)
     cat.register_views()
     df = cat.spark.sql(text)
-    plan = df._jdf.queryExecution().analyzed().nodeName()
-    if "Command" in plan:
-        raise RefusedQuery(f"statement is a command ({plan})")
-    # One extra row tells whether the cap cut the result; only max_rows + 1 rows ever move.
-    return df.limit(max_rows + 1)
+    # One extra row tells whether the cap cuts the result; only max_rows + 1 rows ever move.
+    more = df.limit(max_rows + 1).agg((F.count(F.lit(1)) > max_rows).alias("truncated"))
+    return df.limit(max_rows).join(F.broadcast(more))      # one row
 
 
 def guarded_sql_result(cat: Catalog, sql: str, max_rows: int = MAX_ROWS) -> tuple[list, bool]:
-    rows = guarded_sql(cat, sql, max_rows).collect()
+    """The rows on the driver (``max_rows`` at most) and the flag."""
+    text = prepare(sql)
+    check(cat.spark, text, cat.names)
+    cat.register_views()
+    rows = cat.spark.sql(text).limit(max_rows + 1).collect()
     return rows[:max_rows], len(rows) > max_rows

@@ -549,7 +549,7 @@ def catalog_totals(cat: Catalog) -> DataFrame:
 
 
 def table_preview(cat: Catalog, n: int = 3) -> DataFrame:
-    """First ``n`` rows of every table by primary key, as (table_name, row_json): a top-k per
+    """First ``n`` rows of every table by primary key, as (table_name, row_key, row_json): a top-k per
     table (TakeOrderedAndProject), never a full sort."""
     from ortholake.catalog import PRIMARY_KEYS
 
@@ -558,5 +558,5 @@ def table_preview(cat: Catalog, n: int = 3) -> DataFrame:
         df = cat[name]
         key = [k for k in PRIMARY_KEYS.get(name, []) if k in df.columns] or df.columns[:1]
         top = df.orderBy(*key).limit(n)
-        parts.append(top.select(F.lit(name).alias("table_name"), F.to_json(F.struct(*key)).alias("row_key")))
+        parts.append(top.select(F.lit(name).alias("table_name"), F.to_json(F.struct(*key)).alias("row_key"), F.to_json(F.struct(*df.columns)).alias("row_json")))
     return reduce(DataFrame.unionAll, parts)

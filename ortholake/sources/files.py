@@ -53,16 +53,27 @@ def sample_from_path(suffix_regex: str = r"\..*$") -> Column:
 def scan_fasta(spark: SparkSession, path: str) -> DataFrame:
     """FASTA records: (sample_id, file_path, id, description, sequence, length).
 
-    Records are split on '>' so multi-line sequences stay whole; the empty chunk before the
-    first header and empty records from a stray '>>' are dropped."""
-    raw = spark.read.option("lineSep", ">").text(path).select("value", F.col("_metadata.file_path").alias("file_path"))
+    Records start with '>' at the start of a line (a '>' inside a header belongs to it), so
+    multi-line sequences stay whole. Further '>' in front of a header are dropped, and records
+    with an empty header are left out."""
+    raw = spark.read.option("lineSep", FASTA_SEPARATOR).text(path).select("value", F.col("_metadata.file_path").alias("file_path"))
+    return fasta_records(raw)
+
+
+#: What stands between two records; the first one of a file keeps its '>'.
+FASTA_SEPARATOR = "\n>"
+
+
+def fasta_records(raw: DataFrame) -> DataFrame:
+    """Parse (value, file_path) chunks between record starts; shared by batch and stream."""
+    own = F.regexp_replace("value", r"^>+", "")
     rec = raw.select(
         "file_path",
-        F.regexp_extract("value", r"^([^\n]*)", 1).alias("header"),
-        F.regexp_replace(F.regexp_extract("value", r"^[^\n]*\n([\s\S]*)$", 1), r"[\s]", "").alias("sequence"),
-    ).filter(F.length(F.trim(F.col("header"))) > 0)
+        F.regexp_extract(own, r"^([^\n]*)", 1).alias("header"),
+        F.regexp_replace(F.regexp_extract(own, r"^[^\n]*\n([\s\S]*)$", 1), r"[\s]", "").alias("sequence"),
+    )
     hdr = F.trim(F.regexp_replace("header", r"\r", ""))
-    return rec.select(
+    return rec.filter(F.length(hdr) > 0).select(
         F.regexp_replace(F.regexp_extract("file_path", r"([^/]+)$", 1), r"\..*$", "").alias("sample_id"),
         "file_path",
         F.split_part(hdr, F.lit(" "), F.lit(1)).alias("id"),

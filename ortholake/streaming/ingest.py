@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 from ortholake.catalog import SCHEMA_V2, Catalog, _exists
 from ortholake.operators import ingest as ig
 from ortholake.operators import maintain as mt
-from ortholake.sources.files import EDGE_SCHEMA
+from ortholake.sources.files import EDGE_SCHEMA, FASTA_SEPARATOR, fasta_records
 
 LEDGER_SCHEMA = T.StructType([
     T.StructField("batch_id", T.LongType()), T.StructField("sample_id", T.StringType()),
@@ -38,17 +38,12 @@ def _table(spark: SparkSession, root: str, name: str, schema: T.StructType) -> D
 
 
 def _fasta_stream(spark: SparkSession, drop_dir: str) -> DataFrame:
-    raw = spark.readStream.format("text").option("lineSep", ">").load(drop_dir)
+    raw = spark.readStream.format("text").option("lineSep", FASTA_SEPARATOR).load(drop_dir)
     return raw.select("value", F.col("_metadata.file_path").alias("file_path"))
 
 
 def _records(batch: DataFrame) -> DataFrame:
-    hdr = F.trim(F.regexp_replace(F.regexp_extract("value", r"^([^\n]*)", 1), r"\r", ""))
-    seq = F.regexp_replace(F.regexp_extract("value", r"^[^\n]*\n([\s\S]*)$", 1), r"\s", "")
-    return batch.select(
-        F.regexp_replace(F.regexp_extract("file_path", r"([^/]+)$", 1), r"\..*$", "").alias("sample_id"),
-        F.split_part(hdr, F.lit(" "), F.lit(1)).alias("seqhash_id"), seq.alias("sequence"),
-    ).filter(F.length("seqhash_id") > 0)
+    return fasta_records(batch).select("sample_id", F.col("id").alias("seqhash_id"), "sequence")
 
 
 def stream_ingest(spark: SparkSession, drop_dir: str, catalog_root: str, checkpoint: str,
