@@ -100,7 +100,12 @@ def format_pairs(pairs: DataFrame, convs: DataFrame) -> DataFrame:
     rejected_spans) for each pair."""
     a = convs.select(F.col("conv").alias("chosen"), F.col("turns").alias("ta"))
     b = convs.select(F.col("conv").alias("rejected"), F.col("turns").alias("tb"))
-    j = pairs.join(a, "chosen").join(b, "rejected", "left")
+    # Conversations without a partner take no part in the second join, where their null would
+    # be one key for all of them.
+    j = pairs.join(a, "chosen")
+    single = j.filter(F.col("rejected").isNull()).withColumn("tb", F.lit(None).cast(convs.schema["turns"].dataType))
+    j = j.filter(F.col("rejected").isNotNull()).join(b, "rejected", "left").select("chosen", "rejected", "ta", "tb").unionByName(
+        single.select("chosen", "rejected", "ta", "tb"))
     alone = F.greatest(F.size("ta") - 1, F.lit(0))
     j = j.withColumn("n", F.when(F.col("tb").isNull(), alone).otherwise(common_prefix(F.col("ta"), F.col("tb"))))
     rest = lambda c: F.when(F.col(c).isNotNull(), F.slice(c, F.col("n") + 1, F.greatest(F.size(c) - F.col("n"), F.lit(0))))
