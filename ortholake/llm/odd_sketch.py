@@ -292,8 +292,8 @@ def link_classes(docs: DataFrame, reps: DataFrame, words: int, percent: int, ban
             break
         turn += 1
 
-    comp = materialise(star_forest(found, "a", "b"), "components")
-    rest = rest.drop("label").join(comp, "id", "left").withColumn("label", F.coalesce("component", "id")).drop("component")
+    # The last star connected little, so its links need no new labels: a pair that it connected is
+    # only compared once more.
     rest = materialise(rest.join(sketches, "id"), "open-buckets")
     x, y = rest.filter("label != main").alias("x"), rest.filter("id != center").alias("y")
     other = (F.col("x.key") == F.col("y.key")) & (F.col("x.label") != F.col("y.label")) & (F.col("x.id") != F.col("x.center")) & (
