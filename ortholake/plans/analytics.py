@@ -270,11 +270,14 @@ def go_counts_by_organism(cat: Catalog, sample_ids=None, go_terms=None) -> DataF
     if go_terms is not None:
         g = id_filter(g, "go_term", go_terms)
     j = g.join(s, "seqhash_id").join(cat.sra_metadata.select("sample_id", "organism"), "sample_id")
+    # One row per sequence first: a single distinct count is left, which needs no Expand.
+    rep = F.max(F.when(F.col("is_representative"), F.col("repseq_id")))
+    per_seq = j.groupBy("go_term", "organism", "seqhash_id").agg(F.count(F.lit(1)).alias("n"), rep.alias("rep"))
     return (
-        j.groupBy("go_term", "organism").agg(
-            F.count(F.lit(1)).alias("term_count"),
-            F.count_distinct("seqhash_id").alias("seqhash_count"),
-            F.count_distinct(F.when(F.col("is_representative"), F.col("repseq_id"))).alias("repseq_count"),
+        per_seq.groupBy("go_term", "organism").agg(
+            F.sum("n").alias("term_count"),
+            F.count("seqhash_id").alias("seqhash_count"),
+            F.count_distinct("rep").alias("repseq_count"),
         ).orderBy(F.col("term_count").desc(), "go_term", "organism")
     )
 
@@ -324,8 +327,8 @@ def taxon_ortholog_counts(cat: Catalog, taxa: list[str]) -> DataFrame:
         cat.sequences.select("seqhash_id", "sample_id"), "seqhash_id"
     ).join(cat.sra_metadata.select("sample_id", "organism"), "sample_id")
     entries = a.select("sample_id", "organism", F.explode(F.split(F.col("eggnog_ogs"), ",")).alias("entry"))
-    kw = cat.spark.createDataFrame([(t,) for t in taxa], "taxon string")  # user's keyword list: bounded
-    hits = entries.join(F.broadcast(kw), F.col("entry").contains(F.col("taxon")))
+    named = F.array(*[F.when(F.col("entry").contains(F.lit(t)), F.lit(t)) for t in taxa]).cast("array<string>")
+    hits = entries.select("sample_id", "organism", "entry", F.explode(F.filter(named, lambda t: t.isNotNull())).alias("taxon"))
     counts = hits.groupBy("sample_id", "organism", "taxon").agg(
         F.count_distinct(F.split_part(F.col("entry"), F.lit("@"), F.lit(1))).alias("ortholog_count")
     )

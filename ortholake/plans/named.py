@@ -124,9 +124,13 @@ def annotation_with_expression(cat: Catalog, sample_id: str | None = None, limit
     e = cat.expression.select(F.col("gene_seqhash_id").alias("gene_id"), F.col("sample_id").alias("e_sample"), "tpm", "num_reads")
     s = cat.sequences.select(F.col("seqhash_id").alias("protein_id"), F.col("length").alias("protein_length"))
     sm = cat.sra_metadata.select("sample_id", "organism")
-    j = a.join(gpm, "protein_id").join(e, "gene_id").join(s, "protein_id").join(sm, "sample_id")
+    # The top rows are found by keys; text columns join the few that remain.
+    order = [F.col("tpm").desc(), F.col("protein_id"), F.col("e_sample")]
+    ids = a.select("protein_id", "sample_id").join(sm, "sample_id", "left_semi").join(s, "protein_id", "left_semi")
+    top = e.join(gpm, "gene_id").join(ids, "protein_id", "left_semi").orderBy(*order).limit(limit)
     return (
-        j.orderBy(F.col("tpm").desc(), F.col("protein_id"), F.col("e_sample"))
+        top.join(a, "protein_id").join(s, "protein_id").join(sm, "sample_id")
+        .orderBy(*order)
         .limit(limit)
         .select("protein_id", "gene_id", "preferred_name", "description", "tpm", "num_reads", "protein_length",
                 "sample_id", "organism")
@@ -671,9 +675,11 @@ def top_expressed_sequences(cat: Catalog, limit: int = 10, sample_id: str | None
         "is_representative",
     )
     a = cat.annotations.select("seqhash_id", "description", "preferred_name")
-    j = e.join(gpm, "gene_seqhash_id").join(s, "seqhash_id").join(a, "seqhash_id", "left")
+    order = [F.col("tpm").desc(), F.col("gene_seqhash_id"), F.col("sample_id"), F.col("seqhash_id")]
+    top = e.join(gpm, "gene_seqhash_id").join(s, "seqhash_id").orderBy(*order).limit(limit)
     return (
-        j.orderBy(F.col("tpm").desc(), F.col("gene_seqhash_id"), F.col("sample_id"), F.col("seqhash_id"))
+        top.join(a, "seqhash_id", "left")       # a left join cannot change which rows win
+        .orderBy(*order)
         .limit(limit)
         .select("gene_seqhash_id", "sample_id", "original_sample", "tpm", "num_reads", "effective_length",
                 "sequence_length", "is_representative", "description", "preferred_name")
