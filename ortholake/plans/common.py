@@ -54,27 +54,34 @@ def empty_ids(spark: SparkSession) -> DataFrame:
 
 
 MEDIAN_BUCKETS = 1 << 16
+MEDIAN_BRACKET = [0.499, 0.501]       # ranks around the middle, and the sketch's accuracy
+MEDIAN_ACCURACY = 10_000
 
 
 def exact_median(df: DataFrame, col: str, out: str = "median") -> DataFrame:
     """Exact (interpolated) median of ``col`` as a one-row frame, without sending all values
     to one task.
 
-    1. one-row stats (n, min, max); 2. an equal-width histogram of at most
-    ``MEDIAN_BUCKETS`` rows, whose running count finds the one or two buckets holding the
-    middle ranks; 3. only those buckets' rows are ranked, after collapsing equal values, so a
-    hot value cannot inflate the ranking step. NULLs are ignored; an empty input gives NULL."""
+    1. one-row stats: n, and a bracket of the middle from a quantile sketch, so that outliers
+    do not widen the buckets; 2. an equal-width histogram of the bracket, with a bucket for all
+    values below and one for all above it (exact even where the sketch is off), whose running
+    count finds the one or two buckets holding the middle ranks; 3. only those buckets' rows
+    are ranked, after collapsing equal values, so a hot value cannot inflate the ranking step.
+    NULLs are ignored; an empty input gives NULL."""
     x = df.select(F.col(col).cast("double").alias("x")).filter(F.col("x").isNotNull())
-    stats = x.agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi")).withColumn("_k", F.lit(1))
+    middle = F.percentile_approx("x", MEDIAN_BRACKET, MEDIAN_ACCURACY)
+    stats = x.agg(F.count(F.lit(1)).alias("n"), middle.alias("m"))
+    stats = stats.select("n", F.get("m", F.lit(0)).alias("lo"), F.get("m", F.lit(1)).alias("hi"), F.lit(1).alias("_k"))
     span = F.col("hi") - F.col("lo")
-    bucket = F.when(span > 0, F.least(F.floor((F.col("x") - F.col("lo")) / span * MEDIAN_BUCKETS),
+    bucket = F.when(F.col("x") < F.col("lo"), F.lit(-1)).when(F.col("x") > F.col("hi"), F.lit(MEDIAN_BUCKETS))
+    bucket = bucket.when(span > 0, F.least(F.floor((F.col("x") - F.col("lo")) / span * MEDIAN_BUCKETS),
                                       F.lit(MEDIAN_BUCKETS - 1))).otherwise(F.lit(0)).cast("long")
     # one-row stats frame: a proven size bound for the broadcast
     xb = x.withColumn("_k", F.lit(1)).join(F.broadcast(stats), "_k").withColumn("b", bucket)
     k1 = F.floor((F.col("n") - 1) / 2)          # 0-based middle ranks
     k2 = F.floor(F.col("n") / 2)
     hist = xb.groupBy("b").agg(F.count(F.lit(1)).alias("c"), F.max("n").alias("n"))
-    # at most MEDIAN_BUCKETS rows: the running count below runs over a bounded frame
+    # at most MEDIAN_BUCKETS + 2 rows: the running count below runs over a bounded frame
     hist = hist.withColumn("cum", F.sum("c").over(Window.orderBy("b").rowsBetween(Window.unboundedPreceding, 0)))
     hist = hist.withColumn("start", F.col("cum") - F.col("c"))
     covers = lambda k: (F.col("start") <= k) & (k < F.col("cum"))

@@ -7,8 +7,9 @@ T2 ``stream_cluster_update``: edge-list files dropped into a folder are applied
 ``ignore`` semantics (existing clusters kept, new clusters and member pairs appended).
 
 Both are idempotent: rows are appended only after an anti-join against what is already on
-disk, and each micro-batch records (batch_id, sample_id) in a ledger; a replayed batch
-(after a failure between the data append and the ledger append) therefore adds nothing.
+disk, and each micro-batch records (batch_id, sample_id) in a ledger before its data. A batch
+replayed after a failure keeps the ledger rows of its first attempt, which saw the catalogue
+without this batch, and appends only the data still missing.
 Stream progress lives in ``checkpoint`` (the caller passes a folder on shared storage).
 """
 
@@ -62,15 +63,16 @@ def stream_ingest(spark: SparkSession, drop_dir: str, catalog_root: str, checkpo
             "gene_protein_map": _table(spark, catalog_root, "gene_protein_map", SCHEMA_V2["gene_protein_map"]),
         })
         res = ig.ingest_sequences(rec, cat, as_of)
-        new_seqs = res.accepted
-        new_gpm = ig.ingest_gene_protein_map(rec.select("seqhash_id").distinct(), cat)
-        new_seqs.write.mode("append").parquet(os.path.join(catalog_root, "sequences"))
-        new_gpm.write.mode("append").parquet(os.path.join(catalog_root, "gene_protein_map"))
         report = res.records.groupBy("sample_id").agg(
             F.sum((~F.col("is_duplicate")).cast("long")).alias("sequences_loaded"),
             F.sum(F.col("is_duplicate").cast("long")).alias("duplicates"),
         ).select(F.lit(batch_id).cast("long").alias("batch_id"), "sample_id", "sequences_loaded", "duplicates")
-        report.write.mode("append").parquet(os.path.join(catalog_root, "_ingest_ledger"))
+        noted = ledger.filter(F.col("batch_id") == batch_id).select("sample_id")
+        report.join(noted, "sample_id", "left_anti").select(*LEDGER_SCHEMA.names).write.mode("append").parquet(
+            os.path.join(catalog_root, "_ingest_ledger"))
+        res.accepted.write.mode("append").parquet(os.path.join(catalog_root, "sequences"))
+        new_gpm = ig.ingest_gene_protein_map(rec.select("seqhash_id").distinct(), cat)
+        new_gpm.write.mode("append").parquet(os.path.join(catalog_root, "gene_protein_map"))
 
     writer = _fasta_stream(spark, drop_dir).writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")

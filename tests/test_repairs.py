@@ -1,6 +1,7 @@
 """Faults found on larger or odder inputs than the fixture's."""
 
 import os
+import statistics
 
 import pytest
 from pyspark.sql import functions as F
@@ -93,3 +94,14 @@ def test_adhoc_statements_are_refused_without_effect(spark, scratch):
     ok = adhoc.guarded_sql(cat, "WITH s AS (SELECT replace(sample_id, 'a', 'b') AS x FROM sequences) SELECT x FROM s", max_rows=5).collect()
     assert len(ok) == 5 and all(r["truncated"] for r in ok)
     assert not adhoc.guarded_sql(cat, "SELECT count(*) AS n FROM sequences").first()["truncated"]
+
+
+def test_median_with_an_outlier(spark):
+    """One huge value does not put all others into one bucket, and the median stays exact."""
+    from ortholake.plans.common import exact_median
+
+    values = [float(i % 1000) / 7 for i in range(20_001)] + [1e15]
+    df = spark.createDataFrame([(v,) for v in values] + [(None,)], "x double")
+    assert exact_median(df, "x").first()[0] == pytest.approx(statistics.median(values), abs=0)
+    assert exact_median(df.filter("x is null"), "x").first()[0] is None
+    assert exact_median(spark.createDataFrame([(2.0,), (5.0,)], "x double"), "x").first()[0] == 3.5

@@ -2,6 +2,9 @@
 
 import os
 
+import pytest
+
+from ortholake.operators import ingest as ig
 from ortholake.streaming import stream_cluster_update, stream_ingest
 
 
@@ -33,3 +36,25 @@ def test_stream_ingest_and_cluster_update(spark, scratch):
     sizes = {r["cluster_id"]: r["size"] for r in spark.read.parquet(f"{root}/clusters").collect()}
     assert sizes == {"g1.p1": 2, "g2.p1": 1}
     assert spark.read.parquet(f"{root}/cluster_members").count() == 4
+
+
+def test_replayed_batch_keeps_its_report(spark, scratch, monkeypatch):
+    """A batch that failed between its appends is replayed: same report, nothing twice or missing."""
+    drop, root, ck = (os.path.join(scratch, d) for d in ("drop", "catalog", "ck"))
+    os.makedirs(drop)
+    with open(f"{drop}/S1.pep", "w") as f:
+        f.write(">g1.p1\nMKV\n>g1.p2\nMKVL\n")
+
+    def lost(*_):
+        raise RuntimeError("lost between two appends")
+
+    with monkeypatch.context() as m:
+        m.setattr(ig, "ingest_gene_protein_map", lost)
+        with pytest.raises(Exception, match="lost between two appends"):
+            stream_ingest(spark, drop, root, ck).awaitTermination()
+    assert spark.read.parquet(f"{root}/sequences").count() == 2
+    stream_ingest(spark, drop, root, ck).awaitTermination()
+    assert spark.read.parquet(f"{root}/sequences").count() == 2
+    assert spark.read.parquet(f"{root}/gene_protein_map").count() == 2
+    ledger = [(r["sample_id"], r["sequences_loaded"], r["duplicates"]) for r in spark.read.parquet(f"{root}/_ingest_ledger").collect()]
+    assert ledger == [("S1", 2, 0)]
