@@ -9,14 +9,17 @@ blocks inside it remain. What is still undecided are the blocks in generic branc
 
 For these the pages of a host are merged into one style tree: a branch is a path of tags
 (with class and id) from the root, its style on a page the sequence of tags below it, and its
-content the texts of its blocks. With m pages of the host and 1 - sum of p log_m p terms:
+content the texts of its blocks. With m distinct pages of the host and 1 - sum of p log_m p
+terms:
 
 * presentation importance: the entropy (base m) of the branch's styles over its pages;
 * content importance: 1 - the mean over its texts of log_m(pages that hold the text).
 
 A branch whose importance, the mean of both weighted by ``PRESENTATION_WEIGHT``, is below
 ``LOW`` looks and reads alike on nearly all pages and is removed from each of them. Only branches
-on ``MIN_PAGES`` pages or more are judged: fewer say nothing about a template. Text blocks
+on ``MIN_PAGES`` pages or more are judged: fewer say nothing about a template. Pages of a host
+with the same sequence of blocks count as one page, as copies of one article look and read
+alike without being a template. Text blocks
 that stand directly in an article are content by definition and are never judged.
 
 Text: character references are decoded, white space inside a block becomes one space, blocks
@@ -192,15 +195,17 @@ def page_blocks(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
 def low_branches(blocks: DataFrame) -> DataFrame:
     """(host, low array<string>): the branches of low importance, for hosts that have any.
 
-    All steps are grouped counts. The array holds a host's template branches only: each is on
-    ``MIN_PAGES`` pages or more and nearly alike on them."""
-    size = blocks.groupBy("host").agg(F.count(F.lit(1)).cast("double").alias("m"))
-    undecided = blocks.select("id", "host", F.explode(F.filter("blocks", lambda b: b["branch"] != "")).alias("b"))
-    rows = undecided.select("id", "host", F.col("b.branch").alias("branch"), F.col("b.style").alias("style"), F.xxhash64("b.text").alias("text"))
-    per_page = rows.groupBy("host", "branch", "id").agg(F.hash(F.array_sort(F.collect_set("style"))).alias("style"))
+    All steps are grouped counts. A page stands for all its copies: it is known by the digest
+    of its blocks, not by its id. The array holds a host's template branches only: each is on
+    ``MIN_PAGES`` distinct pages or more and nearly alike on them."""
+    pages = blocks.select("host", F.xxhash64("blocks").alias("page"), "blocks")
+    size = pages.groupBy("host", "page").agg(F.lit(1).alias("one")).groupBy("host").agg(F.count(F.lit(1)).cast("double").alias("m"))
+    undecided = pages.select("page", "host", F.explode(F.filter("blocks", lambda b: b["branch"] != "")).alias("b"))
+    rows = undecided.select("page", "host", F.col("b.branch").alias("branch"), F.col("b.style").alias("style"), F.xxhash64("b.text").alias("text"))
+    per_page = rows.groupBy("host", "branch", "page").agg(F.hash(F.array_sort(F.collect_set("style"))).alias("style"))
     styles = per_page.groupBy("host", "branch", "style").agg(F.count(F.lit(1)).cast("double").alias("c"))
     shape = styles.groupBy("host", "branch").agg(F.sum("c").alias("pages"), F.sum(F.col("c") * F.log("c")).alias("clogc"))
-    texts = rows.groupBy("host", "branch", "text", "id").agg(F.lit(1).alias("one")).groupBy("host", "branch", "text").agg(F.count(F.lit(1)).cast("double").alias("k"))
+    texts = rows.groupBy("host", "branch", "text", "page").agg(F.lit(1).alias("one")).groupBy("host", "branch", "text").agg(F.count(F.lit(1)).cast("double").alias("k"))
     same = texts.groupBy("host", "branch").agg(F.avg(F.log("k")).alias("logk"))
     j = shape.filter(F.col("pages") >= MIN_PAGES).join(same, ["host", "branch"]).join(size, "host")
     entropy = F.log("pages") - F.col("clogc") / F.col("pages")

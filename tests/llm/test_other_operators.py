@@ -113,6 +113,16 @@ def test_style_tree_removes_template_branches(spark, prose):
         assert "Stay tuned" not in r["text"] and prose(r["page_id"], 20) in r["text"] and prose(99, 5) in r["text"]
 
 
+def test_copies_of_a_page_are_no_template(spark, prose):
+    one = f"<article id='post-12'><h1>Title</h1><div class='body'><p>{prose(7, 30)}</p></div></article>"
+    rows = [(i, f"http://mirror.example/{i}", one) for i in range(6)]                      # a host of copies only
+    rows += [(100 + i, f"http://h.example/copy/{i}", one) for i in range(6)]
+    rows += [(200 + i, f"http://h.example/{i}", f"<article><h1>t{i}</h1><div class='x1'><p>Stay tuned for more</p></div><p>{prose(i, 20)}</p></article>") for i in range(8)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for r in site_style.main_text(df).collect():
+        assert r["text"] == (f"Title\n{prose(7, 30)}" if r["page_id"] < 200 else f"t{r['page_id'] - 200}\n{prose(r['page_id'] - 200, 20)}")
+
+
 # 10 -----------------------------------------------------------------------------------
 def test_archives_round_trip(spark, scratch):
     rows = [(i, f"http://h.example/{i}\n" if i % 3 else None, ["", None, "é" * 70_000, "same", f"p{i}\r\n\r\nx"][i % 5]) for i in range(60)] + [(7, "u", "same"), (None, "u", "lone")]
