@@ -3,13 +3,18 @@
 Per document: word_chars (code points in words), n_symbols (characters of ``[#*$%&|<>]``),
 n_dup_lines (lines with a word that equal an earlier line), n_repeat_words (words inside
 8-word windows found twice or more in the text). ``base_failed``: fewer than 20 words, or
-more than 30 % of the words repeated. Soft rules flag lesser faults (``SOFT_RULES``).
+more than 30 % of the words repeated. Soft rules flag lesser faults (``SOFT_RULES``); a
+document that fails a severe one of them (``SEVERE``) is not kept on any host.
 
 Per host: the failures of its documents (base or soft rule) are counted, and the rate is
 shrunk towards the corpus by a beta prior whose mean and strength are fitted to the host
-rates by moments. A host whose shrunk rate exceeds ``host_limit`` is distrusted, and its
-documents are held to the soft rules too: kept = not base_failed and not (host distrusted
-and a soft rule failed). A clean document is thus never lost to its neighbours.
+rates by moments. The limit comes from that prior: a host is distrusted if its shrunk rate
+exceeds the corpus mean both by a prior standard deviation and by half of the mean, or exceeds
+``host_limit`` in any case. Documents of a distrusted host are held to the soft rules too:
+kept = not base_failed and no severe rule failed and not (host distrusted and a soft rule
+failed). A clean document is thus never lost to its neighbours. Where hosts differ no more
+than samples of their size do, the prior is narrow, all shrunk rates are near the mean, and no
+host is distrusted.
 
 Words are ``[^\\x20\\x09-\\x0D]+``. Defined results: a null text counts as the empty text (no
 words, base_failed); documents without a host form a host of their own; repeated rows count
@@ -28,7 +33,8 @@ from ortholake.llm.common import fresh, materialise, table, text_or_empty
 WINDOW = 8
 MIN_WORDS = 20
 REPEAT_PERCENT = 30
-HOST_LIMIT = 0.5
+HOST_LIMIT = 0.5         # a shrunk rate above it is distrusted whatever the prior
+HOST_EXCESS = 1.5        # least ratio of a distrusted host's shrunk rate to the corpus mean
 SPACES = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
 
@@ -41,6 +47,8 @@ SOFT_RULES = {
     "repeats": "n_repeat_words * 10 > n_words",
     "lengths": "word_chars < 2 * n_words or word_chars > 15 * n_words",
 }
+#: Soft rules that count by themselves, whatever the host.
+SEVERE = ["symbols"]
 
 
 def window_hashes(words: Column, n: int = WINDOW) -> Column:
@@ -95,16 +103,19 @@ def measure(docs: DataFrame, text_col: str = "text", keep: list[str] | None = No
     return d.withColumn("base_failed", failed)
 
 
-def soft_failed() -> Column:
+def soft_failed(names: list[str] | None = None) -> Column:
     out = F.lit(False)
-    for rule in SOFT_RULES.values():
-        out = out | F.expr(rule)
+    for name in names if names is not None else SOFT_RULES:
+        out = out | F.expr(SOFT_RULES[name])
     return out
 
 
 def host_verdicts(measured: DataFrame, host: str, host_limit: float = HOST_LIMIT) -> DataFrame:
     """(host, n_docs, n_failed, rate, distrusted): failure rates shrunk by a beta prior with
-    mean ``mu`` and strength ``s`` (prior documents), by the moments of the host rates."""
+    mean ``mu`` and strength ``s`` (prior documents), by the moments of the host rates.
+
+    The limit is max(``HOST_EXCESS`` * mu, mu + the prior's standard deviation), at most
+    ``host_limit``."""
     fails = F.col("base_failed") | F.col("soft_failed")
     hosts = measured.groupBy(host).agg(F.count(F.lit(1)).alias("n_docs"), F.sum(fails.cast("long")).alias("n_failed"))
     hosts = materialise(hosts, "hosts")
@@ -118,7 +129,9 @@ def host_verdicts(measured: DataFrame, host: str, host_limit: float = HOST_LIMIT
     between = F.greatest(F.col("_var") - F.col("_noise"), F.lit(1e-6))
     prior = spread.select("_mu", F.greatest(mu * (1 - mu) / between - 1, F.lit(1.0)).alias("_s"))
     rate = (k + mu * F.col("_s")) / (n + F.col("_s"))
-    return hosts.join(F.broadcast(prior)).select(F.col(host), "n_docs", "n_failed", rate.alias("rate"), (rate > host_limit).alias("distrusted"))
+    above = F.greatest(HOST_EXCESS * mu, mu + F.sqrt(mu * (1 - mu) / (F.col("_s") + 1)))
+    limit = F.least(F.lit(host_limit), above)
+    return hosts.join(F.broadcast(prior)).select(F.col(host), "n_docs", "n_failed", rate.alias("rate"), (rate > limit).alias("distrusted"))
 
 
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host: Column | None = None,
@@ -128,7 +141,7 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host:
     m = materialise(measure(d, text_col, [id_col, "_host"]).withColumn("soft_failed", soft_failed()), "measures")
     verdicts = materialise(host_verdicts(m, "_host", host_limit), "verdicts").select(F.col("_host").alias("_h"), "rate", "distrusted")
     j = m.join(verdicts, F.col("_host") == F.col("_h"), "left")
-    kept = ~F.col("base_failed") & ~(F.col("distrusted") & F.col("soft_failed"))
+    kept = ~F.col("base_failed") & ~soft_failed(SEVERE) & ~(F.col("distrusted") & F.col("soft_failed"))
     return j.select(id_col, *MEASURES, "base_failed", kept.alias("kept"), F.col("_host").alias("host"), F.col("rate").alias("host_rate"))
 
 
@@ -141,7 +154,7 @@ def keep_documents(docs: DataFrame, host: Column | None = None, host_limit: floa
     m = measure(d, "text", [h]).withColumn("soft_failed", soft_failed())
     bad = host_verdicts(m, h, host_limit).filter("distrusted").select(F.col(h).alias(f))
     row = measure(d.select(F.struct("*").alias("_row"), F.col("text")), "text", ["_row"]).withColumn("soft_failed", soft_failed())
-    row = row.filter(~F.col("base_failed"))
+    row = row.filter(~F.col("base_failed") & ~soft_failed(SEVERE))
     out = row.join(materialise(bad, "distrusted"), F.col("_row")[h] == F.col(f), "left")
     return out.filter(F.col(f).isNull() | ~F.col("soft_failed")).select(*[F.col("_row")[c].alias(c) for c in own])
 

@@ -175,6 +175,21 @@ def test_hosts_shrink_and_spare_clean_documents(spark, prose):
     assert out[300]["kept"] and out[500]["host_rate"] < out[0]["host_rate"]     # one document alone is shrunk towards the corpus
 
 
+def test_host_limit_follows_the_corpus(spark, prose):
+    bad, good, symbols = "spam " * 40, prose(2, 40), prose(1, 30) + " ### $$$ %%% &&& ***" * 20
+    twice = " ".join([prose(5, 10)] * 2 + [prose(6, 100)])                       # fails 'repeats' only
+    rows = [(i, bad if i % 10 < 4 else good, "hot") for i in range(200)] + [(200, twice, "hot"), (201, symbols, "g0"), (202, twice, "g0")]
+    rows += [(300 + i, bad if i % 20 == 0 else prose(i, 40), f"g{i // 40}") for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = {x["doc_id"]: x for x in quality_rules.judge(df).collect()}
+    assert out[200]["host_rate"] < quality_rules.HOST_LIMIT and not out[200]["kept"]       # a third of the rows, 40 % of them junk
+    assert out[202]["kept"] and not out[201]["kept"] and out[4]["kept"]                    # symbols count on any host, repeats do not
+    assert {x["doc_id"] for x in quality_rules.keep_documents(df).select("doc_id").collect()} == {i for i, x in out.items() if x["kept"]}
+    even = df.filter("source != 'hot' and doc_id != 201")
+    hosts = quality_rules.host_verdicts(quality_rules.measure(even, "text", ["source"]).withColumn("soft_failed", quality_rules.soft_failed()), "source")
+    assert hosts.filter("distrusted").count() == 0                                         # hosts that differ by chance only
+
+
 # 7 ------------------------------------------------------------------------------------
 def test_bpe_equals_tiktoken_and_round_trips(spark, odd_docs):
     import public_tokenizers
