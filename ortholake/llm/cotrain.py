@@ -2,16 +2,19 @@
 
 Views: the text (shares of byte-class pairs, distinct words, and a few surface rates of the
 whole text) and the page metadata (language, source, length). One logistic regression per
-view is fitted on labelled rows. Over ``ROUNDS`` rounds each view scores the unlabelled pool and hands
-its most confident rows of either class, as pseudo-labels, to the other view, which is then
-refitted. In the end each view is calibrated (Platt scaling on labelled rows that neither view
+view is fitted on labelled rows. In each of ``ROUNDS`` rounds each view scores all unlabelled
+documents, and those it is sure of (``CONFIDENT``) become pseudo-labelled rows of the other view,
+which is then refitted; all pseudo-labels of a class weigh at most as much as the labelled rows
+of that class. In the end each view is calibrated (Platt scaling on labelled rows that neither view
 was fitted on), and a document's score adds the two views' calibrated log-odds, less the
 prior's counted twice. Every document of the table is scored on its whole text.
 
-Fitting uses bounded samples, documented here: at most ``MAX_LABELLED`` labelled and
-``MAX_POOL`` unlabelled documents, those with the smallest seeded hash of their id. Their
+The unlabelled side is not sampled: feature moments, gradients and curvatures are sums over all
+unlabelled rows, taken in Spark. Only the labelled rows are a bounded sample: at most
+``MAX_LABELLED`` of those in the table, with the smallest seeded hash of their id. Their
 features (under 200 numbers each) are the only rows that reach the driver. Labels, prior and
-scores beyond that cover all rows.
+scores beyond that cover all rows. Unlabelled rows without an id take no part in fitting, and
+repeated ones count each.
 
 Defined results: a null text counts as empty, null language, source or length as a value of
 their own; a document without features differs from none and gets the prior; labels that are null or
@@ -22,19 +25,21 @@ documents are kept. Rows are scored one by one, so repeated rows repeat.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ortholake.llm.common import by_batch, fresh, materialise, table, text_or_empty
+from ortholake.llm.common import by_batch, fresh, materialise, slices, table, text_or_empty
 
 MAX_LABELLED = 12_000
-MAX_POOL = 12_000
 ROUNDS = 3
-PER_ROUND = 400          # pseudo-labels of either class that a view hands over in a round
+STEPS = 2                # steps of a view's refit in a round, each one pass over the unlabelled rows
+PARTS = 16               # partial sums of such a pass that reach the driver
 CONFIDENT = 0.95         # least probability of a pseudo-label
 RIDGE = 1.0
 KEEP_FROM = 0.5
@@ -109,18 +114,16 @@ class View:
     weights: np.ndarray = field(default=None)
     platt: tuple[float, float] = (1.0, 0.0)
 
-    @classmethod
-    def over(cls, x: np.ndarray) -> View:
-        return cls(x.mean(0), np.maximum(x.std(0), 1e-3))
-
     def _design(self, x: np.ndarray) -> np.ndarray:
         z = np.clip((x - self.mean) / self.scale, -8, 8)
         return np.concatenate([z, np.ones((len(z), 1))], 1)
 
+    def penalty(self) -> np.ndarray:
+        return np.append(np.full(len(self.mean), RIDGE), 1e-3)
+
     def fit(self, x: np.ndarray, y: np.ndarray) -> View:
         d = self._design(x)
-        penalty = np.full(d.shape[1], RIDGE)
-        penalty[-1] = 1e-3
+        penalty = self.penalty()
         w = np.zeros(d.shape[1])
         for _ in range(12):
             p = _sigmoid(d @ w)
@@ -180,41 +183,72 @@ class CoTrained:
         return _sigmoid(a), _sigmoid(b), _sigmoid(a + b - self.prior)
 
 
-def co_train(xt: np.ndarray, xm: np.ndarray, y: np.ndarray, pool_t: np.ndarray, pool_m: np.ndarray, share: float,
-             rounds: int = ROUNDS, per_round: int = PER_ROUND) -> CoTrained:
-    """Fit both views on labelled rows (y 0 or 1) and an unlabelled pool. ``share``: good
-    labels among all. Every fifth labelled row is held out for calibration."""
+def _slope(d: np.ndarray, y: float | np.ndarray, w: np.ndarray) -> np.ndarray:
+    """Rows, gradient and curvature (upper triangle) of the logistic loss, as one vector. The
+    curvature is that of Jaakkola's quadratic upper bound, so that no step overshoots."""
+    z = d @ w
+    p = _sigmoid(z)
+    flat = np.abs(z) < 1e-4
+    curve = np.where(flat, 0.25, (p - 0.5) / np.where(flat, 1.0, z))
+    return np.concatenate([[len(d)], d.T @ (p - y), ((d * curve[:, None]).T @ d)[np.triu_indices(len(w))]])
+
+
+def _split(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return x[:, :N_TEXT], x[:, N_TEXT:]
+
+
+def moments(x: np.ndarray) -> np.ndarray:
+    return np.concatenate([[len(x)], x.sum(0), (x * x).sum(0)])
+
+
+def handed(views: list[View], sure: list[np.ndarray], x: np.ndarray) -> np.ndarray:
+    """For either view and class: ``_slope`` over the rows that the other view, with its weights
+    ``sure``, hands over as of that class."""
+    d = [view._design(part) for view, part in zip(views, _split(x), strict=True)]
+    out = []
+    for v in (0, 1):
+        p = _sigmoid(d[1 - v] @ sure[1 - v])
+        for label, known in ((0.0, 1 - p), (1.0, p)):
+            out.append(_slope(d[v][known >= CONFIDENT], label, views[v].weights))
+    return np.concatenate(out)
+
+
+def co_train(x: np.ndarray, y: np.ndarray, over_pool, share: float, rounds: int = ROUNDS, steps: int = STEPS) -> CoTrained:
+    """Fit both views on labelled rows (y 0 or 1) and the unlabelled ones. ``over_pool(f)``: the sum
+    of f over blocks of unlabelled rows, None without any. ``share``: good labels among all. Every
+    fifth labelled row is held out for calibration."""
     held = np.arange(len(y)) % 5 == 4
     if min(np.bincount(y[~held].astype(int), minlength=2)) == 0:
         return CoTrained(constant=share)
     if min(np.bincount(y[held].astype(int), minlength=2)) == 0:
         held = np.zeros(len(y), bool)                   # too few rows to hold any out
-    yl = y[~held].astype(float)
-    views = [View.over(np.concatenate([xt, pool_t])), View.over(np.concatenate([xm, pool_m]))]
-    own, pool = [xt[~held], xm[~held]], [pool_t, pool_m]
-    given = [np.full(len(pool_t), -1.0), np.full(len(pool_t), -1.0)]      # pseudo-labels that a view was given
-
-    def fit(v: int) -> None:
-        g = given[v] >= 0
-        views[v].fit(np.concatenate([own[v], pool[v][g]]), np.concatenate([yl, given[v][g]]))
-
-    fit(0), fit(1)
-    for _ in range(rounds):
-        hand = []
-        for v in (0, 1):
-            p = _sigmoid(views[v].raw(pool[v]))
-            new = np.full(len(p), -1.0)
-            for label, sure in ((1.0, p), (0.0, 1 - p)):
-                ok = np.flatnonzero((sure >= CONFIDENT) & (given[1 - v] < 0))
-                new[ok[np.argsort(-sure[ok], kind="stable")[:per_round]]] = label
-            hand.append(new)
-        for v in (0, 1):
-            given[v] = np.where(hand[1 - v] >= 0, hand[1 - v], given[v])
-            fit(v)
+    yl, xl = y[~held].astype(float), _split(x[~held])
+    pool = over_pool(moments)
+    total = moments(x) + (pool if pool is not None else 0)
+    mean, square = np.split(total[1:] / total[0], 2)
+    scale = np.maximum(np.sqrt(np.maximum(square - mean * mean, 0)), 1e-3)
+    views = [View(*v).fit(a, yl) for v, a in zip(((mean[:N_TEXT], scale[:N_TEXT]), (mean[N_TEXT:], scale[N_TEXT:])), xl, strict=True)]
+    pseudo = [0, 0]
+    for _ in range(rounds if pool is not None else 0):
+        sure = [v.weights for v in views]
+        for _ in range(steps):
+            got = over_pool(partial(handed, views, sure))
+            for v, view in enumerate(views):
+                n = len(view.weights)
+                one, got = np.split(got, [2 * (1 + n + n * (n + 1) // 2)])
+                whole = _slope(view._design(xl[v]), yl, view.weights)
+                pseudo[v] = 0
+                for label, part in enumerate(np.split(one, 2)):
+                    pseudo[v] += int(part[0])
+                    whole = whole + part * min(1.0, (yl == label).sum() / max(part[0], 1.0))
+                h = np.zeros((n, n))
+                h[np.triu_indices(n)] = whole[1 + n:]
+                h = h + np.triu(h, 1).T
+                view.weights = view.weights - np.linalg.solve(h + np.diag(view.penalty()), whole[1:1 + n] + view.penalty() * view.weights)
     check = held if held.any() else np.ones(len(y), bool)
-    views[0].calibrate(xt[check], y[check].astype(float))
-    views[1].calibrate(xm[check], y[check].astype(float))
-    return CoTrained(*views, prior=float(np.log(share / (1 - share))), pseudo=(int((given[0] >= 0).sum()), int((given[1] >= 0).sum())))
+    for view, a in zip(views, _split(x[check]), strict=True):
+        view.calibrate(a, y[check].astype(float))
+    return CoTrained(*views, prior=float(np.log(share / (1 - share))), pseudo=(pseudo[0], pseudo[1]))
 
 
 # Spark ----------------------------------------------------------------------------------
@@ -231,45 +265,75 @@ def _features(b: pa.RecordBatch, first: int) -> tuple[np.ndarray, np.ndarray]:
     return np.stack([text_features(t) for t in text]), np.stack([meta_features(*x) for x in zip(lang, source, size, strict=True)])
 
 
-def sample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality") -> tuple[DataFrame, float | None]:
-    """The bounded sample (id, label or null) and the share of good labels among all."""
+def clean_labels(labels: DataFrame, id_col: str, label_col: str) -> DataFrame:
+    """(id, label 0 or 1) of the ids whose labels agree."""
     lab = labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(id_col).agg(
         F.min(label_col).alias("lo"), F.max(label_col).alias("hi")).filter("lo = hi").select(id_col, (F.col("lo") > 0).cast("int").alias("label"))
-    lab = materialise(lab, "labels")
-    share = lab.agg(F.avg("label")).first()[0]
-    draw = F.xxhash64(F.lit(SEED), F.col(id_col).cast("string"))
-    known = lab.orderBy(draw, id_col).limit(MAX_LABELLED)
-    pool = docs.select(id_col).filter(F.col(id_col).isNotNull()).join(lab.select(id_col), id_col, "left_anti").distinct().orderBy(draw, id_col).limit(MAX_POOL)
-    return materialise(known.unionByName(pool.withColumn("label", F.lit(None).cast("int"))), "sample"), share
+    return materialise(lab, "labels")
 
 
-def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality") -> CoTrained:
-    rows, share = sample(docs, labels, id_col, label_col)
-    if share is None or share in (0.0, 1.0):
-        return CoTrained(constant=1.0 if share is None else share)
-    # At most MAX_LABELLED + MAX_POOL ids: a proven bound. Repeated ids count once, by smallest text.
-    picked = docs.join(F.broadcast(rows.withColumnRenamed(id_col, "_id")), F.col(id_col) == F.col("_id")).select("_id", "label", *_inputs(docs))
-    kind = picked.schema["_id"].dataType.simpleString()
+def packed(rows: DataFrame, keep: list[str]) -> DataFrame:
+    """The first columns ``keep`` of ``rows`` and x, the features of the inputs that follow them."""
+    kinds = dict(rows.dtypes)
+    k = len(keep)
 
     def make():
         def work(b: pa.RecordBatch) -> pa.RecordBatch:
-            xt, xm = _features(b, 2)
-            packed = [np.concatenate(x).tobytes() for x in zip(xt, xm, strict=True)]
-            return pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(packed, pa.binary())], names=["id", "label", "x"])
+            x = [np.concatenate(v).tobytes() for v in zip(*_features(b, k), strict=True)]
+            return pa.RecordBatch.from_arrays([*b.columns[:k], pa.array(x, pa.binary())], names=[*keep, "x"])
 
         return work
 
-    got = by_batch(picked, f"id {kind}, label int, x binary", make).toArrow().sort_by([("id", "ascending"), ("x", "ascending")])
-    ids = got.column("id").to_pylist()
+    return by_batch(rows, ", ".join(f"{c} {kinds[c]}" for c in keep) + ", x binary", make)
+
+
+def _numbers(x: pa.Array, kind: type) -> np.ndarray:
+    return np.frombuffer(b"".join(x.to_pylist()), kind).reshape(len(x), -1).astype(float)
+
+
+def sum_over(pool: DataFrame, f: Callable[[np.ndarray], np.ndarray]) -> np.ndarray | None:
+    """Sum of f over blocks of the rows of ``pool`` (x): within each task, then in ``PARTS`` tasks
+    over those sums, of which the driver adds the rest."""
+
+    def adder(part: Callable[[pa.RecordBatch], np.ndarray]):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = None
+            for b in batches:
+                for lo, n in slices(b):
+                    v = part(b.column(0).slice(lo, n))
+                    total = v if total is None else total + v
+            if total is not None:
+                yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["x"])
+
+        return run
+
+    each = pool.mapInArrow(adder(lambda x: f(_numbers(x, np.float32))), "x binary")
+    few = each.repartition(PARTS).mapInArrow(adder(lambda x: _numbers(x, np.float64).sum(0)), "x binary")
+    got = few.toArrow().column("x").combine_chunks()
+    return _numbers(got, np.float64).sum(0) if len(got) else None
+
+
+def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality") -> CoTrained:
+    lab = clean_labels(labels, id_col, label_col)
+    share = lab.agg(F.avg("label")).first()[0]
+    if share is None or share in (0.0, 1.0):
+        return CoTrained(constant=1.0 if share is None else share)
+    there = docs.filter(F.col(id_col).isNotNull())
+    draw = F.xxhash64(F.lit(SEED), F.col(id_col).cast("string"))
+    known = materialise(lab.join(there.select(id_col), id_col, "left_semi").orderBy(draw, id_col).limit(MAX_LABELLED), "sample")
+    # At most MAX_LABELLED ids: a proven bound. Repeated ids count once, by smallest features.
+    picked = there.join(F.broadcast(known.withColumnRenamed(id_col, "_id")), F.col(id_col) == F.col("_id"))
+    got = packed(picked.select("_id", "label", *_inputs(docs)), ["_id", "label"]).toArrow().sort_by([("_id", "ascending"), ("x", "ascending")])
+    ids = got.column("_id").to_pylist()
     first = np.array([i == 0 or ids[i] != ids[i - 1] for i in range(len(ids))], bool)
-    x = np.frombuffer(b"".join(got.column("x").to_pylist()), np.float32).reshape(-1, N_TEXT + N_META).astype(float)[first]
-    label = np.array([-1 if v is None else v for v in got.column("label").to_pylist()])[first]
-    known = label >= 0
-    if len(np.unique(label[known])) < 2:
+    label = np.array(got.column("label").to_pylist(), int)[first]
+    if len(np.unique(label)) < 2:
         return CoTrained(constant=share)
-    order = np.random.default_rng(SEED).permutation(int(known.sum()))
-    xt, xm = x[:, :N_TEXT], x[:, N_TEXT:]
-    return co_train(xt[known][order], xm[known][order], label[known][order], xt[~known], xm[~known], share)
+    x = _numbers(got.column("x").combine_chunks(), np.float32)[first]
+    order = np.random.default_rng(SEED).permutation(len(label))
+    feats = packed(there.select(F.col(id_col).alias("_id"), *_inputs(docs)), ["_id"])
+    pool = materialise(feats.join(lab.select(F.col(id_col).alias("_id")), "_id", "left_anti").select("x"), "pool")
+    return co_train(x[order], label[order], partial(sum_over, pool), share)
 
 
 def score(docs: DataFrame, model: CoTrained, id_col: str = "doc_id") -> DataFrame:

@@ -36,6 +36,19 @@ def test_cotrain_odd_rows_and_labels(spark, odd_docs):
     assert cotrain.keep_documents(odd_docs.limit(0), labels).count() == 0
 
 
+def test_cotrain_uses_all_unlabelled_rows(spark, prose, monkeypatch):
+    clean = lambda i: i % 2 == 0
+    rows = [(i, prose(i, 30) if clean(i) else "### $$ &&& " * (9 + i % 7) + prose(i, 3), "en", f"{'good' if clean(i) else 'bad'}{i % 3}", 200) for i in range(4000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    own = spark.createDataFrame([(i, int(clean(i))) for i in range(300)], "doc_id long, quality int")
+    model = cotrain.train(docs, own)
+    assert min(model.pseudo) > 3000 and max(model.pseudo) <= 3700         # no cap on what a view hands over
+    assert all(r["kept"] == clean(r["doc_id"]) for r in cotrain.score(docs, model).collect())
+    monkeypatch.setattr(cotrain, "MAX_LABELLED", 100)
+    foreign = spark.createDataFrame([(10_000 + i, i % 2) for i in range(20_000)], "doc_id long, quality int")
+    assert cotrain.train(docs, own.unionByName(foreign)).constant is None  # labels without a document take no place
+
+
 # 2 ------------------------------------------------------------------------------------
 def shingles(text, n):
     w = re.findall(SPACE, (text or "").translate({c: c + 32 for c in range(65, 91)}))
