@@ -8,8 +8,8 @@ blocks inside it remain. What is still undecided are the blocks in generic branc
 ``section``, lists, tables ...) below the article or, without one, below the body.
 
 For these the pages of a host are merged into one style tree: a branch is a path of tags
-(with class and id) from the root, its style on a page the sequence of tags below it, and its
-content the texts of its blocks. With m distinct pages of the host and 1 - sum of p log_m p
+(with class and id, and the place among siblings alike in these) from the root, its style on a
+page the sequence of tags below it, and its content the texts of its blocks. With m distinct pages of the host and 1 - sum of p log_m p
 terms:
 
 * presentation importance: the entropy (base m) of the branch's styles over its pages;
@@ -19,8 +19,12 @@ A branch whose importance, the mean of both weighted by ``PRESENTATION_WEIGHT``,
 ``LOW`` looks and reads alike on nearly all pages and is removed from each of them. Only branches
 on ``MIN_PAGES`` pages or more are judged: fewer say nothing about a template. Pages of a host
 with the same sequence of blocks count as one page, as copies of one article look and read
-alike without being a template. Text blocks
-that stand directly in an article are content by definition and are never judged.
+alike without being a template. On pages where no ``article`` or ``main`` element decides, a
+single text block is a content node of the tree too: known by its path without places and its
+text, it always looks alike, so its importance is (1 - ``PRESENTATION_WEIGHT``) * (1 - log_m k)
+with k of the m pages that hold it, and it goes if that is below ``LOW`` and more than half of
+these pages hold it. Text blocks that stand directly in an article are content by definition
+and are never judged.
 
 Text: character references are decoded, white space inside a block becomes one space, blocks
 are trimmed and joined by one newline. Defined results: null or empty html gives the empty
@@ -34,7 +38,7 @@ import re
 from html import unescape
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ortholake.llm.common import by_batch, materialise, table
@@ -80,22 +84,24 @@ def marks(attributes: str) -> tuple[str, bool]:
     return label, hidden or any(w in NAMES for w in WORDS.findall(label))
 
 
-def parse(html: str) -> list[tuple[str, str, str]]:
-    """(text, branch, style) of the blocks that tags alone do not rule out. branch: path of the
-    innermost generic element that holds the block, '' if it stands in the article itself;
-    style: the tags from there down to the block."""
+def parse(html: str) -> list[tuple[str, str, str, bool]]:
+    """(text, branch, style, free) of the blocks that tags alone do not rule out. branch: path of
+    the innermost generic element that holds the block, '' if it stands in the article itself;
+    style: the tags from there down to the block; free: no article or main element decided."""
     blocks: list[tuple[str, str, str, bool]] = []
-    stack: list[tuple[str, str, bool, bool, str, str]] = []   # tag, path, out, inside a root, branch, style
+    # tag, path, out, inside a root, branch, style, number of children by tag, class and id
+    stack: list[tuple[str, str, bool, bool, str, str, dict[str, int]]] = []
+    top: dict[str, int] = {}
     parts: list[str] = []
 
     def state():
-        return stack[-1] if stack else ("", "", False, False, "", "")
+        return stack[-1] if stack else ("", "", False, False, "", "", top)
 
     def end_block():
         if parts:
             text = " ".join(unescape("".join(parts)).split())
             parts.clear()
-            _, _, _, inside, branch, style = state()
+            _, _, _, inside, branch, style, _ = state()
             if text:
                 blocks.append((text, branch, style, inside))
 
@@ -150,9 +156,11 @@ def parse(html: str) -> list[tuple[str, str, str]]:
                     break
         if tag not in HEAD_TAGS and stack and stack[-1][0] == "head":
             pop_to(len(stack) - 1)                        # a head without end tag ends at the body
-        _, path, out, inside, branch, style = state()
+        _, path, out, inside, branch, style, children = state()
         label, named = marks(m[3])
-        node = f"{path}/{tag}" + (f".{label}" if label else "")
+        kind = tag + (f".{label}" if label else "")
+        place = children[kind] = children.get(kind, 0) + 1
+        node = f"{path}/{kind}" + (f"[{place}]" if place > 1 else "")
         out = out or tag in NEVER or (named and tag not in ("html", "body"))
         if m[3].endswith("/") and tag not in BLOCK:
             continue
@@ -166,22 +174,21 @@ def parse(html: str) -> list[tuple[str, str, str]]:
             style = f"{style}/{tag}"
         if not inside and not branch:
             branch = node
-        stack.append((tag, node, out, inside, branch, style))
+        stack.append((tag, node, out, inside, branch, style, {}))
     if not state()[2]:
         end_block()
-    if any(b[3] for b in blocks):
-        blocks = [b for b in blocks if b[3]]
-    return [b[:3] for b in blocks]
+    free = not any(b[3] for b in blocks)
+    return [(*b[:3], free) for b in blocks if free or b[3]]
 
 
 def page_blocks(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(id, url, host, blocks array<struct<text, branch, style>>), one row per page."""
+    """(id, url, host, blocks array<struct<text, branch, style, free>>), one row per page."""
     kind = pages.schema[id_col].dataType.simpleString()
-    block = pa.struct([("text", pa.string()), ("branch", pa.string()), ("style", pa.string())])
+    block = pa.struct([("text", pa.string()), ("branch", pa.string()), ("style", pa.string()), ("free", pa.bool_())])
 
     def make():
         def work(b: pa.RecordBatch) -> pa.RecordBatch:
-            found = [[dict(zip(("text", "branch", "style"), x, strict=True)) for x in parse(h)] for h in b.column(3).to_pylist()]
+            found = [[dict(zip(("text", "branch", "style", "free"), x, strict=True)) for x in parse(h)] for h in b.column(3).to_pylist()]
             return pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(found, pa.list_(block))], names=["id", "url", "host", "blocks"])
 
         return work
@@ -189,20 +196,28 @@ def page_blocks(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     host = F.lower(F.regexp_extract(F.coalesce(F.col(url_col), F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("url"), host.alias("host"),
                         F.coalesce(F.col(html_col).cast("string"), F.lit("")).alias("html"))
-    return by_batch(rows, f"id {kind}, url string, host string, blocks array<struct<text:string,branch:string,style:string>>", make)
+    return by_batch(rows, f"id {kind}, url string, host string, blocks array<struct<text:string,branch:string,style:string,free:boolean>>", make)
 
 
-def low_branches(blocks: DataFrame) -> DataFrame:
-    """(host, low array<string>): the branches of low importance, for hosts that have any.
+def leaf(block: Column) -> Column:
+    """Key of a text block as a node of its own; unlike a branch, it does not start with a slash."""
+    path = F.regexp_replace(F.concat(block["branch"], F.lit(" "), block["style"]), r"\[\d+\]", "")
+    return F.concat(F.lit("#"), F.xxhash64(path, block["text"]).cast("string"))
+
+
+def low_nodes(blocks: DataFrame) -> DataFrame:
+    """(host, low array<string>): the branches and text blocks (by ``leaf``) of low importance,
+    for hosts that have any.
 
     All steps are grouped counts. A page stands for all its copies: it is known by the digest
-    of its blocks, not by its id. The array holds a host's template branches only: each is on
+    of its blocks, not by its id. The array holds a host's template nodes only: each is on
     ``MIN_PAGES`` distinct pages or more and nearly alike on them."""
     pages = blocks.select("host", F.xxhash64("blocks").alias("page"), "blocks")
     size = pages.groupBy("host", "page").agg(F.lit(1).alias("one")).groupBy("host").agg(F.count(F.lit(1)).cast("double").alias("m"))
-    undecided = pages.select("page", "host", F.explode(F.filter("blocks", lambda b: b["branch"] != "")).alias("b"))
-    rows = undecided.select("page", "host", F.col("b.branch").alias("branch"), F.col("b.style").alias("style"), F.xxhash64("b.text").alias("text"))
-    per_page = rows.groupBy("host", "branch", "page").agg(F.hash(F.array_sort(F.collect_set("style"))).alias("style"))
+    undecided = pages.select("page", "host", F.posexplode(F.filter("blocks", lambda b: b["branch"] != "")).alias("at", "b"))
+    rows = undecided.select("page", "host", "at", F.col("b.branch").alias("branch"), F.col("b.style").alias("style"), F.xxhash64("b.text").alias("text"))
+    per_page = rows.groupBy("host", "branch", "page").agg(F.array_sort(F.collect_set(F.struct("at", "style"))).alias("s")).select(
+        "host", "branch", F.xxhash64(F.transform("s", lambda x: x["style"])).alias("style"))    # a set, as copies of the page repeat it
     styles = per_page.groupBy("host", "branch", "style").agg(F.count(F.lit(1)).cast("double").alias("c"))
     shape = styles.groupBy("host", "branch").agg(F.sum("c").alias("pages"), F.sum(F.col("c") * F.log("c")).alias("clogc"))
     texts = rows.groupBy("host", "branch", "text", "page").agg(F.lit(1).alias("one")).groupBy("host", "branch", "text").agg(F.count(F.lit(1)).cast("double").alias("k"))
@@ -211,14 +226,22 @@ def low_branches(blocks: DataFrame) -> DataFrame:
     entropy = F.log("pages") - F.col("clogc") / F.col("pages")
     looks, reads = entropy / F.log("m"), 1 - F.col("logk") / F.log("pages")
     importance = PRESENTATION_WEIGHT * looks + (1 - PRESENTATION_WEIGHT) * reads
-    return j.filter(importance < LOW).groupBy("host").agg(F.collect_list("branch").alias("low"))
+    branches = j.filter(importance < LOW).select("host", F.col("branch").alias("node"))
+    free = pages.filter(F.exists("blocks", lambda b: b["free"])).select("host", "page", F.array_distinct(F.transform("blocks", leaf)).alias("leaves"))
+    of = free.groupBy("host", "page").agg(F.lit(1).alias("one")).groupBy("host").agg(F.count(F.lit(1)).cast("double").alias("m"))
+    held = free.select("host", "page", F.explode("leaves").alias("node")).distinct().groupBy("host", "node").agg(F.count(F.lit(1)).cast("double").alias("k"))
+    held = held.filter(F.col("k") >= MIN_PAGES).join(of, "host")
+    alike = (1 - PRESENTATION_WEIGHT) * (1 - F.log("k") / F.log("m")) < LOW
+    leaves = held.filter(alike & (2 * F.col("k") > F.col("m"))).select("host", "node")
+    return branches.unionByName(leaves).groupBy("host").agg(F.collect_list("node").alias("low"))
 
 
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """(id, url, text, n_chars), one row per page."""
     blocks = materialise(page_blocks(pages, id_col, url_col, html_col), "blocks")
-    low = materialise(low_branches(blocks), "low").select(F.col("host").alias("_h"), "low")
-    kept = F.filter("blocks", lambda b: (b["branch"] == "") | ~F.coalesce(F.array_contains("low", b["branch"]), F.lit(False)))
+    low = materialise(low_nodes(blocks), "low").select(F.col("host").alias("_h"), "low")
+    gone = lambda b: F.array_contains("low", b["branch"]) | (b["free"] & F.array_contains("low", leaf(b)))
+    kept = F.filter("blocks", lambda b: (b["branch"] == "") | ~F.coalesce(F.col("low").isNotNull() & gone(b), F.lit(False)))
     text = F.array_join(F.transform(kept, lambda b: b["text"]), "\n")
     j = blocks.join(low, F.col("host") == F.col("_h"), "left").select(F.col("id").alias(id_col), F.col("url").alias(url_col), text.alias("text"))
     return j.withColumn("n_chars", F.length("text").cast("long"))

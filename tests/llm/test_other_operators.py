@@ -123,6 +123,17 @@ def test_copies_of_a_page_are_no_template(spark, prose):
         assert r["text"] == (f"Title\n{prose(7, 30)}" if r["page_id"] < 200 else f"t{r['page_id'] - 200}\n{prose(r['page_id'] - 200, 20)}")
 
 
+def test_unmarked_notices_among_unclassed_siblings(spark, prose):
+    def page(i):
+        return f"<html><body><div>Menu words here</div><div>{prose(i, 30)}</div>{'<div>Extra ' + str(i) + '</div>' if i % 2 else ''}<div>Call us now</div><p>All of it</p></body></html>"
+
+    rows = [(i, f"http://h.example/{i}", page(i)) for i in range(12)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for r in site_style.main_text(df).collect():
+        i = r["page_id"]
+        assert r["text"] == prose(i, 30) + (f"\nExtra {i}" if i % 2 else "")
+
+
 # 10 -----------------------------------------------------------------------------------
 def test_archives_round_trip(spark, scratch):
     rows = [(i, f"http://h.example/{i}\n" if i % 3 else None, ["", None, "é" * 70_000, "same", f"p{i}\r\n\r\nx"][i % 5]) for i in range(60)] + [(7, "u", "same"), (None, "u", "lone")]
