@@ -1,8 +1,10 @@
 """Operator 4: licence scan by ordered signature rules.
 
-Rules: every licence of ``LICENSES`` (names, identifiers, address fragments) is combined with
-every phrasing of ``PHRASINGS``, which gives several hundred rules, each a regular expression
-with a priority, a confidence and a keyword. A keyword automaton runs over the lower-cased
+Rules: every licence of ``LICENSES`` (names, identifiers, address fragments) and every Creative
+Commons licence (parts and versions) is combined with every phrasing of ``PHRASINGS``, which
+generates several hundred rules, each a regular expression with a priority, a confidence and a
+keyword. So are the names of families without a version (``FAMILIES``). Characteristic sentences of
+licence bodies and standard notices (``BODIES``) are written rules, each as it stands. A keyword automaton runs over the lower-cased
 text first, and only rules whose keyword occurs are tried. Detections are then resolved in
 order of priority, length and place: one that lies inside an accepted one is dropped
 (interval containment), and so is one of lower priority that overlaps an accepted one.
@@ -81,10 +83,51 @@ LICENSES: dict[str, tuple[list[str], list[str], list[str]]] = {
 # The parts and versions of Creative Commons licences; each pair is a licence.
 CC_PARTS = ["by", "by-sa", "by-nd", "by-nc", "by-nc-sa", "by-nc-nd"]
 CC_VERSIONS = ["1.0", "2.0", "2.5", "3.0", "4.0"]
+CC_WORDS = {"by": "attribution", "sa": "share[- ]?alike", "nd": "no[- ]?deriv(?:ative)?s?(?: works)?", "nc": "non[- ]?commercial"}
+# Label -> names without a version. Not where a version follows, which has a rule of its own.
+FAMILIES = {
+    "gpl": ["gnu general public licen[cs]e", "gnu gpl", "gpl licen[cs]e"],
+    "gpl-2.0": ["gnu gpl,? (?:version |v)?2(?:\\.0)?", "gpl,? (?:version |v)2(?:\\.0)?"],
+    "gpl-3.0": ["gnu gpl,? (?:version |v)?3(?:\\.0)?", "gpl,? (?:version |v)3(?:\\.0)?"],
+    "lgpl": ["gnu (?:lesser|library) general public licen[cs]e", "gnu lgpl", "lgpl licen[cs]e"],
+    "agpl": ["(?:gnu )?affero general public licen[cs]e", "gnu agpl", "agpl licen[cs]e"],
+    "fdl": ["gnu free documentation licen[cs]e"],
+    "mpl": ["mozilla public licen[cs]e"],
+    "epl": ["eclipse public licen[cs]e"],
+    "eupl": ["european union public licen[cs]e"],
+    "artistic": ["artistic licen[cs]e"],
+    "bsd": ["bsd[- ]style licen[cs]e", "bsd licen[cs]e"],
+    "cc": ["creative commons licen[cs]e"],
+}
+# Label -> sentences that only the body or the standard notice of the licence holds.
+BODIES = {
+    "mit": ["permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"],
+    "isc": ["permission to use, copy, modify,? (?:and/or|and) distribute this software for any purpose with or without fee is hereby granted"],
+    "bsd": ["redistribution and use in source and binary forms,? with or without modification,? are permitted provided that the following conditions are met"],
+    "bsd-3-clause": ["neither the names? of [\\s\\S]{1,120}? nor the names of (?:its|their|the) contributors may be used to endorse or promote products"],
+    "bsd-4-clause": ["all advertising materials mentioning features or use of this software must display the following acknowledge?ment"],
+    "apache-2.0": ["you may not use this file except in compliance with the license", "subject to the terms and conditions of this license, each contributor hereby grants to you a perpetual"],
+    "gpl": ["this program is free software[:;,] you can redistribute it and/or modify it under the terms of the gnu general public license",
+            "everyone is permitted to copy and distribute verbatim copies of this license document, but changing it is not allowed"],
+    "lgpl": ["this library is free software[:;,] you can redistribute it and/or modify it under the terms of the gnu (?:lesser|library) general public license"],
+    "agpl": ["if you modify the program, your modified version must prominently offer all users interacting with it remotely"],
+    "mpl-2.0": ["this source code form is subject to the terms of the mozilla public license, v\\. 2\\.0"],
+    "mpl-1.1": ["the contents of this file are subject to the mozilla public license version 1\\.1"],
+    "epl": ["the accompanying program is provided under the terms of this eclipse public license", "accompanying materials are made available under the terms of the eclipse public license"],
+    "bsl-1.0": ["permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation"],
+    "zlib": ["this software is provided (?:.{1,3})as-is(?:.{1,3}), without any express or implied warranty\\. in no event will the authors be held liable"],
+    "unlicense": ["this is free and unencumbered software released into the public domain"],
+    "cc0-1.0": ["to the extent possible under law, [\\s\\S]{1,120}? waived all copyright and related or neighboring rights"],
+    "ofl-1.1": ["this font software is licensed under the sil open font license"],
+    "wtfpl": ["you just do what the fuck you want to"],
+}
+BODY = ("body", 55, 0.97)
+# Where an identifier ends: a full stop that ends a sentence is no part of it.
+ID_END = r"(?![\w+-]|\.\w)"
 # Phrasing -> (pattern around a name or identifier, which of both, priority, confidence).
 PHRASINGS = {
-    "tag": (r"spdx-license-identifier:\s*{0}(?![\w.+-])", "id", 50, 0.99),
-    "field": (r"licen[cs]e\s*[:=]\s*[\"']?{0}(?![\w.+-])", "id", 45, 0.9),
+    "tag": (r"spdx-license-identifier:\s*{0}" + ID_END, "id", 50, 0.99),
+    "field": (r"licen[cs]e\s*[:=]\s*[\"']?{0}" + ID_END, "id", 45, 0.9),
     "address": (r"https?://(?:www\.)?{0}", "url", 40, 0.95),
     "grant": (r"(?:licensed|released|distributed|published|available)\s+(?:\w+\s+)?under\s+(?:the\s+)?(?:terms\s+of\s+)?(?:the\s+)?{0}(?![\w])", "name", 35, 0.95),
     "subject": (r"subject\s+to\s+(?:the\s+)?(?:terms\s+of\s+)?(?:the\s+)?{0}(?![\w])", "name", 30, 0.85),
@@ -115,17 +158,40 @@ def build_rules() -> list[Rule]:
     for part in CC_PARTS:
         words = part.replace("-", "[- ]")
         for version in CC_VERSIONS:
-            names = [f"cc[- ]{words}[- ]{re.escape(version)}"]
+            spelled = "[- ]".join(CC_WORDS[x] for x in part.split("-"))
+            names = [f"cc[- ]{words}[- ]{re.escape(version)}", f"(?:creative commons|cc) {spelled},? (?:version |v)?{re.escape(version)}"]
             table_[f"cc-{part}-{version}"] = (names, [f"cc-{part}-{version}"], [f"creativecommons.org/licenses/{part}/{version}"])
     rules = []
     for label, (names, ids, urls) in table_.items():
         for phrasing, (frame, what, priority, confidence) in PHRASINGS.items():
-            for x in {"name": names, "id": [re.escape(i) for i in ids], "url": [re.escape(u) for u in urls]}[what]:
-                literal = x if what == "name" else x.replace("\\-", "-").replace("\\.", ".").replace("\\+", "+")
+            for x in {"name": names, "id": [re.escape(i) + plus(i) for i in ids], "url": [re.escape(u) for u in urls]}[what]:
+                literal = x.removesuffix(PLUS).replace("\\-", "-").replace("\\.", ".").replace("\\+", "+")
                 keyword = _keyword(x) if what == "name" else literal.replace("\\", "")
                 if what == "name" and label.startswith("cc-by"):
                     keyword = label.rsplit("-", 1)[1]
                 rules.append(Rule(label, phrasing, priority, confidence, keyword, frame.replace("{0}", x.replace(" ", r"\s+"))))
+    return rules + more_rules()
+
+
+PLUS = r"\+?"
+
+
+def plus(identifier: str) -> str:
+    """GNU identifiers without a suffix may end in a plus (or any later version)."""
+    return PLUS if re.fullmatch(r"(?:l|a)?gpl-[\d.]+|gfdl-[\d.]+", identifier) else ""
+
+
+def more_rules() -> list[Rule]:
+    """Families without a version, and the written rules: sentences of licence bodies."""
+    rules = []
+    for label, names in FAMILIES.items():
+        for x in names:
+            for phrasing, (frame, what, priority, confidence) in PHRASINGS.items():
+                if what == "name":       # below the versioned rule of the same phrasing
+                    rules.append(Rule(label, phrasing, priority - 1, confidence, _keyword(x), frame.replace("{0}", x.replace(" ", r"\s+"))))
+    for label, sentences in BODIES.items():
+        for x in sentences:              # a body may be wrapped as a comment
+            rules.append(Rule(label, BODY[0], BODY[1], BODY[2], _keyword(x), x.replace(" ", r"[\s*#/]+")))
     return rules
 
 

@@ -145,6 +145,29 @@ def test_license_rules_and_suppression():
     assert s.scan("the committee met")[5] == ""
 
 
+@pytest.mark.parametrize(("text", "label"), [
+    ("License: MIT.", "mit"), ("License: Apache-2.0.", "apache-2.0"), ("SPDX-License-Identifier: GPL-2.0+", "gpl-2.0"),
+    ("SPDX-License-Identifier: LGPL-2.1-or-later", "lgpl-2.1"), ("Creative Commons Attribution-ShareAlike 4.0 International", "cc-by-sa-4.0"),
+    ("Creative Commons Attribution 3.0", "cc-by-3.0"), ("Creative Commons Attribution-NonCommercial-NoDerivs 2.5", "cc-by-nc-nd-2.5"),
+    ("the GNU Lesser General Public License", "lgpl"), ("the GNU Affero General Public License", "agpl"), ("Mozilla Public License", "mpl"),
+    ("Eclipse Public License", "epl"), ("under the BSD License.", "bsd"), ("GNU GPL v3", "gpl-3.0"), ("Mozilla Public License 2.0", "mpl-2.0"),
+    ("Permission is hereby granted, free of charge, to any person\n * obtaining a copy of this software and associated documentation files", "mit"),
+    ("Redistribution and use in source and binary forms, with or without\n# modification, are permitted provided that the following conditions are met", "bsd"),
+    ("This software is provided ‘as-is’, without any express or implied\nwarranty. In no event will the authors be held liable", "zlib"),
+    ("This is free and unencumbered software released into the public domain.", "unlicense"),
+])
+def test_license_notices_and_bodies(text, label):
+    assert license_rules.Scanner().scan(text)[5] == label
+
+
+def test_license_near_misses():
+    s = license_rules.Scanner()
+    for text in ("License: MIT-like", "License: MIT.txt", "SPDX-License-Identifier: Apache-2.0+x", "permission is hereby granted", "creative commons attribution"):
+        assert s.scan(text)[5] == "", text
+    for r, _ in s.rules:             # keywords are literal text
+        assert re.fullmatch("[a-z0-9.,:/_+-]+", r.keyword), r
+
+
 # 6 ------------------------------------------------------------------------------------
 def plain_measures(text):
     text = text or ""
