@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from ortholake.llm import bpe, cotrain, lattice, license_rules, mixing, odd_sketch, preferences, quality_rules, site_style, warc
+from ortholake.llm import (bpe, cotrain, lattice, lexical_search, license_rules, mixing, odd_sketch, preferences, quality_rules, quotient_filter, site_style,
+                           turn_repair, warc)
 
 QUERIES = {
     "op1_cotrain": cotrain.op1_cotrain,
@@ -16,6 +17,9 @@ QUERIES = {
     "op8_site_style": site_style.op8_site_style,
     "op9_mixing": mixing.op9_mixing,
     "op10_warc": warc.op10_warc,
+    "op11_hybrid_search": lexical_search.op11_hybrid_search,
+    "op12_turn_repair": turn_repair.op12_turn_repair,
+    "op13_quotient_filter": quotient_filter.op13_quotient_filter,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -24,6 +28,8 @@ ORACLE = {
     "op3_lattice": lattice.ORACLE_SQL,
     "op5_preferences": preferences.ORACLE_SQL,
     "op9_mixing": mixing.ORACLE_SQL,
+    "op11_hybrid_search": lexical_search.ORACLE_SQL,
+    "op13_quotient_filter": quotient_filter.ORACLE_SQL,
 }
 if corpus_pipeline.ORACLE_SQL is not None:
     ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL

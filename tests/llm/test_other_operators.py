@@ -28,7 +28,7 @@ def test_query_matches_sql(spark, name):
 
 
 def test_all_queries_are_registered():
-    assert set(queries.QUERIES) <= set(E.queries()) and len(queries.QUERIES) == 11
+    assert set(queries.QUERIES) <= set(E.queries()) and len(queries.QUERIES) == 14
 
 
 # 3 ------------------------------------------------------------------------------------
