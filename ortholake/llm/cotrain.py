@@ -18,7 +18,8 @@ repeated ones count each.
 
 Defined results: a null text counts as empty, null language, source or length as a value of
 their own; a document without features differs from none and gets the prior; labels that are null or
-contradict one another for an id are not used; with fewer than two classes among the labels
+contradict one another for an id are not used; an id with several texts counts once as a labelled row
+(smallest features); with fewer than two classes among the labels
 nothing can be learnt, every score is the share of good labels (1 without labels) and all
 documents are kept. Rows are scored one by one, so repeated rows repeat.
 """
@@ -34,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ortholake.llm.common import by_batch, fresh, materialise, slices, table, text_or_empty
+from ortholake.llm.common import by_batch, materialise, slices, table, text_or_empty
 
 MAX_LABELLED = 12_000
 ROUNDS = 3
@@ -318,21 +319,19 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col:
     share = lab.agg(F.avg("label")).first()[0]
     if share is None or share in (0.0, 1.0):
         return CoTrained(constant=1.0 if share is None else share)
-    there = docs.filter(F.col(id_col).isNotNull())
-    draw = F.xxhash64(F.lit(SEED), F.col(id_col).cast("string"))
-    known = materialise(lab.join(there.select(id_col), id_col, "left_semi").orderBy(draw, id_col).limit(MAX_LABELLED), "sample")
+    there = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).alias("key"), *_inputs(docs))
+    lab = lab.withColumnRenamed(id_col, "key")
+    draw = F.xxhash64(F.lit(SEED), F.col("key").cast("string"))
+    known = materialise(lab.join(there.select("key"), "key", "left_semi").orderBy(draw, "key").limit(MAX_LABELLED), "sample")
     # At most MAX_LABELLED ids: a proven bound. Repeated ids count once, by smallest features.
-    picked = there.join(F.broadcast(known.withColumnRenamed(id_col, "_id")), F.col(id_col) == F.col("_id"))
-    got = packed(picked.select("_id", "label", *_inputs(docs)), ["_id", "label"]).toArrow().sort_by([("_id", "ascending"), ("x", "ascending")])
-    ids = got.column("_id").to_pylist()
-    first = np.array([i == 0 or ids[i] != ids[i - 1] for i in range(len(ids))], bool)
-    label = np.array(got.column("label").to_pylist(), int)[first]
+    picked = packed(there.join(F.broadcast(known), "key").select("key", "label", *INPUT), ["key", "label"])
+    got = picked.groupBy("key").agg(F.min("label").alias("label"), F.min("x").alias("x")).toArrow().sort_by("key")
+    label = np.array(got.column("label").to_pylist(), int)
     if len(np.unique(label)) < 2:
         return CoTrained(constant=share)
-    x = _numbers(got.column("x").combine_chunks(), np.float32)[first]
+    x = _numbers(got.column("x").combine_chunks(), np.float32)
     order = np.random.default_rng(SEED).permutation(len(label))
-    feats = packed(there.select(F.col(id_col).alias("_id"), *_inputs(docs)), ["_id"])
-    pool = materialise(feats.join(lab.select(F.col(id_col).alias("_id")), "_id", "left_anti").select("x"), "pool")
+    pool = materialise(packed(there, ["key"]).join(lab.select("key"), "key", "left_anti").select("x"), "pool")
     return co_train(x[order], label[order], partial(sum_over, pool), share)
 
 
@@ -352,23 +351,19 @@ def score(docs: DataFrame, model: CoTrained, id_col: str = "doc_id") -> DataFram
 
 
 def keep_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The rows of ``docs`` that the classifier keeps, with their columns: scored where they
-    lie, so that no text is shuffled."""
+    """The rows of ``docs`` that the classifier keeps, with their columns. Only the four inputs
+    of a row are sent to Python, once; its columns stay where they are."""
     model = train(docs, labels, id_col)
     if model.constant is not None:
         return docs
-    names = {c: fresh(f"_in_{c}", docs.columns) for c in INPUT}
-    rows = docs.select("*", *[c.alias(names[n]) for c, n in zip(_inputs(docs), INPUT, strict=True)])
-    width = len(docs.columns)
 
-    def make():
-        def work(b: pa.RecordBatch) -> pa.RecordBatch:
-            keep = model.scores(*_features(b, width))[2].round(6) >= KEEP_FROM
-            return pa.RecordBatch.from_arrays(b.columns[:width], schema=pa.schema(list(b.schema)[:width])).filter(pa.array(keep))
-
-        return work
+    @F.arrow_udf("boolean")
+    def keep(text: pa.Array, lang: pa.Array, source: pa.Array, size: pa.Array) -> pa.Array:
+        whole = pa.RecordBatch.from_arrays([text, lang, source, size], names=INPUT)
+        parts = [model.scores(*_features(whole.slice(lo, n), 0))[2].round(6) >= KEEP_FROM for lo, n in slices(whole)]
+        return pa.array(np.concatenate(parts) if parts else np.zeros(0, bool))
 
-    return by_batch(rows, docs.schema, make)
+    return docs.filter(keep(*_inputs(docs)))
 
 
 def op1_cotrain(spark: SparkSession, sf_dir: str) -> DataFrame:
