@@ -24,7 +24,8 @@ most ``MISS``. Links are exact: none is below the threshold.
 Defined results: a null or empty text, or one of white space only, has no shingles and links
 with nothing; fewer words than ``words`` form one shingle; a row without id links with nothing and
 is kept; every row of the input gives one row, repeated rows alike; where an id is given
-to several texts, the classes named by it count as one. An empty table gives an empty table.
+to several texts, the classes named by it count as one (``keep_documents`` tells them apart). An
+empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -323,13 +324,20 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
 
 
 def keep_documents(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """One row per group of near duplicates: the rows whose id is its component's smallest;
-    rows that repeat an id are one document and give one row. Rows without id stay."""
-    flags = near_duplicates(docs.select("doc_id", "text"), words, percent)
-    drop = fresh("_dropped", docs.columns)
-    gone = materialise(flags.filter(~F.col("kept")).select(F.col("doc_id").alias(drop)).distinct(), "dropped")
-    left = docs.join(gone, F.col("doc_id") == F.col(drop), "left_anti")
-    return left.filter("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(left.filter("doc_id is null"))
+    """One row of each group of near duplicates: that of the smallest doc_id. Rows are told apart by
+    a key of their own, so several texts under one id are judged each by itself, and a row
+    goes only if a row of its own group stays. Rows without id stay."""
+    own = docs.columns
+    key = fresh("_key", own)
+    keyed = materialise(docs.withColumn(key, F.when(F.col("doc_id").isNotNull(), F.monotonically_increasing_id())), "keyed")
+    flags = materialise(near_duplicates(keyed.select(key, "text"), words, percent, id_col=key).select(F.col(key).alias("k"), "component_id", "kept"), "flags")
+    groups = materialise(flags.filter(~F.col("kept")).select("component_id").distinct(), "groups")
+    rows = flags.join(groups, "component_id").join(keyed.select(F.col(key).alias("k"), F.col("doc_id").alias("id")), "k")
+    rows = materialise(rows.select("k", "id", "component_id"), "grouped")
+    low = materialise(rows.groupBy("component_id").agg(F.min("id").alias("low")), "low")
+    stay = rows.join(low, "component_id").filter("id = low").groupBy("component_id").agg(F.min("k").alias("stay"))
+    gone = rows.join(materialise(stay, "stay"), "component_id").filter("k != stay").select(F.col("k").alias(key))
+    return keyed.join(materialise(gone, "dropped"), key, "left_anti").select(*own)
 
 
 def op2_odd_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
