@@ -5,19 +5,25 @@ longest common prefix of turns, renders it once as the prompt, and renders what
 either conversation as its completion, with the character spans that are trained on (the
 texts of assistant turns and their end mark; other turns of a completion are masked out).
 
-``pair_conversations`` makes such pairs from a table of turns: conversations that open with
-the same turn are alternatives to each other and are paired in the order of their ids, first
-within ``SALTS`` groups by id, then the one left over of each group; so no opening, however
-common, is ranked in one task. Of a pair, the conversation with more assistant text is the
-chosen one, ties by the smaller id. A conversation without a partner becomes a row of its
-own: its prompt is all before its last turn, and rejected is null.
+A table of turns names no pairs, so ``with_rejected`` gives every conversation that has an
+assistant turn a rejected side: the same turns with the last assistant answer replaced by
+that of the next conversation on a ring, which holds all such conversations in the order of the MD5 of
+their ids. The ring is laid out in ranges of that order; the last conversation of a range finds the next
+range's first one through a table of one row per range. A conversation without an assistant turn, or alone on the
+ring, has no rejected side: its prompt is all before its last turn, and rejected is null.
+
+``pair_conversations`` pairs conversations that are alternatives to each other as they stand:
+those that open with the same turn, in the order of their ids, first within ``SALTS``
+groups by hash, then the one left over of each group; so no opening, however common, is
+ranked in one task. Of a pair, the conversation with more assistant text is the chosen one,
+ties by the smaller id.
 
 Template: ``<|im_start|>role\\ntext<|im_end|>\\n`` for each turn.
 
 Defined results: a null text or role is the empty string; rows without a conversation id are
 left out (they belong to none); turns sort by number (null first), then role and text, and
 repeated turns stay; a conversation whose turns are a prefix of the other's has an empty
-completion, as have equal conversations. One conversation is one output string and is held
+completion, as have equal conversations (a borrowed answer that equals the own one). One conversation is one output string and is held
 in one row, as its turns must be.
 """
 
@@ -26,7 +32,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ortholake.llm.common import table
+from ortholake.llm.common import materialise, table
 
 START, END = "<|im_start|>", "<|im_end|>"
 SALTS = 64
@@ -54,7 +60,7 @@ def conversations(turns: DataFrame) -> DataFrame:
 def pair_conversations(convs: DataFrame, salts: int = SALTS) -> DataFrame:
     """(chosen, rejected) conversation ids, rejected null for one without a partner."""
     c = convs.select("conv", "weight", F.sha2(F.concat_ws("\n", "opening.role", "opening.text"), 256).alias("key"),
-                     F.pmod("conv", F.lit(salts)).alias("salt"))
+                     F.pmod(F.xxhash64("conv"), F.lit(salts)).alias("salt"))
 
     def paired(df: DataFrame, by: list[str]) -> DataFrame:
         """Rows of odd rank get the next row, if any, as ``other``."""
@@ -70,6 +76,40 @@ def pair_conversations(convs: DataFrame, salts: int = SALTS) -> DataFrame:
                        F.when(swap, F.col("conv")).otherwise(F.col("other.conv")).alias("rejected"))
 
 
+def ring(rows: DataFrame) -> DataFrame:
+    """(conv, next_conv, next_answer) for rows (conv, answer): the next row in the order of the MD5
+    of the ids, the first one after the last."""
+    key = F.md5(F.col("conv").cast("string").cast("binary"))
+    laid = rows.withColumn("key", key).repartitionByRange("key", "conv").withColumn("part", F.spark_partition_id())
+    laid = materialise(laid, "ring")
+    own = Window.partitionBy("part").orderBy("key", "conv")
+    inside = laid.withColumn("next", F.lead(F.struct("conv", "answer")).over(own))
+    # One row per range.
+    first = laid.groupBy("part").agg(F.min(F.struct("key", "conv", "answer")).alias("f")).select("part", F.struct("f.conv", "f.answer").alias("f"))
+    every = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    first = first.select("part", F.coalesce(F.lead("f").over(Window.orderBy("part")), F.first("f").over(every)).alias("after"))
+    out = inside.join(materialise(first, "ranges"), "part").withColumn("next", F.coalesce("next", "after"))
+    return out.select("conv", F.col("next.conv").alias("next_conv"), F.col("next.answer").alias("next_answer"))
+
+
+def last_answer(turns: Column) -> Column:
+    """Place (from 1) of the last assistant turn; null without one."""
+    at = F.filter(F.transform(turns, lambda t, i: F.when(t["role"] == TRAINED_ROLE, i + 1)), lambda i: i.isNotNull())
+    return F.array_max(at)
+
+
+def with_rejected(convs: DataFrame) -> DataFrame:
+    """(chosen, rejected, ta, tb): ids and turns of every conversation and of its rejected side."""
+    c = convs.select("conv", "turns", last_answer(F.col("turns")).alias("k"))
+    some = c.filter(F.col("k").isNotNull()).select("conv", F.element_at("turns", F.col("k"))["text"].alias("answer"))
+    follow = materialise(ring(some).filter(F.col("conv") != F.col("next_conv")), "followers").withColumnRenamed("conv", "own")
+    j = c.join(follow, F.col("conv") == F.col("own"), "left")
+    own = convs.schema["turns"].dataType
+    swapped = F.array(F.struct(F.lit(TRAINED_ROLE).alias("role"), F.col("next_answer").alias("text"))).cast(own)
+    tb = F.concat(F.slice("turns", F.lit(1), F.col("k") - 1), swapped, F.slice("turns", F.col("k") + 1, F.size("turns")))
+    return j.select(F.col("conv").alias("chosen"), F.col("next_conv").alias("rejected"), F.col("turns").alias("ta"), F.when(F.col("next_conv").isNotNull(), tb).alias("tb"))
+
+
 def common_prefix(a: Column, b: Column) -> Column:
     """Number of leading elements that two arrays share."""
     shorter = F.least(F.size(a), F.size(b))
@@ -96,8 +136,7 @@ def trained_spans(turns: Column) -> Column:
 
 
 def format_pairs(pairs: DataFrame, convs: DataFrame) -> DataFrame:
-    """(chosen_id, rejected_id, n_shared, prompt, chosen, rejected, chosen_spans,
-    rejected_spans) for each pair."""
+    """``format_sides`` for each pair (chosen, rejected) of conversation ids."""
     a = convs.select(F.col("conv").alias("chosen"), F.col("turns").alias("ta"))
     b = convs.select(F.col("conv").alias("rejected"), F.col("turns").alias("tb"))
     # Conversations without a partner take no part in the second join, where their null would
@@ -106,8 +145,14 @@ def format_pairs(pairs: DataFrame, convs: DataFrame) -> DataFrame:
     single = j.filter(F.col("rejected").isNull()).withColumn("tb", F.lit(None).cast(convs.schema["turns"].dataType))
     j = j.filter(F.col("rejected").isNotNull()).join(b, "rejected", "left").select("chosen", "rejected", "ta", "tb").unionByName(
         single.select("chosen", "rejected", "ta", "tb"))
+    return format_sides(j)
+
+
+def format_sides(sides: DataFrame) -> DataFrame:
+    """(chosen_id, rejected_id, n_shared, prompt, chosen, rejected, chosen_spans,
+    rejected_spans) for each row (chosen, rejected, ta, tb): ids and turns of either side."""
     alone = F.greatest(F.size("ta") - 1, F.lit(0))
-    j = j.withColumn("n", F.when(F.col("tb").isNull(), alone).otherwise(common_prefix(F.col("ta"), F.col("tb"))))
+    j = sides.withColumn("n", F.when(F.col("tb").isNull(), alone).otherwise(common_prefix(F.col("ta"), F.col("tb"))))
     rest = lambda c: F.when(F.col(c).isNotNull(), F.slice(c, F.col("n") + 1, F.greatest(F.size(c) - F.col("n"), F.lit(0))))
     j = j.select("chosen", "rejected", "n", F.slice("ta", F.lit(1), F.col("n")).alias("shared"), rest("ta").alias("ra"), rest("tb").alias("rb"))
     return j.select(F.col("chosen").alias("chosen_id"), F.col("rejected").alias("rejected_id"), F.col("n").cast("long").alias("n_shared"),
@@ -116,23 +161,19 @@ def format_pairs(pairs: DataFrame, convs: DataFrame) -> DataFrame:
 
 
 def op5_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    convs = conversations(table(spark, sf_dir, "conversations"))
-    return format_pairs(pair_conversations(convs), convs)
+    convs = materialise(conversations(table(spark, sf_dir, "conversations")), "conversations")
+    return format_sides(with_rejected(convs))
 
 
 ORACLE_SQL = """
 WITH t AS (SELECT conv_id AS conv, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
-c AS (SELECT conv, list({'role': role, 'text': text} ORDER BY turn NULLS FIRST, role, text) AS ts,
-             sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS weight FROM t GROUP BY conv),
-k AS (SELECT conv, weight, ts[1] AS opening, conv % 64 AS salt FROM c),
-r1 AS (SELECT *, row_number() OVER w AS rk, lead(conv) OVER w AS oc, lead(weight) OVER w AS ow FROM k
-       WINDOW w AS (PARTITION BY opening, salt ORDER BY conv)),
-left_over AS (SELECT conv, weight, opening FROM r1 WHERE rk % 2 = 1 AND oc IS NULL),
-r2 AS (SELECT *, row_number() OVER w AS rk, lead(conv) OVER w AS oc, lead(weight) OVER w AS ow FROM left_over
-       WINDOW w AS (PARTITION BY opening ORDER BY conv)),
-p AS (SELECT conv, weight, oc, ow FROM r1 WHERE rk % 2 = 1 AND oc IS NOT NULL UNION ALL SELECT conv, weight, oc, ow FROM r2 WHERE rk % 2 = 1),
-q AS (SELECT CASE WHEN ow > weight THEN oc ELSE conv END AS chosen_id, CASE WHEN ow > weight THEN conv ELSE oc END AS rejected_id FROM p),
-j AS (SELECT chosen_id, rejected_id, a.ts AS ta, b.ts AS tb FROM q JOIN c a ON a.conv = chosen_id LEFT JOIN c b ON b.conv = rejected_id),
+c AS (SELECT conv, list({'role': role, 'text': text} ORDER BY turn NULLS FIRST, role, text) AS ts FROM t GROUP BY conv),
+k AS (SELECT conv, ts, list_max(list_filter(range(1, len(ts) + 1), lambda i: ts[i].role = 'assistant')) AS k FROM c),
+r AS (SELECT conv, coalesce(lead(conv) OVER w, first_value(conv) OVER w) AS nc, coalesce(lead(ts[k].text) OVER w, first_value(ts[k].text) OVER w) AS answer
+      FROM k WHERE k IS NOT NULL WINDOW w AS (ORDER BY md5(CAST(conv AS VARCHAR)), conv)),
+j AS (SELECT k.conv AS chosen_id, r.nc AS rejected_id, ts AS ta,
+      CASE WHEN r.nc IS NOT NULL THEN list_concat(list_concat(ts[1:k - 1], [{'role': 'assistant', 'text': answer}]), ts[k + 1:]) END AS tb
+      FROM k LEFT JOIN r ON r.conv = k.conv AND r.nc <> r.conv),
 n AS (SELECT *, CASE WHEN tb IS NULL THEN len(ta) - 1
         ELSE list_min(list_filter(range(0, least(len(ta), len(tb)) + 1), lambda i: i = least(len(ta), len(tb)) OR ta[i + 1] IS DISTINCT FROM tb[i + 1])) END AS n FROM j),
 s AS (SELECT chosen_id, rejected_id, n, ta[1:n] AS shared, ta[n + 1:] AS ra, tb[n + 1:] AS rb FROM n),

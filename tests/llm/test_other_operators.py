@@ -6,6 +6,7 @@ import hashlib
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 import corpus_pipeline
@@ -93,6 +94,33 @@ def test_preferences_prompt_completions_and_masks(spark):
     assert preferences.format_pairs(preferences.pair_conversations(c.limit(0)), c.limit(0)).count() == 0
 
 
+def test_every_answered_conversation_gets_a_rejected_side(spark):
+    turns = [(f"c{i}", t, ("user", "assistant")[t % 2], f"text {i} {t}" if i % 9 else "same") for i in range(200) for t in range(1 + i % 5)]
+    turns += [("long", 0, "user", "x " * 100_000), ("long", 1, "assistant", "y")]
+    df = spark.createDataFrame(turns, "conv_id string, turn long, role string, text string").repartition(7)
+    df = df.withColumns({c: F.lit("x") for c in ("conv", "turns", "key", "part", "next", "k", "answer", "n")})
+    rows = {r["chosen_id"]: r for r in preferences.format_sides(preferences.with_rejected(preferences.conversations(df))).collect()}
+    convs = {}
+    for c, _, role, text in sorted(turns, key=lambda x: (x[0], x[1])):
+        convs.setdefault(c, []).append((role, text))
+    order = sorted((c for c, t in convs.items() if any(r == "assistant" for r, _ in t)), key=lambda c: (hashlib.md5(c.encode()).hexdigest(), c))
+    show = lambda ts: "".join(f"<|im_start|>{r}\n{x}<|im_end|>\n" for r, x in ts)
+    assert set(rows) == set(convs)
+    for c, ts in convs.items():
+        r = rows[c]
+        if c not in order:
+            assert r["rejected"] is None and r["prompt"] == show(ts[:-1]) and r["chosen"] == show(ts[-1:])
+            continue
+        other = order[(order.index(c) + 1) % len(order)]
+        answer = [x for role, x in convs[other] if role == "assistant"][-1]
+        k = max(i for i, (role, _) in enumerate(ts) if role == "assistant")
+        swapped = [*ts[:k], ("assistant", answer), *ts[k + 1:]]
+        n = next((i for i, (a, b) in enumerate(zip(ts, swapped, strict=True)) if a != b), len(ts))
+        assert (r["rejected_id"], r["n_shared"], r["prompt"], r["chosen"], r["rejected"]) == (other, n, show(ts[:n]), show(ts[n:]), show(swapped[n:]))
+    one = preferences.with_rejected(preferences.conversations(df.filter("conv_id = 'c1'"))).collect()
+    assert len(one) == 1 and one[0]["rejected"] is None
+
+
 # 8 ------------------------------------------------------------------------------------
 def test_main_text_of_articles(spark):
     page = ("<html><head><title>T</title><style>p{}</style><script>var t='</p>';</script></head><body><nav><a>menu</a></nav>"
