@@ -104,8 +104,7 @@ def with_rejected(convs: DataFrame) -> DataFrame:
     some = c.filter(F.col("k").isNotNull()).select("conv", F.element_at("turns", F.col("k"))["text"].alias("answer"))
     follow = materialise(ring(some).filter(F.col("conv") != F.col("next_conv")), "followers").withColumnRenamed("conv", "own")
     j = c.join(follow, F.col("conv") == F.col("own"), "left")
-    own = convs.schema["turns"].dataType
-    swapped = F.array(F.struct(F.lit(TRAINED_ROLE).alias("role"), F.col("next_answer").alias("text"))).cast(own)
+    swapped = F.array(F.struct(F.lit(TRAINED_ROLE).alias("role"), F.coalesce("next_answer", F.lit("")).alias("text")))
     tb = F.concat(F.slice("turns", F.lit(1), F.col("k") - 1), swapped, F.slice("turns", F.col("k") + 1, F.size("turns")))
     return j.select(F.col("conv").alias("chosen"), F.col("next_conv").alias("rejected"), F.col("turns").alias("ta"), F.when(F.col("next_conv").isNotNull(), tb).alias("tb"))
 
