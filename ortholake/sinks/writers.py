@@ -4,12 +4,12 @@ atomic by writing a new versioned directory and then replacing a small pointer f
 from __future__ import annotations
 
 import os
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ortholake.catalog import Catalog
+from ortholake.sinks.files import replace_text
 
 
 # K1 -------------------------------------------------------------------------
@@ -17,26 +17,10 @@ def write_table_set(cat: Catalog, root: str, version: str, mode: str = "errorife
     """Write every table under ``root/<version>`` and point ``root/CURRENT`` at it."""
     target = os.path.join(root, version)
     cat.save(target, mode=mode)
-    _point_to(cat.spark, root, version)
+    replace_text(cat.spark, os.path.join(root, "CURRENT"), version + "\n")
     return target
 
 
-def _point_to(spark: SparkSession, root: str, version: str) -> None:
-    """Write the pointer file under a new name and rename it over the old one in one step."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    hadoop = jvm.org.apache.hadoop.fs
-    new, current = hadoop.Path(os.path.join(root, f".CURRENT-{uuid.uuid4().hex}")), hadoop.Path(os.path.join(root, "CURRENT"))
-    files = new.getFileSystem(conf)
-    out = files.create(new, False)
-    out.write(bytearray(version.encode() + b"\n"))
-    out.close()
-    new, current = files.makeQualified(new), files.makeQualified(current)
-    kind = getattr(hadoop, "Options$Rename")
-    how = spark.sparkContext._gateway.new_array(kind, 1)
-    how[0] = kind.valueOf("OVERWRITE")
-    hadoop.FileContext.getFileContext(new.toUri(), conf).rename(new, current, how)
-
-
 def read_current(spark: SparkSession, root: str) -> Catalog:
     version = spark.read.text(os.path.join(root, "CURRENT")).first()[0]
     return Catalog.open(spark, os.path.join(root, version))
