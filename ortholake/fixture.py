@@ -282,7 +282,7 @@ def incoming(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     protein = F.concat(F.lit("v1_DLS_"), _s("l_partkey"), F.lit(".p"), _s("l_linenumber"))
     proteins = j.select(
         protein.alias("seqhash_id"), F.concat(F.col("p_name"), F.lit(" "), F.col("p_type")).alias("sequence"),
-        sample.alias("sample_id"), rank.alias("sample_rank"),
+        sample.alias("sample_id"), rank.alias("sample_rank"), (F.col("l_orderkey") * 8 + F.col("l_linenumber")).cast("long").alias("record_no"),
     )
     qty = F.col("l_quantity").cast("int")
     dash = F.lit("-")
@@ -325,7 +325,8 @@ def incoming(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 INCOMING_CTES: list[tuple[str, str]] = [
     ("in_proteins", """
 SELECT 'v1_DLS_'||CAST(l_partkey AS VARCHAR)||'.p'||CAST(l_linenumber AS VARCHAR) AS seqhash_id,
-       p_name||' '||p_type AS sequence, 'SRR'||CAST(l_suppkey AS VARCHAR) AS sample_id, CAST(l_suppkey AS INT) AS sample_rank
+       p_name||' '||p_type AS sequence, 'SRR'||CAST(l_suppkey AS VARCHAR) AS sample_id, CAST(l_suppkey AS INT) AS sample_rank,
+       l_orderkey * 8 + l_linenumber AS record_no
 FROM lineitem JOIN part ON l_partkey = p_partkey"""),
     ("in_annotations", f"""
 SELECT 'v1_DLS_'||CAST(l_partkey AS VARCHAR)||'.p'||CAST(l_linenumber AS VARCHAR) AS query,
@@ -354,7 +355,7 @@ FROM lineitem GROUP BY l_partkey, l_suppkey"""),
     ("in_seq", f"""
 SELECT seqhash_id, sequence, sample_id, TIMESTAMP '{AS_OF}' AS assembly_date, FALSE AS is_representative,
        seqhash_id AS repseq_id, CAST(length(sequence) AS INT) AS length
-FROM (SELECT *, row_number() OVER (PARTITION BY seqhash_id ORDER BY sample_rank, sequence) AS rn FROM in_proteins) t
+FROM (SELECT *, row_number() OVER (PARTITION BY seqhash_id ORDER BY sample_rank, record_no, sequence) AS rn FROM in_proteins) t
 WHERE rn = 1"""),
     ("in_ann_first", f"""
 SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query ORDER BY sample_rank, {", ".join(ANN_FIELDS)}) AS rn
@@ -465,6 +466,26 @@ def document_catalog(spark: SparkSession, sf_dir: str) -> Catalog:
     return Catalog(spark, {k: conform(v, SCHEMA_V2[k]) for k, v in tables.items()})
 
 
+_LETTERS = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_BASES = ("ACGT" * 7)[:26] * 2
+
+
+def nucleotides(df: DataFrame, id_col: str, both_strands: bool = False) -> DataFrame:
+    """(id, text): a nucleotide sequence per text, a base for every ASCII letter. With
+    ``both_strands``, odd ids are given as read from the other strand."""
+    seq = F.regexp_replace(F.translate(F.coalesce("text", F.lit("")), _LETTERS, _BASES), "[^ACGT]", "")
+    if both_strands:
+        seq = F.when(F.col(id_col) % 2 == 1, F.reverse(F.translate(seq, "ACGT", "TGCA"))).otherwise(seq)
+    return df.select(id_col, seq.alias("text"))
+
+
+def nucleotides_sql(table: str, id_col: str, both_strands: bool = False) -> str:
+    seq = f"regexp_replace(translate(coalesce(text, ''), '{_LETTERS}', '{_BASES}'), '[^ACGT]', '', 'g')"
+    if both_strands:
+        seq = f"CASE WHEN {id_col} % 2 = 1 THEN reverse(translate({seq}, 'ACGT', 'TGCA')) ELSE {seq} END"
+    return f"SELECT {id_col} AS id, {seq} AS text FROM {table}"
+
+
 DOC_CTES: list[tuple[str, str]] = [
     ("d_base", "SELECT 'doc_'||CAST(doc_id AS VARCHAR) AS seqhash_id, text AS sequence, source AS sample_id, lang, sha256(text) AS h FROM documents"),
     ("d_seq", """

@@ -15,6 +15,7 @@ Primary keys of the relational store are emulated:
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,6 +24,8 @@ from pyspark.sql import functions as F
 from ortholake.catalog import SCHEMA_V2, Catalog, conform
 from ortholake.functions.columns import MISSING, any_informative, gene_id, nullif_dash
 
+RECORD_BITS = 40          # of a record's number within its sample
+
 KEGG_COLUMNS = [
     ("KEGG_ko", "kegg_ko"), ("KEGG_Pathway", "kegg_pathway"), ("KEGG_Module", "kegg_module"),
     ("KEGG_Reaction", "kegg_reaction"), ("KEGG_rclass", "kegg_rclass"), ("BRITE", "brite"), ("KEGG_TC", "kegg_tc"),
@@ -51,17 +54,29 @@ class SequenceIngest:
 
 def ingest_sequences(incoming: DataFrame, existing: Catalog | None = None,
                      as_of: _dt.datetime | None = None) -> SequenceIngest:
-    """``incoming``: (seqhash_id, sequence, sample_id, sample_rank).
+    """``incoming``: (seqhash_id, sequence, sample_id, sample_rank[, record_no]).
 
     A record is a duplicate when its id is already in the catalogue or was loaded by an
     earlier sample. Within one sample the first copy is kept (INSERT OR IGNORE) and the
-    copies still count as loaded, as in the studied builder."""
+    copies still count as loaded, as in the studied builder. The first one is that of the smallest
+    ``record_no`` (see ``sources.numbered_records``); where records carry no number, that of the
+    smallest text."""
     as_of = as_of or _dt.datetime(2000, 1, 1)
-    rec = incoming.select("seqhash_id", "sequence", "sample_id", "sample_rank")
-    first = rec.groupBy("seqhash_id").agg(
-        F.min("sample_rank").alias("first_rank"),
-        F.min_by(F.struct("sample_id", "sequence"), F.struct("sample_rank", "sequence")).alias("w"),
-    )
+    rec = incoming.select("seqhash_id", "sequence", "sample_id", "sample_rank", *[c for c in ("record_no",) if c in incoming.columns])
+    if "record_no" in rec.columns:
+        # Rank and number in one long: a plain minimum finds the winner, and no text is sorted for it.
+        rec = rec.withColumn("_place", F.shiftleft(F.col("sample_rank").cast("long"), RECORD_BITS) + F.col("record_no"))
+        first = rec.groupBy("seqhash_id").agg(F.min("_place").alias("_place"))
+        won = first.join(rec.select("seqhash_id", "_place", F.struct("sequence", "sample_id").alias("w")), ["seqhash_id", "_place"])
+        # One row an id, unless a number was given twice: then its smallest text.
+        won = won.groupBy("seqhash_id", "_place").agg(F.array_min(F.collect_set("w")).alias("w"))
+        first = won.withColumn("first_rank", F.shiftright("_place", RECORD_BITS).cast("int")).drop("_place")
+        rec = rec.drop("_place", "record_no")
+    else:
+        first = rec.groupBy("seqhash_id").agg(
+            F.min("sample_rank").alias("first_rank"),
+            F.min_by(F.struct("sample_id", "sequence"), F.struct("sample_rank", "sequence")).alias("w"),
+        )
     prior = _ids(existing, "sequences", ["seqhash_id"])
     if prior is not None:
         first = first.join(prior.withColumn("_exists", F.lit(True)), "seqhash_id", "left")
@@ -175,6 +190,17 @@ def ingest_expression(quant: DataFrame, catalog: Catalog, ownership: bool = True
     return conform(q, SCHEMA_V2["expression"])
 
 
+def expression_gene_map(quant: DataFrame, catalog: Catalog) -> DataFrame:
+    """Gene-map rows that loading ``quant`` adds: for each sample of which a quantified gene has a
+    protein, the pairs of all its proteins that are not mapped yet."""
+    own = catalog.sequences.select("sample_id", gene_id("seqhash_id").alias("gene_seqhash_id"), F.col("seqhash_id").alias("protein_seqhash_id"))
+    q = quant.select("sample_id", "gene_seqhash_id").distinct()
+    matched = own.join(q, ["sample_id", "gene_seqhash_id"], "left_semi").select("sample_id").distinct()
+    pairs = own.join(matched, "sample_id", "left_semi").select("gene_seqhash_id", "protein_seqhash_id").distinct()
+    prior = _ids(catalog, "gene_protein_map", ["gene_seqhash_id", "protein_seqhash_id"])
+    return pairs if prior is None else pairs.join(prior, ["gene_seqhash_id", "protein_seqhash_id"], "left_anti")
+
+
 def backfill_expression(quant: DataFrame, catalog: Catalog) -> DataFrame:
     """Expression for samples already in the catalogue, insert-or-ignore, no ownership filter:
     genes without a gene-map row are kept too."""
@@ -182,6 +208,13 @@ def backfill_expression(quant: DataFrame, catalog: Catalog) -> DataFrame:
     return ingest_expression(q, catalog, ownership=False)
 
 
+def backfill_gene_map(proteins: DataFrame, catalog: Catalog) -> DataFrame:
+    """Gene-map rows of the protein files (sample_id, seqhash_id) of samples already in the
+    catalogue, insert-or-ignore; the proteins need not be catalogue sequences."""
+    p = proteins.join(catalog.sra_metadata.select("sample_id"), "sample_id", "left_semi")
+    return ingest_gene_protein_map(p.select("seqhash_id"), catalog)
+
+
 # I9 -------------------------------------------------------------------------
 def ingest_report(samples: DataFrame, seq: SequenceIngest, annotations_loaded: DataFrame | None = None,
                   existing_samples: DataFrame | None = None) -> DataFrame:
@@ -233,6 +266,35 @@ def _empty_catalog(spark: SparkSession) -> Catalog:
     return Catalog(spark, {n: spark.createDataFrame([], SCHEMA_V2[n]) for n in SCHEMA_V2 if n != "schema_version"})
 
 
+def bundle_rows(bundle: SampleBundle, base: Catalog, as_of: _dt.datetime | None = None, ownership: bool = True,
+                stage: Callable[[DataFrame], DataFrame] = lambda df: df) -> tuple[dict[str, DataFrame], DataFrame]:
+    """I1-I9 for a bundle of samples: the rows that each table gains (``sra_metadata``: the rows of
+    the new samples), and the per-sample report. Samples already present are rejected. ``stage``
+    (such as ``materialise``) is applied to the accepted sequences, from which all other tables follow."""
+    existing_samples = base.sra_metadata.select("sample_id")
+    samples = bundle.samples.join(existing_samples, "sample_id", "left_anti")
+    prot = bundle.proteins.join(samples, "sample_id").select(
+        F.col("id").alias("seqhash_id"), "sequence", "sample_id", "sample_rank", *[c for c in ("record_no",) if c in bundle.proteins.columns])
+    seq = ingest_sequences(prot, base, as_of)
+    seq = SequenceIngest(stage(seq.accepted), seq.records, seq.duplicates)
+    cat = base.with_tables(sequences=base.sequences.unionByName(seq.accepted))
+    new = {"sequences": seq.accepted, "gene_protein_map": ingest_gene_protein_map(prot.select("seqhash_id").distinct(), base)}
+    if bundle.annotations is not None:
+        ann = bundle.annotations.join(samples, "sample_id")
+        new |= {"annotations": ingest_annotations(ann, cat), "go_terms": ingest_go_terms(ann, cat), "ec_numbers": ingest_ec_numbers(ann, cat),
+                "kegg_info": ingest_kegg(ann, cat)}
+    if bundle.quant is not None:
+        quant = bundle.quant.join(samples, "sample_id")
+        new["expression"] = ingest_expression(quant, cat, ownership)
+        mapped = base.with_tables(sequences=cat.sequences, gene_protein_map=base.gene_protein_map.unionByName(new["gene_protein_map"]))
+        new["gene_protein_map"] = new["gene_protein_map"].unionByName(expression_gene_map(quant, mapped))
+    meta = samples.select("sample_id")
+    if bundle.metadata is not None:                         # a sample without a record is entered by its id
+        meta = meta.join(bundle.metadata, "sample_id", "left")
+    new["sra_metadata"] = conform(meta, SCHEMA_V2["sra_metadata"])
+    return new, ingest_report(bundle.samples, seq, new.get("annotations"), existing_samples)
+
+
 def ingest_bundle(spark: SparkSession, bundle: SampleBundle, catalog: Catalog | None = None,
                   as_of: _dt.datetime | None = None, ownership: bool = True) -> tuple[Catalog, DataFrame]:
     """Run I1-I9 for a bundle of samples against ``catalog`` (or an empty one).
@@ -240,34 +302,9 @@ def ingest_bundle(spark: SparkSession, bundle: SampleBundle, catalog: Catalog |
     Returns the catalogue with the new rows appended (lazily) and the per-sample report.
     Samples already present in ``sra_metadata`` are rejected (I11)."""
     base = catalog or _empty_catalog(spark)
-    existing_samples = base.sra_metadata.select("sample_id")
-    samples = bundle.samples.join(existing_samples, "sample_id", "left_anti")
-    prot = bundle.proteins.join(samples, "sample_id", "left_semi")
-    prot = prot.join(samples, "sample_id").select(F.col("id").alias("seqhash_id"), "sequence", "sample_id", "sample_rank")
-    seq = ingest_sequences(prot, base, as_of)
-    new_seqs = seq.accepted
-    cat1 = base.with_tables(sequences=base.sequences.unionByName(new_seqs))
-    gpm = ingest_gene_protein_map(prot.select("seqhash_id").distinct(), base)
-    cat1 = cat1.with_tables(gene_protein_map=base.gene_protein_map.unionByName(gpm))
-    ann_loaded = None
-    if bundle.annotations is not None:
-        ann = bundle.annotations.join(samples, "sample_id")
-        new_ann = ingest_annotations(ann, cat1)
-        ann_loaded = new_ann
-        cat1 = cat1.with_tables(
-            annotations=base.annotations.unionByName(new_ann),
-            go_terms=base.go_terms.unionByName(ingest_go_terms(ann, cat1)),
-            ec_numbers=base.ec_numbers.unionByName(ingest_ec_numbers(ann, cat1)),
-            kegg_info=base.kegg_info.unionByName(ingest_kegg(ann, cat1)),
-        )
-    if bundle.quant is not None:
-        qn = bundle.quant.join(samples, "sample_id")
-        cat1 = cat1.with_tables(expression=base.expression.unionByName(ingest_expression(qn, cat1, ownership)))
-    meta = bundle.metadata if bundle.metadata is not None else samples.select("sample_id")
-    cat1 = cat1.with_tables(sra_metadata=upsert_sample_metadata(base.sra_metadata, conform(meta, SCHEMA_V2["sra_metadata"])
-                                                               .join(samples, "sample_id", "left_semi")))
-    report = ingest_report(bundle.samples, seq, ann_loaded, existing_samples)
-    return cat1, report
+    new, report = bundle_rows(bundle, base, as_of, ownership)
+    meta = upsert_sample_metadata(base.sra_metadata, new.pop("sra_metadata"))
+    return base.with_tables(sra_metadata=meta, **{t: base[t].unionByName(rows) for t, rows in new.items()}), report
 
 
 def build_catalog(spark: SparkSession, bundle: SampleBundle, catalog: Catalog | None = None, **kw) -> tuple[Catalog, DataFrame]:
@@ -328,7 +365,7 @@ def sample_stats_json(cat: Catalog) -> DataFrame:
 
 __all__ = [
     "SequenceIngest", "SampleBundle", "CatalogNotEmpty", "sample_order", "ingest_sequences", "ingest_gene_protein_map",
-    "ingest_annotations", "ingest_go_terms", "ingest_ec_numbers", "ingest_kegg", "ingest_expression", "backfill_expression",
-    "ingest_report", "ingest_bundle", "build_catalog", "update_catalog", "upsert_sample_metadata", "attach_cds_coordinates",
+    "ingest_annotations", "ingest_go_terms", "ingest_ec_numbers", "ingest_kegg", "ingest_expression", "expression_gene_map",
+    "backfill_expression", "backfill_gene_map", "ingest_report", "bundle_rows", "ingest_bundle", "build_catalog", "update_catalog", "upsert_sample_metadata", "attach_cds_coordinates",
     "load_transcript_model", "sample_stats_json",
 ]

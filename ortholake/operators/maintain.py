@@ -174,6 +174,15 @@ class DuplicateClusters(RuntimeError):
     pass
 
 
+def assign_representatives(sequences: DataFrame, assign: DataFrame) -> DataFrame:
+    """``sequences`` with the representatives of ``assign`` (seqhash_id, rep) and the flag that
+    follows from them; other rows stay."""
+    upd = sequences.join(assign, "seqhash_id", "left").withColumn("repseq_id", F.coalesce(F.col("rep"), F.col("repseq_id")))
+    if "is_representative" in sequences.columns:
+        upd = upd.withColumn("is_representative", F.when(F.col("rep").isNotNull(), F.col("seqhash_id") == F.col("rep")).otherwise(F.col("is_representative")))
+    return upd.select(*sequences.columns)
+
+
 def update_clusters(cat: Catalog, edges: DataFrame, mode: str = "replace") -> ClusterUpdate:
     """Apply a (representative, member) edge list.
 
@@ -186,15 +195,7 @@ def update_clusters(cat: Catalog, edges: DataFrame, mode: str = "replace") -> Cl
         raise ValueError(mode)
     v = valid_edges(edges, cat.sequences)
     assign = v.groupBy("member").agg(F.min("representative").alias("rep"))
-    seqs = cat.sequences
-    cols = seqs.columns
-    upd = seqs.join(assign.withColumnRenamed("member", "seqhash_id"), "seqhash_id", "left")
-    upd = upd.withColumn("repseq_id", F.coalesce(F.col("rep"), F.col("repseq_id")))
-    if "is_representative" in cols:
-        upd = upd.withColumn(
-            "is_representative", F.when(F.col("rep").isNotNull(), F.col("seqhash_id") == F.col("rep")).otherwise(F.col("is_representative"))
-        )
-    new_seqs = upd.select(*cols)
+    new_seqs = assign_representatives(cat.sequences, assign.withColumnRenamed("member", "seqhash_id"))
     new_clusters = v.groupBy(F.col("representative").alias("cluster_id")).agg(F.count(F.lit(1)).cast("int").alias("size")).select(
         "cluster_id", F.col("cluster_id").alias("representative_seqhash_id"), "size"
     )

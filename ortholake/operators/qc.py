@@ -132,6 +132,13 @@ def qc_report(cat: Catalog, mapping: DataFrame | None = None, reads: DataFrame |
     )
 
 
+def with_not_available(report: DataFrame) -> DataFrame:
+    """The report as it is shown: numbers as text, and ``N/A`` where a sample has no value (no
+    quantified transcript, no mapping or read statistics)."""
+    keep = ("sample_id", "organism")
+    return report.select(*keep, *[F.coalesce(F.col(c).cast("string"), F.lit("N/A")).alias(c) for c in report.columns if c not in keep])
+
+
 # X9 -------------------------------------------------------------------------
 def transcript_quant_balance(cat: Catalog) -> DataFrame:
     """Per sample: transcripts (distinct genes) vs quantification rows; balanced when equal."""

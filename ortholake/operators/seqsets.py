@@ -8,9 +8,9 @@ definition of its own (documented per function) so results are testable:
   shingle after a semi-join has removed every shingle that cannot match;
 * ranking is exact: the per-query top-k is taken in two stages over salted groups, so a
   query with a huge candidate list is never sorted in one task, and no candidate is capped;
-* clustering links two texts when they share a MinHash band; every band bucket is turned
-  into star edges to its smallest member (linear in the bucket, never all pairs), and the
-  clusters are the connected components of those edges.
+* clustering links two texts whose shingle sets reach an identity, confirmed on the whole sets;
+  candidates come from a rare-first prefix index (``operators.similarity``), and clusters are the connected
+  components of the links. A kept index (``operators.cluster_index``) takes further batches.
 """
 
 from __future__ import annotations
@@ -20,17 +20,18 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ortholake.functions.columns import content_id, with_kmers, with_ngrams, with_words
-from ortholake.operators.components import connected_components
-from ortholake.session import materialise
+from ortholake.functions.columns import content_id
+from ortholake.operators.kmer_depth import depths
+from ortholake.operators.similarity import shingle_sets, similar_components, with_shingles
+from ortholake.operators.strands import shared_kmers
+from ortholake.session import materialise, scratch_path
 
 # Fixed parameters of the operators (defaults).
 SCREEN_NGRAM = 5          # word n-gram of the contaminant screen
 SEARCH_NGRAM = 3          # word n-gram of the homology index
 TOP_K = 5                 # hits kept per query
 TOPK_SALT = 16            # salted groups of the two-stage top-k
-MINHASH_BANDS = 16
-MINHASH_ROWS = 2
+CLUSTER_PERCENT = 80      # identity of two linked sequences
 HASH_SPACE = 1000         # resolution of the deterministic sampling draw
 
 
@@ -40,14 +41,7 @@ def content_ids(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
 
 
 # Shingle tables -------------------------------------------------------------
-def units(df: DataFrame, text_col: str, n: int, unit: str = "word") -> DataFrame:
-    """Add ``_ngrams``: the n-grams of words (texts), or of characters with ``unit="char"``
-    (k-mers of nucleotide reads and proteins, letter case ignored)."""
-    if unit == "char":
-        return with_kmers(df, text_col, n)
-    if unit != "word":
-        raise ValueError(f"unit must be word or char, not {unit!r}")
-    return with_ngrams(with_words(df, text_col), "_words", n)
+units = with_shingles
 
 
 def shingles(df: DataFrame, id_col: str, text_col: str, n: int, extra: list[str] | None = None, unit: str = "word") -> DataFrame:
@@ -59,7 +53,10 @@ def shingles(df: DataFrame, id_col: str, text_col: str, n: int, extra: list[str]
 # R2 -------------------------------------------------------------------------
 def contaminant_pairs(reads: DataFrame, refs: DataFrame, n: int = SCREEN_NGRAM,
                       read_id: str = "doc_id", ref_id: str = "item_id", text_col: str = "text", unit: str = "word") -> DataFrame:
-    """(read_id, ref_id, shared): read / reference pairs sharing at least one word n-gram."""
+    """(read_id, ref_id, shared): read / reference pairs sharing at least one n-gram; with
+    ``unit="dna"`` a k-mer of ``n`` letters on either strand (``operators.strands``)."""
+    if unit == "dna":
+        return shared_kmers(reads, refs, n, read_id, ref_id, text_col)
     rs = shingles(reads, read_id, text_col, n, unit=unit)
     fs = shingles(refs.select(F.col(ref_id), F.col(text_col)), ref_id, text_col, n, unit=unit)
     keys = fs.select("shingle").distinct()
@@ -100,14 +97,10 @@ def _draw(id_col: str) -> Column:
 def depth_normalize(reads: DataFrame, target: float, min_depth: float, n: int = 3, read_id: str = "doc_id",
                     text_col: str = "text", unit: str = "word") -> DataFrame:
     """Normalise coverage: a read's depth is the (lower) median, over its n-gram occurrences, of
-    how often each n-gram occurs in the whole read set. Reads below ``min_depth`` are dropped;
+    how often each n-gram occurs in the whole read set (``operators.kmer_depth``; on either strand with
+    ``unit="dna"``). Read ids are unique. Reads below ``min_depth`` are dropped;
     reads above ``target`` are kept with probability target/depth using a deterministic draw."""
-    occ = units(reads.select(read_id, text_col), text_col, n, unit).select(
-        read_id, F.explode("_ngrams").alias("shingle"))
-    counts = occ.groupBy("shingle").agg(F.count(F.lit(1)).alias("c"))
-    depth = occ.join(counts, "shingle").groupBy(read_id).agg(
-        F.percentile_approx("c", F.lit(0.5), F.lit(1_000_000)).alias("depth")
-    )
+    depth = depths(reads, read_id, text_col, n, unit).withColumnRenamed("read", read_id)
     r = reads.join(depth, read_id, "left").withColumn("depth", F.coalesce(F.col("depth"), F.lit(0)))
     keep = (F.col("depth") >= F.lit(min_depth)) & (
         (F.col("depth") <= F.lit(target)) | (_draw(read_id) * F.col("depth") < F.lit(target * HASH_SPACE))
@@ -172,60 +165,42 @@ def homology_search(queries: DataFrame, targets: DataFrame, n: int = SEARCH_NGRA
     return top
 
 
-# MinHash / LSH ----------------------------------------------------------------
-def minhash_bands(df: DataFrame, id_col: str, text_col: str, n: int = SEARCH_NGRAM, bands: int = MINHASH_BANDS,
-                  rows: int = MINHASH_ROWS, unit: str = "word") -> DataFrame:
-    """(id, band_key): one key per band of the MinHash signature of the text's shingles.
-
-    The signature is a grouped ``min`` over exploded shingles of ``bands * rows`` seeded
-    hash columns: plain generated code with map-side partial aggregation (no per-element
-    lambdas). Texts without shingles get no band and stay singletons."""
-    perms = bands * rows
-    sh = shingles(df, id_col, text_col, n, unit=unit)
-    sig = sh.groupBy(id_col).agg(*[F.min(F.xxhash64(F.col("shingle"), F.lit(i))).alias(f"_h{i}") for i in range(perms)])
-    keys = F.array(*[F.xxhash64(F.lit(b), *[F.col(f"_h{b * rows + r}") for r in range(rows)]) for b in range(bands)])
-    return sig.select(id_col, F.explode(keys).alias("band_key"))
-
-
-def band_star_edges(bands: DataFrame, id_col: str) -> DataFrame:
-    """Each band bucket -> edges from every member to the bucket's smallest id (linear)."""
-    root = bands.groupBy("band_key").agg(F.min(id_col).alias("_root"))
-    return bands.join(root, "band_key").filter(F.col(id_col) != F.col("_root")).select(
-        F.col(id_col).alias("src"), F.col("_root").alias("dst")
-    ).distinct()
-
-
 # R6 -------------------------------------------------------------------------
 def cluster_sequences(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str | None = None,
-                      **lsh) -> DataFrame:
-    """(id, representative): clusters = connected components of band-sharing; representative =
-    the longest member, ties by smallest id."""
+                      n: int = SEARCH_NGRAM, percent: int = CLUSTER_PERCENT, unit: str = "word") -> DataFrame:
+    """(id, representative): texts are linked where 100 * shared >= ``percent`` * union of their n-gram
+    sets; clusters are the connected components, and the representative is the longest member, ties by
+    smallest id. Texts without an n-gram stay by themselves. Equal sets are compared once."""
     length = F.col(length_col) if length_col else F.length(text_col)
-    bands = minhash_bands(df, id_col, text_col, **lsh)
-    edges = band_star_edges(bands, id_col)
-    comp = connected_components(df.select(id_col), edges)
-    m = df.select(F.col(id_col).alias("id"), length.alias("_len")).join(comp, "id")
-    reps = m.groupBy("component").agg(F.min_by("id", F.struct(-F.col("_len"), F.col("id"))).alias("representative"))
-    return m.join(reps, "component").select(F.col("id").alias(id_col), "representative")
+    sets = materialise(shingle_sets(df, id_col, text_col, n, unit), "sets")
+    keyed = sets.withColumn("h", F.xxhash64("set")).withColumn("h2", F.xxhash64(F.lit(1), "set"))
+    classes = materialise(keyed.groupBy("n", "h", "h2").agg(F.min("id").alias("rep")), "classes")
+    named = materialise(keyed.select("id", "n", "h", "h2").join(classes, ["n", "h", "h2"]).select("id", "rep"), "named")
+    reps = materialise(sets.join(classes.select(F.col("rep").alias("id")), "id", "left_semi"), "representatives")
+    comp = similar_components(reps, percent).select(F.col("id").alias("rep"), "component")
+    comp = named.join(comp, "rep", "left").select("id", F.coalesce("component", "rep").alias("component"))
+    m = df.select(F.col(id_col).alias("id"), length.alias("_len")).join(materialise(comp, "components"), "id", "left")
+    m = materialise(m.select("id", "_len", F.coalesce("component", "id").alias("component")), "members")
+    longest = m.groupBy("component").agg(F.max("_len").alias("_most"))
+    reps = m.join(longest, "component").filter(F.col("_len").eqNullSafe(F.col("_most"))).groupBy("component").agg(F.min("id").alias("representative"))
+    return m.join(materialise(reps, "longest"), "component").select(F.col("id").alias(id_col), "representative")
 
 
 # R7 -------------------------------------------------------------------------
 def cluster_incremental(existing: DataFrame, new: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                        rep_col: str = "representative", **lsh) -> DataFrame:
+                        rep_col: str = "representative", n: int = SEARCH_NGRAM, percent: int = CLUSTER_PERCENT, unit: str = "word") -> DataFrame:
     """Add a batch to an existing clustering with stable representatives.
 
-    ``existing``: (id, text, representative). A new text sharing a band with an existing
-    representative joins that cluster (smallest such representative); the rest are
-    clustered among themselves (R6). Existing assignments never change."""
-    reps = existing.filter(F.col(id_col) == F.col(rep_col)).select(id_col, text_col)
-    rb = minhash_bands(reps, id_col, text_col, **lsh).withColumnRenamed(id_col, "_rep")
-    nb = minhash_bands(new.select(id_col, text_col), id_col, text_col, **lsh)
-    # One row per band first: only the smallest representative of a band can be chosen.
-    smallest = materialise(rb.groupBy("band_key").agg(F.min("_rep").alias("_rep")), "bands")
-    matched = nb.join(smallest, "band_key").groupBy(id_col).agg(F.min("_rep").alias(rep_col))
-    rest = new.join(matched.select(id_col), id_col, "left_anti")
-    fresh = cluster_sequences(rest.select(id_col, text_col), id_col, text_col, **lsh)
-    return existing.select(id_col, rep_col).unionByName(matched).unionByName(fresh)
+    ``existing``: (id, text, representative). A new text linked to an existing representative
+    joins that cluster (smallest such representative); the rest are clustered among
+    themselves (R6). Existing assignments never change. One batch through a new index; to keep the index
+    for further batches, use ``ClusterIndex`` itself."""
+    from ortholake.operators.cluster_index import ClusterIndex
+
+    index = ClusterIndex(existing.sparkSession, scratch_path(existing.sparkSession, "cluster-index"), n, percent, unit)
+    index.start(existing.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(rep_col).alias("representative")))
+    index.add(new.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), "batch")
+    return index.members().select(F.col("id").alias(id_col), F.col("representative").alias(rep_col))
 
 
 # R8 -------------------------------------------------------------------------
@@ -236,6 +211,6 @@ def concat_batches(batches: list[DataFrame]) -> DataFrame:
 __all__ = [
     "content_ids", "shingles", "contaminant_pairs", "contaminant_screen", "contaminant_stats", "screen_report",
     "depth_normalize", "read_filter_flags", "read_filter_report", "top_k_per_group", "homology_search",
-    "minhash_bands", "band_star_edges", "connected_components", "cluster_sequences", "cluster_incremental",
+    "cluster_sequences", "cluster_incremental",
     "concat_batches",
 ]

@@ -189,15 +189,17 @@ def secondary_metabolite_rank(cat: Catalog) -> DataFrame:
 
 
 # N18 -----------------------------------------------------------------------
-def cog_organism_proportions(cat: Catalog, wide: bool = False) -> DataFrame:
+def cog_organism_proportions(cat: Catalog, wide: list[str] | None = None) -> DataFrame:
+    """Share of each organism in a category. With ``wide``, the organisms as columns (0 where an
+    organism has none); the list is the caller's, so planning starts no job."""
     c = cog_letters_by_organism(cat).select(
         F.coalesce(F.col("cog_description"), F.lit("UNKNOWN CATEGORY")).alias("cog_description"), "organism", "count"
     )
     g = c.groupBy("cog_description", "organism").agg(F.sum("count").alias("count"))
     g = g.withColumn("total_count", F.sum("count").over(Window.partitionBy("cog_description")))
     g = g.withColumn("proportion", F.col("count") / F.col("total_count"))
-    if wide:
-        return g.groupBy("cog_description").pivot("organism").agg(F.first("proportion")).na.fill(0.0)
+    if wide is not None:
+        return g.groupBy("cog_description").pivot("organism", wide).agg(F.max("proportion")).na.fill(0.0, subset=wide)
     return g.orderBy(F.col("total_count").desc(), "cog_description", "organism")
 
 
@@ -270,9 +272,10 @@ def go_counts_by_organism(cat: Catalog, sample_ids=None, go_terms=None) -> DataF
     if go_terms is not None:
         g = id_filter(g, "go_term", go_terms)
     j = g.join(s, "seqhash_id").join(cat.sra_metadata.select("sample_id", "organism"), "sample_id")
-    # One row per sequence first: a single distinct count is left, which needs no Expand.
-    rep = F.max(F.when(F.col("is_representative"), F.col("repseq_id")))
-    per_seq = j.groupBy("go_term", "organism", "seqhash_id").agg(F.count(F.lit(1)).alias("n"), rep.alias("rep"))
+    # One row per sequence first (its representative is the same in all its rows, so it may be a key,
+    # and the aggregate needs no sort): a single distinct count is left, which needs no Expand.
+    j = j.withColumn("rep", F.when(F.col("is_representative"), F.col("repseq_id")))
+    per_seq = j.groupBy("go_term", "organism", "seqhash_id", "rep").agg(F.count(F.lit(1)).alias("n"))
     return (
         per_seq.groupBy("go_term", "organism").agg(
             F.sum("n").alias("term_count"),

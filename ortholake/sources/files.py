@@ -50,25 +50,39 @@ def sample_from_path(suffix_regex: str = r"\..*$") -> Column:
 
 
 # S1 -------------------------------------------------------------------------
-def scan_fasta(spark: SparkSession, path: str) -> DataFrame:
+def scan_fasta(spark: SparkSession, path: str, numbered: bool = False) -> DataFrame:
     """FASTA records: (sample_id, file_path, id, description, sequence, length).
 
     Records start with '>' at the start of a line (a '>' inside a header belongs to it), so
     multi-line sequences stay whole. Further '>' in front of a header are dropped, and records
-    with an empty header are left out."""
-    raw = spark.read.option("lineSep", FASTA_SEPARATOR).text(path).select("value", F.col("_metadata.file_path").alias("file_path"))
-    return fasta_records(raw)
+    with an empty header are left out. With ``numbered``, ``record_no`` orders the records of a file."""
+    raw = spark.read.option("lineSep", FASTA_SEPARATOR).text(path).select("value", *fasta_meta())
+    return fasta_records(numbered_records(raw) if numbered else raw)
 
 
 #: What stands between two records; the first one of a file keeps its '>'.
 FASTA_SEPARATOR = "\n>"
 
 
+def fasta_meta() -> list[Column]:
+    return [F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_block_start").alias("block_start")]
+
+
+def numbered_records(raw: DataFrame) -> DataFrame:
+    """Add ``record_no``, ascending in the order of a file's records, also where it is read in several
+    splits: the start of the split plus the row's place in its partition. A record takes
+    two bytes at least, so the numbers of a split stay below the start of the next one; a split that is not
+    its file's last is a full one and opens a partition of its own."""
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    return raw.withColumn("record_no", F.col("block_start") + place)
+
+
 def fasta_records(raw: DataFrame) -> DataFrame:
     """Parse (value, file_path) chunks between record starts; shared by batch and stream."""
     own = F.regexp_replace("value", r"^>+", "")
+    number = [c for c in ("record_no",) if c in raw.columns]
     rec = raw.select(
-        "file_path",
+        "file_path", *number,
         F.regexp_extract(own, r"^([^\n]*)", 1).alias("header"),
         F.regexp_replace(F.regexp_extract(own, r"^[^\n]*\n([\s\S]*)$", 1), r"[\s]", "").alias("sequence"),
     )
@@ -79,7 +93,7 @@ def fasta_records(raw: DataFrame) -> DataFrame:
         F.split_part(hdr, F.lit(" "), F.lit(1)).alias("id"),
         F.trim(F.regexp_replace(hdr, r"^\S+\s*", "")).alias("description"),
         F.col("sequence"),
-        F.length("sequence").cast("int").alias("length"),
+        F.length("sequence").cast("int").alias("length"), *number,
     )
 
 
@@ -171,10 +185,14 @@ def scan_read_qc(spark: SparkSession, path: str) -> DataFrame:
 
 # S9 -------------------------------------------------------------------------
 def scan_contaminant_stats(spark: SparkSession, path: str) -> DataFrame:
-    """Screening stats text: the '<matched>/<total>' token of each file -> (sample_id, matched, total)."""
-    lines = spark.read.text(path).select("value", sample_from_path().alias("sample_id"))
+    """Screening stats text: the first '<matched>/<total>' token of each file -> (sample_id, matched,
+    total). The sample is named by the file, or by the last folder that is named after a column
+    (``<column>=<sample>``)."""
+    folder = F.regexp_extract(F.col("_metadata.file_path"), r"=([^/=]+)/[^/]*$", 1)
+    lines = numbered_records(spark.read.text(path).select(
+        "value", F.coalesce(F.nullif(folder, F.lit("")), sample_from_path()).alias("sample_id"), F.col("_metadata.file_block_start").alias("block_start")))
     tok = F.regexp_extract("value", r"(\d+)/(\d+)", 0)
-    return lines.filter(F.length(tok) > 0).groupBy("sample_id").agg(F.first(tok).alias("tok")).select(
+    return lines.filter(F.length(tok) > 0).groupBy("sample_id").agg(F.min_by(tok, "record_no").alias("tok")).select(
         "sample_id",
         F.split(F.col("tok"), "/")[0].cast("long").alias("matched"),
         F.split(F.col("tok"), "/")[1].cast("long").alias("total"),

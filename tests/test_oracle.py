@@ -27,7 +27,7 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_oracle_or_is_iterative():
-    assert set(QUERIES) - set(ORACLE) == {"cluster_sequences", "cluster_incremental", "table_preview"}
+    assert set(QUERIES) - set(ORACLE) == {"table_preview"}
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))

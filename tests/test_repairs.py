@@ -96,6 +96,30 @@ def test_adhoc_statements_are_refused_without_effect(spark, scratch):
     assert not adhoc.guarded_sql(cat, "SELECT count(*) AS n FROM sequences").first()["truncated"]
 
 
+def test_adhoc_statements_see_the_catalogue_only(spark, scratch):
+    """What counts is the plan: comments, quoting and names of common table expressions hide nothing."""
+    cat = fixture.build(spark, SF)
+    spark.range(3).createOrReplaceTempView("secret")
+    spark.range(4).createOrReplaceGlobalTempView("shared_secret")
+    spark.range(5).write.parquet(f"{scratch}/p")
+    for sql in ("select * from secret /* secret as ( */", "select 'secret as (' as x, id from secret", "with t as (select 1 as secret) select * from secret, t",
+                "select * from `secret`", "select * from global_temp.shared_secret", f"select * from parquet.`{scratch}/p`",
+                f"with sequences as (select * from parquet.`{scratch}/p`) select * from sequences",
+                f"select (select max(id) from parquet.`{scratch}/p`) as x from sequences", "select try_reflect('java.lang.Math', 'abs', -1) as x",
+                "select * from sequences where exists (select 1 from secret)", "select * from nowhere", "describe sequences", "explain select 1"):
+        with pytest.raises(adhoc.RefusedQuery):
+            adhoc.guarded_sql(cat, sql)
+    n = cat.sequences.count()
+    for sql, rows in (("select count(*) as n from `Sequences`", [n]), ("with secret as (select count(*) as n from sequences) select n from secret", [n]),
+                      ("select /* from secret */ id from range(3) order by id desc", [2, 1, 0]), ("select col1 from values (7), (8) order by 1", [7, 8]),
+                      ("select count(*) as n from sequences s where exists (select 1 from sequences t where t.seqhash_id = s.seqhash_id)", [n]),
+                      ("with recursive r as (select 1 as i union all select i + 1 from r where i < 3) select i from r order by i", [1, 2, 3])):
+        assert [r[0] for r in adhoc.guarded_sql(cat, sql).collect()] == rows
+    assert spark.table("secret").count() == 3
+    rows = adhoc.guarded_sql(cat, "select uuid() as x, id from range(20) order by id", max_rows=6).collect()
+    assert [r["id"] for r in rows] == list(range(6)) and all(r["truncated"] for r in rows)
+
+
 def test_median_with_an_outlier(spark):
     """One huge value does not put all others into one bucket, and the median stays exact."""
     from ortholake.plans.common import exact_median

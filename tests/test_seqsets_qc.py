@@ -32,7 +32,7 @@ def test_connected_components_matches_union_find(spark):
     edges = [(rnd.randrange(300), rnd.randrange(300)) for _ in range(220)] + [(i, i + 1) for i in range(100, 160)]
     nd = spark.createDataFrame([(n,) for n in nodes], "id long")
     ed = spark.createDataFrame(edges, "src long, dst long")
-    got = {r["id"]: r["component"] for r in ss.connected_components(nd, ed).collect()}
+    got = {r["id"]: r["component"] for r in connected_components(nd, ed).collect()}
     assert got == _uf_components(nodes, edges)
 
 
