@@ -12,7 +12,8 @@ written as response and the others as revisits of it; shorter payloads are all r
 
 Defined results: a null payload is the empty payload; a null URL gives a record without
 target URI; where all rows of a payload have a null id, all are responses, and a null id
-beside others is a revisit. Rows are never merged: repeated rows give repeated records.
+beside others is a revisit. Rows are never merged: repeated rows give repeated records, all of
+them responses where they share both payload and largest id.
 Files are reached through ``pyarrow.fs`` by the URI of the shared folder.
 """
 
@@ -43,6 +44,7 @@ REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
 def filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
+    uri = re.sub("^s3[an]://", "s3://", uri)         # Hadoop's names of that store
     return pafs.FileSystem.from_uri(uri if re.match(r"[a-z0-9+.-]+:", uri) else f"file://{uri}")
 
 
