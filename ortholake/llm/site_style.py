@@ -2,8 +2,12 @@
 
 Each page is parsed once into blocks (text between block-level tags, in page order). What
 HTML itself marks as no article text is left out at once: scripts, styles, forms, menus,
-headers, footers, asides, and branches whose class, id or role names an advert, a notice, a
-sidebar, reader comments and the like. If a page has an ``article`` or ``main`` element, only
+headers, footers, asides, and branches of which a class, id or role names an advert, a notice, a
+sidebar, reader comments and the like: a whole name (``NAMES``), or one made of such words and of
+words that say nothing by themselves (``BESIDE``), as in "cookie-banner" or "site-footer"; "has-sidebar"
+or "comments-open" name no such branch. An outermost ``article`` or ``main`` is never ruled out by its name,
+and the header of an article keeps its headings. Where names would leave nothing of a page, they
+are not heeded. If a page has an ``article`` or ``main`` element, only
 blocks inside it remain. What is still undecided are the blocks in generic branches (``div``,
 ``section``, lists, tables ...) below the article or, without one, below the body.
 
@@ -50,7 +54,8 @@ PRESENTATION_WEIGHT = 0.3
 # HTML elements by their role here.
 RAW = frozenset("script style textarea title noscript iframe template svg math object canvas audio video select option datalist".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-NEVER = frozenset("head nav header footer aside form button fieldset dialog menu label".split())
+NEVER = frozenset("head nav header footer aside form button fieldset dialog menu".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 ROOTS = frozenset("article main".split())
 BLOCK = frozenset(
     "html body address article aside blockquote center dd details dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6"
@@ -66,6 +71,11 @@ NAMES = frozenset(
     " overlay newsletter subscribe subscription signup login social share sharing related recommended comment comments disqus respond replies"
     " widget widgets toolbar pagination pager".split())
 
+#: Words that may stand beside them in a compound name.
+BESIDE = frozenset(
+    "site page post posts user reader list box area wrap wrapper container section block bar inner outer top bottom left right links buttons item items"
+    " global primary secondary".split())
+
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
 ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role|hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 WORDS = re.compile(r"[a-z]+")
@@ -80,22 +90,33 @@ def marks(attributes: str) -> tuple[str, bool]:
         hidden |= key == "hidden"
         if key != "hidden":
             names.append(value.lower())
-    label = ".".join(" ".join(names).split())
-    return label, hidden or any(w in NAMES for w in WORDS.findall(label))
+    tokens = " ".join(names).split()
+    return ".".join(tokens), hidden or any(no_text(t) for t in tokens)
+
+
+def no_text(name: str) -> bool:
+    """Whether a class, id or role names a branch without article text."""
+    words = WORDS.findall(name)
+    return name in NAMES or (any(w in NAMES for w in words) and all(w in NAMES or w in BESIDE for w in words))
 
 
 def parse(html: str) -> list[tuple[str, str, str, bool]]:
+    """``find_blocks`` by names, and without them where they would leave nothing."""
+    return find_blocks(html, True) or find_blocks(html, False)
+
+
+def find_blocks(html: str, by_name: bool) -> list[tuple[str, str, str, bool]]:
     """(text, branch, style, free) of the blocks that tags alone do not rule out. branch: path of
     the innermost generic element that holds the block, '' if it stands in the article itself;
     style: the tags from there down to the block; free: no article or main element decided."""
     blocks: list[tuple[str, str, str, bool]] = []
-    # tag, path, out, inside a root, branch, style, number of children by tag, class and id
-    stack: list[tuple[str, str, bool, bool, str, str, dict[str, int]]] = []
+    # tag, path, out (0 no, 1 but for headings, 2 wholly), inside a root, branch, style, number of children by tag, class and id
+    stack: list[tuple[str, str, int, bool, str, str, dict[str, int]]] = []
     top: dict[str, int] = {}
     parts: list[str] = []
 
     def state():
-        return stack[-1] if stack else ("", "", False, False, "", "", top)
+        return stack[-1] if stack else ("", "", 0, False, "", "", top)
 
     def end_block():
         if parts:
@@ -161,7 +182,14 @@ def parse(html: str) -> list[tuple[str, str, str, bool]]:
         kind = tag + (f".{label}" if label else "")
         place = children[kind] = children.get(kind, 0) + 1
         node = f"{path}/{kind}" + (f"[{place}]" if place > 1 else "")
-        out = out or tag in NEVER or (named and tag not in ("html", "body"))
+        own_header = tag == "header" and inside
+        spared = tag in ("html", "body") or own_header or (tag in ROOTS and not inside)
+        if own_header:
+            out = out or 1
+        elif tag in NEVER or (named and by_name and not spared):
+            out = 2
+        elif tag in HEADINGS and out == 1:
+            out = 0
         if m[3].endswith("/") and tag not in BLOCK:
             continue
         if out and not state()[2]:

@@ -134,6 +134,69 @@ def test_main_text_of_articles(spark):
     assert site_style.main_text(df).count() == 6 and site_style.main_text(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize(("page", "text"), [
+    ('<article class="post comments-open"><p>Body</p></article>', "Body"), ('<div class="content has-sidebar"><p>Body</p></div>', "Body"),
+    ('<main id="search"><p>Body</p></main>', "Body"), ('<article><p>Body</p><div class="related-work"><p>More</p></div></article>', "Body\nMore"),
+    ("<article><header><h1>Title</h1><p>by A. Writer</p></header><p>Body</p></article>", "Title\nBody"), ("<article><label>Note</label> body</article>", "Note body"),
+    ('<div class="comments"><p>All there is</p></div>', "All there is"), ("<header><h1>Site</h1></header><article><p>Body</p></article>", "Body"),
+    ('<article><p>Body</p><div class="cookie-banner">c</div><div id="site-footer">f</div><section class="reader-comments"><article class="comment">hm</article></section>'
+     '<div class="ad">buy</div><div role="navigation">n</div><div class="related-posts">r</div></article>', "Body"),
+    (f'<article><p>{"long words " * 30_000}</p></article>', ("long words " * 30_000).strip()),
+])
+def test_names_rule_out_whole_names_only(page, text):
+    assert "\n".join(b[0] for b in site_style.parse(f"<html><body>{page}</body></html>")) == text
+
+
+def test_style_tree_equals_a_plain_version(spark, prose):
+    import math
+    from collections import Counter, defaultdict
+
+    rows = []
+    for h in range(4):
+        for i in range(9):
+            items = "".join(f"<div class='k{j % 3}'><p>{prose(j if j < 3 else 100 * h + i + j, 5)}</p>{'<ul><li>x</li></ul>' if (i + j) % 2 else ''}</div>" for j in range(1 + (i + h) % 6))
+            wrap = ("<article>{}</article>", "<body><div>Follow us</div>{}</body>")[h % 2]
+            rows.append((10 * h + i, f"http://h{h}.example/{i}", wrap.format(items)))
+        rows.append((1000 + h, f"http://h{h}.example/copy", rows[-1][2]))
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").withColumns({c: F.lit("x") for c in ("id", "host", "blocks", "low", "text")})
+    got = {r["host"]: set(r["low"]) for r in site_style.low_nodes(site_style.page_blocks(df)).collect()}
+    keys = {(r["host"], tuple(r["b"])): r["k"] for r in site_style.page_blocks(df).select("host", F.explode("blocks").alias("b")).select("host", "b", site_style.leaf(F.col("b")).alias("k")).collect()}
+    pages = defaultdict(set)
+    for _, url, html in rows:
+        pages[url.split("/")[2]].add(tuple(site_style.parse(html)))
+    for host, docs in pages.items():
+        m, want = len(docs), set()
+        styles, texts = defaultdict(list), defaultdict(list)
+        for d in docs:
+            of = defaultdict(list)
+            for text, branch, style, _ in d:
+                if branch:
+                    of[branch].append(style)
+                    texts[branch, text].append(d)
+            for b, st in of.items():
+                styles[b].append(tuple(st))
+        for b, st in styles.items():
+            if len(st) >= site_style.MIN_PAGES:
+                looks = -sum(c / len(st) * math.log(c / len(st), m) for c in Counter(st).values())
+                logs = [math.log(len(set(d))) for (x, _), d in texts.items() if x == b]
+                reads = 1 - sum(logs) / len(logs) / math.log(len(st))
+                if site_style.PRESENTATION_WEIGHT * looks + (1 - site_style.PRESENTATION_WEIGHT) * reads < site_style.LOW:
+                    want.add(b)
+        free = [{keys[host, b] for b in d} for d in docs if any(b[3] for b in d)]
+        for node, k in Counter(x for d in free for x in d).items():
+            if k >= site_style.MIN_PAGES and 2 * k > len(free) and (1 - site_style.PRESENTATION_WEIGHT) * (1 - math.log(k) / math.log(len(free))) < site_style.LOW:
+                want.add(node)
+        assert got.get(host, set()) == want, host
+    assert sum(map(len, got.values())) >= 4
+
+
+def test_archives_of_repeated_pages(spark, scratch):
+    rows = [(7, "u", "same"), (7, "u", "same"), (5, "v", "same"), (8, "w", None)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").withColumns({c: F.lit("x") for c in ("id", "payload", "file", "offset", "length", "_refers_to")})
+    out = sorted((r["id"], r["record_type"], r["refers_to"]) for r in warc.archive_and_read(df, f"{scratch}/w").collect())
+    assert out == [(5, "revisit", "7"), (7, "response", None), (7, "response", None), (8, "response", None)]
+
+
 def test_style_tree_removes_template_branches(spark, prose):
     rows = [(i, f"http://h.example/{i}", f"<article><h1>t{i}</h1><div class='x1'><p>Stay tuned for more</p></div><div class='x2'>{'<p>' * (i % 3)}{prose(i, 20)}</div><p>{prose(99, 5)}</p></article>") for i in range(12)]
     df = spark.createDataFrame(rows, "page_id long, url string, html string")
