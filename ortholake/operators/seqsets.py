@@ -30,6 +30,7 @@ from ortholake.session import materialise, scratch_path
 SCREEN_NGRAM = 5          # word n-gram of the contaminant screen
 SEARCH_NGRAM = 3          # word n-gram of the homology index
 TOP_K = 5                 # hits kept per query
+HOT_TARGETS = 10_000      # targets of an n-gram that is not matched by itself
 TOPK_SALT = 16            # salted groups of the two-stage top-k
 CLUSTER_PERCENT = 80      # identity of two linked sequences
 HASH_SPACE = 1000         # resolution of the deterministic sampling draw
@@ -141,20 +142,46 @@ def top_k_per_group(df: DataFrame, group: str, order: list[Column], k: int, salt
 # R5 -------------------------------------------------------------------------
 def homology_search(queries: DataFrame, targets: DataFrame, n: int = SEARCH_NGRAM, k: int = TOP_K,
                     query_id: str = "query", target_id: str = "target", text_col: str = "text",
-                    target_text: bool = True, unit: str = "word") -> DataFrame:
+                    target_text: bool = True, unit: str = "word", hot: int = HOT_TARGETS) -> DataFrame:
     """Ranked hits of each query against the targets by shared word n-grams.
 
     pident = 100 x shared / query n-grams (containment of the query), jaccard = shared / union.
-    Ranking: shared desc, then target id; top ``k`` per query, exact."""
+    Ranking: shared desc, then target id; top ``k`` per query, exact.
+
+    Rarest first: an n-gram in more than ``hot`` targets is counted only where it can matter. A target that
+    shares none of a query's other n-grams shares at most as many as the query has hot ones; so once a query's
+    k-th best without them is above that number, hot n-grams are looked up for its candidates only,
+    by target and n-gram. For the queries left they are matched in ``TOPK_SALT`` parts of the targets each."""
     q = queries.select(F.col(query_id).alias("query"), F.col(text_col).alias("text"))
     t = targets.select(F.col(target_id).alias("target"), F.col(text_col).alias("text"))
-    qs = shingles(q, "query", "text", n, unit=unit)
-    ts = shingles(t, "target", "text", n, unit=unit)
+    qs = materialise(shingles(q, "query", "text", n, unit=unit), "query-grams")
+    sets = units(t, "text", n, unit).select("target", F.array_distinct("_ngrams").alias("set"))
+    ts = sets.select("target", F.size("set").alias("t_n"), F.explode("set").alias("shingle"))
+    hits = materialise(ts.join(qs.select("shingle").distinct(), "shingle", "left_semi"), "target-grams")
+    common = hits.groupBy("shingle").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") > hot).select("shingle")
+    common = materialise(common, "hot-grams")
+    rare = qs.join(hits.join(common, "shingle", "left_anti"), "shingle").groupBy("query", "target").agg(
+        F.count(F.lit(1)).alias("r"), F.max("t_n").alias("t_n"))
+    rare = materialise(rare, "pairs")
+
+    q_hot = materialise(qs.join(common, "shingle", "left_semi"), "query-hot-grams")
+    t_hot = materialise(hits.join(common, "shingle", "left_semi"), "target-hot-grams")
+    most = q_hot.groupBy("query").agg(F.count(F.lit(1)).alias("h"))
+    best = top_k_per_group(rare, "query", [F.col("r").desc(), F.col("target")], k, salt_col="target").filter(F.col("rank") == k)
+    bound = most.join(best.select("query", F.col("r").alias("kth")), "query", "left")
+    bound = materialise(bound.withColumn("closed", F.coalesce(F.col("kth") > F.col("h"), F.lit(False))), "bounds")
+
+    # Candidates that may still be among the best k, by (target, n-gram): no n-gram is a key by itself.
+    able = rare.join(bound.filter("closed"), "query").filter(F.col("r") + F.col("h") >= F.col("kth")).select("query", "target")
+    looked = able.join(q_hot, "query").join(t_hot.select("target", "shingle"), ["target", "shingle"]).select("query", "target", F.lit(None).cast("int").alias("t_n"))
+    salt = F.pmod(F.xxhash64("target"), F.lit(TOPK_SALT))
+    open_ = q_hot.join(bound.filter("not closed"), "query", "left_semi").withColumn("_s", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(TOPK_SALT - 1).cast("long"))))
+    matched = open_.join(t_hot.withColumn("_s", salt), ["shingle", "_s"]).select("query", "target", "t_n")
+    extra = looked.unionByName(matched).groupBy("query", "target").agg(F.count(F.lit(1)).alias("r"), F.max("t_n").alias("t_n"))
+    pairs = rare.unionByName(extra).groupBy("query", "target").agg(F.sum("r").alias("shared_kmers"), F.max("t_n").alias("t_n"))
+
     qn = qs.groupBy("query").agg(F.count(F.lit(1)).alias("q_n"))
-    tn = ts.groupBy("target").agg(F.count(F.lit(1)).alias("t_n"))
-    ts_hit = ts.join(qs.select("shingle").distinct(), "shingle", "left_semi")
-    pairs = qs.join(ts_hit, "shingle").groupBy("query", "target").agg(F.count(F.lit(1)).alias("shared_kmers"))
-    scored = pairs.join(qn, "query").join(tn, "target").select(
+    scored = pairs.join(qn, "query").select(
         "query", "target", "shared_kmers",
         (F.lit(100.0) * F.col("shared_kmers") / F.col("q_n")).alias("pident"),
         (F.col("shared_kmers") / (F.col("q_n") + F.col("t_n") - F.col("shared_kmers"))).alias("jaccard"),

@@ -188,3 +188,22 @@ def test_reads_of_either_strand_are_screened(spark):
     assert got == {(1, 9): 40, (2, 9): 40} | {(100 + i, 10): 1 for i in range(50)}
     clean = ss.contaminant_screen(df, refs, n=31, unit="dna")
     assert sorted(x["doc_id"] for x in clean.collect()) == [3, 4, 5, 6, 7]
+
+
+@pytest.mark.parametrize("hot", [0, 3, 60, 10_000])
+def test_search_equals_a_plain_ranking(spark, hot):
+    """A gram in every target, queries of hot grams only, ties, targets that only hot grams reach."""
+    r = random.Random(6)
+    word = lambda: f"w{int(r.paretovariate(0.7)) % 60}"
+    targets = [(i, "same old words " + " ".join(word() for _ in range(r.randrange(0, 60)))) for i in range(150)]
+    queries = [(i, " ".join(word() for _ in range(r.randrange(1, 25)))) for i in range(20)] + [(50, "same old words"), (51, ""), (52, "no such thing here")]
+    queries += [(60 + i, "same old words " + targets[i][1][15:120]) for i in range(10)]
+    want, sets = [], {i: shingles(t, 2) for i, t in targets}
+    for q, text in queries:
+        own = shingles(text, 2)
+        found = sorted((-len(own & x), i) for i, x in sets.items() if own & x)[:5]
+        want += [(q, i, -c, n, 100.0 * -c / len(own), -c / len(own | sets[i])) for n, (c, i) in enumerate(found, 1)]
+    df = ss.homology_search(spark.createDataFrame(queries, "query long, text string"), spark.createDataFrame(targets, "target long, text string").repartition(4),
+                            n=2, hot=hot, target_text=False)
+    got = [(x["query"], x["target"], x["shared_kmers"], x["rank"], x["pident"], x["jaccard"]) for x in df.collect()]
+    assert sorted(got) == [tuple(pytest.approx(v) if isinstance(v, float) else v for v in w) for w in sorted(want)]
