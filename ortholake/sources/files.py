@@ -5,10 +5,12 @@ samples are one distributed read rather than a thousand driver-side loops.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ortholake.session import materialise
+
 # Column layout of the functional-annotation TSV (21 tab-separated columns,
 # '#' comment lines, no header) and of the quantification records.
 ANNOTATION_COLUMNS = [
@@ -104,16 +106,37 @@ def scan_annotations(spark: SparkSession, path: str) -> DataFrame:
 
 
 # S3 -------------------------------------------------------------------------
-def scan_expression(spark: SparkSession, path: str) -> DataFrame:
+def json_objects(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(value, sample): the text of every object of JSON arrays of flat objects, cut behind each '}', so
+    that a large file is read by several tasks.
+
+    A piece with an odd number of quotes has a brace inside a text. Files that have such pieces are put
+    together again in their order: a piece that begins inside a text belongs to the one before."""
+    raw = spark.read.option("lineSep", "}").text(path).select("value", *fasta_meta(), sample_from_path().alias("sample"))
+    quotes = F.regexp_replace(F.regexp_replace("value", r"\\.", ""), '[^"]', "")
+    pieces = numbered_records(raw).withColumn("odd", (F.length(quotes) % 2).cast("int"))
+    torn = materialise(pieces.filter("odd = 1").select("file_path").distinct(), "torn")
+    whole = pieces.join(torn, "file_path", "left_anti").select("value", "sample")
+    order = Window.partitionBy("file_path").orderBy("record_no")
+    inside = F.coalesce(F.sum("odd").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) % 2
+    parts = pieces.join(torn, "file_path", "left_semi").withColumn("inside", inside)
+    parts = parts.withColumn("no", F.sum((1 - F.col("inside")).cast("long")).over(order))
+    joined = parts.groupBy("file_path", "sample", "no").agg(F.array_sort(F.collect_list(F.struct("record_no", "value"))).alias("v"))
+    again = joined.select(F.array_join(F.transform("v", lambda x: x["value"]), "}").alias("value"), "sample")
+    own = F.regexp_extract("value", r"(\{[\s\S]*)$", 1)
+    return whole.unionByName(again).filter(F.col("value").contains("{")).select(F.concat(own, F.lit("}")).alias("value"), "sample")
+
+
+def scan_expression(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Quantification JSON arrays -> (gene_seqhash_id, length, effective_length, tpm, num_reads, sample_id)."""
-    df = spark.read.json(path, schema=QUANT_JSON_SCHEMA, multiLine=True)
+    df = json_objects(spark, path).select(F.from_json("value", QUANT_JSON_SCHEMA).alias("r"), F.col("sample").alias("own")).select("r.*", "own")
     return df.select(
         F.col("Name").alias("gene_seqhash_id"),
         F.col("Length").alias("length"),
         F.col("EffectiveLength").alias("effective_length"),
         F.col("TPM").alias("tpm"),
         F.col("NumReads").alias("num_reads"),
-        F.coalesce(F.col("sample"), sample_from_path()).alias("sample_id"),
+        F.coalesce(F.col("sample"), F.col("own")).alias("sample_id"),
     )
 
 
@@ -229,63 +252,49 @@ def scan_id_list(spark: SparkSession, path: str) -> DataFrame:
 
 
 # S13 ------------------------------------------------------------------------
-def scan_sample_metadata(spark: SparkSession, path: str, row_tag: str = "EXPERIMENT_PACKAGE") -> DataFrame:
-    """Run metadata records (already downloaded XML) -> sra_metadata rows.
+_ID = T.ArrayType(T.StructType([T.StructField("_namespace", T.StringType()), T.StructField("_VALUE", T.StringType())]))
+_IDS = T.StructType([T.StructField("EXTERNAL_ID", _ID)])
+_TEXTS = lambda *names: T.StructType([T.StructField(n, T.StringType()) for n in names])
+#: What is read of a run record; other elements are passed over.
+RUN_RECORD_SCHEMA = T.StructType([
+    T.StructField("EXPERIMENT", T.StructType([T.StructField("DESIGN", T.StructType([
+        T.StructField("LIBRARY_DESCRIPTOR", _TEXTS("LIBRARY_STRATEGY", "LIBRARY_SOURCE", "LIBRARY_SELECTION"))]))])),
+    T.StructField("STUDY", T.StructType([T.StructField("IDENTIFIERS", _IDS), T.StructField("DESCRIPTOR", _TEXTS("STUDY_TITLE", "STUDY_ABSTRACT"))])),
+    T.StructField("SAMPLE", T.StructType([T.StructField("IDENTIFIERS", _IDS), T.StructField("SAMPLE_NAME", _TEXTS("SCIENTIFIC_NAME"))])),
+    T.StructField("RUN_SET", T.StructType([T.StructField("RUN", T.ArrayType(_TEXTS("_accession", "_total_spots", "_total_bases", "_published")))])),
+])
 
-    Child-tag choices (library layout, instrument) are taken from the tag names present in
-    the inferred schema, turned into per-row ``when`` chains; no Python runs per row."""
-    df = spark.read.format("xml").option("rowTag", row_tag).load(path)
-    fields = {f.name: f for f in df.schema.fields}
 
-    def sub(struct: str, *names: str) -> T.DataType | None:
-        dt = fields.get(struct).dataType if struct in fields else None
-        for n in names:
-            if not isinstance(dt, T.StructType) or n not in dt.fieldNames():
-                return None
-            dt = dt[n].dataType
-        return dt
+def scan_sample_metadata(spark: SparkSession, path: str | list[str], row_tag: str = "EXPERIMENT_PACKAGE") -> DataFrame:
+    """Run metadata records (already downloaded XML) -> sra_metadata rows, in one pass: files are cut
+    behind each record's end tag, so a large file is read by several tasks, and a record is parsed
+    with a schema of its own (``RUN_RECORD_SCHEMA``), so nothing is inferred.
 
-    def col_or_null(expr: str, *chain: str) -> Column:
-        return F.col(expr) if sub(*chain) is not None else F.lit(None)
+    Library layout and instrument are the tag names of the first child of their element, whichever
+    they are; of several runs of a record, the first is taken."""
+    end = f"</{row_tag}>"
+    raw = spark.read.option("lineSep", end).text(path)
+    record = F.concat(F.regexp_extract("value", rf"(<{row_tag}(?:\s[^>]*)?>[\s\S]*)$", 1), F.lit(end))
+    rows = raw.filter(F.col("value").rlike(rf"<{row_tag}[\s>]")).select(record.alias("x"))
+    rows = rows.select("x", F.from_xml("x", RUN_RECORD_SCHEMA).alias("r"))
+    lib, run = "r.EXPERIMENT.DESIGN.LIBRARY_DESCRIPTOR.", F.get("r.RUN_SET.RUN", F.lit(0))
 
     def ext_id(struct: str, ns: str) -> Column:
-        dt = sub(struct, "IDENTIFIERS", "EXTERNAL_ID")
-        if dt is None:
-            return F.lit(None).cast("string")
-        c = F.col(f"{struct}.IDENTIFIERS.EXTERNAL_ID")
-        if isinstance(dt, T.ArrayType):
-            return F.filter(c, lambda x: x["_namespace"] == ns)[0]["_VALUE"].cast("string")
-        return F.when(c["_namespace"] == ns, c["_VALUE"]).cast("string")
-
-    def first_child(struct_path: tuple[str, ...]) -> Column:
-        dt = sub(*struct_path)
-        if not isinstance(dt, T.StructType):
-            return F.lit(None).cast("string")
-        base = ".".join(struct_path)
-        expr = None
-        for n in dt.fieldNames():
-            cond = F.col(f"{base}.`{n}`").isNotNull()
-            expr = F.when(cond, F.lit(n)) if expr is None else expr.when(cond, F.lit(n))
-        return expr.otherwise(F.lit(None)).cast("string") if expr is not None else F.lit(None).cast("string")
-
-    lib = ("EXPERIMENT", "DESIGN", "LIBRARY_DESCRIPTOR")
-    run = "RUN_SET.RUN"
-    run_dt = sub("RUN_SET", "RUN")
-    run_col = F.col(run)[0] if isinstance(run_dt, T.ArrayType) else F.col(run)
-    has_run = run_dt is not None
-    return df.select(
-        (run_col["_accession"] if has_run else F.lit(None)).cast("string").alias("sample_id"),
-        col_or_null("SAMPLE.SAMPLE_NAME.SCIENTIFIC_NAME", "SAMPLE", "SAMPLE_NAME", "SCIENTIFIC_NAME").cast("string").alias("organism"),
-        col_or_null("STUDY.DESCRIPTOR.STUDY_TITLE", "STUDY", "DESCRIPTOR", "STUDY_TITLE").cast("string").alias("study_title"),
-        col_or_null("STUDY.DESCRIPTOR.STUDY_ABSTRACT", "STUDY", "DESCRIPTOR", "STUDY_ABSTRACT").cast("string").alias("study_abstract"),
-        ext_id("STUDY", "BioProject").alias("bioproject"),
-        ext_id("SAMPLE", "BioSample").alias("biosample"),
-        col_or_null("EXPERIMENT.DESIGN.LIBRARY_DESCRIPTOR.LIBRARY_STRATEGY", *lib, "LIBRARY_STRATEGY").cast("string").alias("library_strategy"),
-        col_or_null("EXPERIMENT.DESIGN.LIBRARY_DESCRIPTOR.LIBRARY_SOURCE", *lib, "LIBRARY_SOURCE").cast("string").alias("library_source"),
-        col_or_null("EXPERIMENT.DESIGN.LIBRARY_DESCRIPTOR.LIBRARY_SELECTION", *lib, "LIBRARY_SELECTION").cast("string").alias("library_selection"),
-        first_child((*lib, "LIBRARY_LAYOUT")).alias("library_layout"),
-        first_child(("EXPERIMENT", "PLATFORM")).alias("instrument"),
-        (run_col["_total_spots"] if has_run else F.lit(None)).cast("int").alias("run_spots"),
-        (run_col["_total_bases"] if has_run else F.lit(None)).cast("bigint").alias("run_bases"),
-        F.try_to_timestamp((run_col["_published"] if has_run else F.lit(None)).cast("string")).cast("timestamp_ntz").alias("run_published"),
+        own = F.filter(f"r.{struct}.IDENTIFIERS.EXTERNAL_ID", lambda x: x["_namespace"] == ns)
+        return F.trim(F.get(own, F.lit(0))["_VALUE"])
+
+    def first_child(element: str) -> Column:
+        return F.nullif(F.regexp_extract("x", rf"<{element}(?:\s[^>]*)?>(?:\s|<!--[\s\S]*?-->)*<([A-Za-z_][\w.-]*)", 1), F.lit(""))
+
+    return rows.select(
+        run["_accession"].alias("sample_id"),
+        F.col("r.SAMPLE.SAMPLE_NAME.SCIENTIFIC_NAME").alias("organism"),
+        F.col("r.STUDY.DESCRIPTOR.STUDY_TITLE").alias("study_title"),
+        F.col("r.STUDY.DESCRIPTOR.STUDY_ABSTRACT").alias("study_abstract"),
+        ext_id("STUDY", "BioProject").alias("bioproject"), ext_id("SAMPLE", "BioSample").alias("biosample"),
+        F.col(lib + "LIBRARY_STRATEGY").alias("library_strategy"), F.col(lib + "LIBRARY_SOURCE").alias("library_source"),
+        F.col(lib + "LIBRARY_SELECTION").alias("library_selection"),
+        first_child("LIBRARY_LAYOUT").alias("library_layout"), first_child("PLATFORM").alias("instrument"),
+        run["_total_spots"].cast("int").alias("run_spots"), run["_total_bases"].cast("bigint").alias("run_bases"),
+        F.try_to_timestamp(run["_published"]).cast("timestamp_ntz").alias("run_published"),
     )

@@ -66,3 +66,52 @@ def test_run_metadata_xml(spark, scratch):
     assert r["sample_id"] == "SRR14292007" and r["organism"] == "Cladonia macilenta"
     assert (r["bioproject"], r["biosample"], r["library_layout"], r["instrument"]) == ("PRJNA1", "SAMN1", "PAIRED", "ILLUMINA")
     assert (r["run_spots"], r["run_bases"]) == (1000, 150000)
+
+
+def test_run_metadata_is_read_in_one_pass(spark, scratch):
+    def record(i, more=""):
+        return f"""<EXPERIMENT_PACKAGE kind="x"><EXPERIMENT><DESIGN><LIBRARY_DESCRIPTOR><LIBRARY_STRATEGY>RNA-Seq</LIBRARY_STRATEGY><LIBRARY_LAYOUT>
+ <!-- two ends --> <PAIRED NOMINAL_LENGTH="0"/></LIBRARY_LAYOUT></LIBRARY_DESCRIPTOR></DESIGN><PLATFORM><OXFORD_NANOPORE/></PLATFORM></EXPERIMENT>{more}
+<STUDY><IDENTIFIERS><EXTERNAL_ID namespace="Other">no</EXTERNAL_ID><EXTERNAL_ID namespace="BioProject">PRJ{i}</EXTERNAL_ID></IDENTIFIERS></STUDY>
+<RUN_SET><RUN accession="SRR{i}" total_spots="{i}"/><RUN accession="SRX{i}"/></RUN_SET></EXPERIMENT_PACKAGE>"""
+
+    with open(f"{scratch}/all.xml", "w") as f:
+        f.write("<SET>" + "\n".join(record(i) for i in range(300)) + "</SET>")
+    with open(f"{scratch}/bare.xml", "w") as f:
+        f.write("<SET><EXPERIMENT_PACKAGE><STUDY/></EXPERIMENT_PACKAGE></SET>")
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    try:
+        df = sources.scan_sample_metadata(spark, f"{scratch}/*.xml")
+        assert df.rdd.getNumPartitions() > 3
+        rows = df.collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    got = {r["sample_id"]: r for r in rows}
+    assert len(rows) == 301 and set(got) == {None} | {f"SRR{i}" for i in range(300)}
+    r = got["SRR7"]
+    assert (r["bioproject"], r["biosample"], r["library_layout"], r["instrument"], r["run_spots"], r["organism"]) == ("PRJ7", None, "PAIRED", "OXFORD_NANOPORE", 7, None)
+    assert all(v is None for v in got[None])
+
+
+def test_json_arrays_are_read_in_several_tasks(spark, scratch):
+    import json
+
+    names = ['g"q"', "g{1}", "}", "a\\\\", 'x\\"}{', "plain", "tab\t", "é漢"]
+    os.makedirs(f"{scratch}/q")
+    for k, (label, use) in enumerate((("S1", ["plain", "é"]), ("S2", names), ("S3", []), ("S4", ["one"]))):
+        rows = [{"Name": f"{use[i % len(use)]}{i}", "Length": i, "EffectiveLength": i / 2, "TPM": 1.5, "NumReads": None} | ({"sample": "own"} if k == 3 else {}) for i in range(600 if use else 0)]
+        with open(f"{scratch}/q/{label}.quant.json", "w") as f:
+            json.dump(rows, f, indent=k if k % 2 else None, ensure_ascii=bool(k % 2))
+    whole = spark.read.json(f"{scratch}/q/*.json", schema=sources.QUANT_JSON_SCHEMA, multiLine=True)
+    want = sorted((r["Name"], r["Length"], r["EffectiveLength"], r["TPM"], r["NumReads"]) for r in whole.collect())
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    try:
+        df = sources.scan_expression(spark, f"{scratch}/q/*.json")
+        assert df.rdd.getNumPartitions() > 8
+        rows = df.collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    assert sorted((r["gene_seqhash_id"], r["length"], r["effective_length"], r["tpm"], r["num_reads"]) for r in rows) == want and len(want) == 1800
+    assert {r["sample_id"] for r in rows} == {"S1", "S2", "own"}
