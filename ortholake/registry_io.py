@@ -19,6 +19,7 @@ from ortholake.operators import qc
 from ortholake.operators import seqsets as ss
 from ortholake.plans import analytics as an
 from ortholake.session import scratch_path
+from ortholake.sinks import bucketed
 from ortholake.sinks import writers as wr
 from ortholake.sinks.manifest import Change, VersionedTables, key_ranges
 from ortholake.sources import files as src
@@ -156,6 +157,17 @@ def versioned_tables(spark, d) -> DataFrame:
                                                 F.count(F.when(F.col("is_representative") & (F.year("assembly_date") != 2000), 1)).alias("not_dated"))
 
 
+def bucketed_tables(spark, d) -> DataFrame:
+    """K1 by buckets: sequences with annotation, cluster and pathways over a bucketed table set."""
+    root = scratch_path(spark, "bucketed")
+    bucketed.write_bucketed(_cat(spark, d), root, 8)
+    c = bucketed.open_bucketed(spark, root)
+    a = c.annotations.select("seqhash_id", "preferred_name")
+    k = c.kegg_info.select("seqhash_id", "kegg_pathway")
+    s = c.sequences.select("seqhash_id", "length")
+    return s.join(a, "seqhash_id", "left").join(c.cluster_members, "seqhash_id", "left").join(k, "seqhash_id", "left")
+
+
 def write_qc_stats(spark, d) -> DataFrame:
     path = scratch_path(spark, "qc")
     wr.write_qc_stats(qc.assembly_totals(qc.transcripts(_cat(spark, d))), path)
@@ -317,6 +329,8 @@ FROM (SELECT seqhash_id, split_part(seqhash_id, '.p', 1) AS gene FROM sequences)
     "export_id_list": fixture.oracle("SELECT sample_id FROM sra_metadata"),
     "write_table_set": fixture.oracle("SELECT * FROM sequences"),
     "versioned_tables": fixture.oracle("SELECT is_representative, count(*) AS n, CAST(sum(length) AS BIGINT) AS length, CAST(0 AS BIGINT) AS not_dated FROM sequences GROUP BY 1"),
+    "bucketed_tables": fixture.oracle("""SELECT seqhash_id, length, preferred_name, cluster_id, kegg_pathway FROM sequences LEFT JOIN annotations USING (seqhash_id)
+LEFT JOIN cluster_members USING (seqhash_id) LEFT JOIN kegg_info USING (seqhash_id)"""),
     "write_qc_stats": fixture.oracle("SELECT sample_id, count(*) AS n_transcripts, CAST(sum(length) AS BIGINT) AS total_length FROM sequences GROUP BY sample_id"),
     "write_cog_counts": fixture.oracle("""SELECT cog_category, count(*) AS category_count FROM annotations
 WHERE EXISTS (SELECT 1 FROM sequences s WHERE s.seqhash_id = annotations.seqhash_id AND s.is_representative) GROUP BY cog_category"""),
@@ -360,7 +374,7 @@ QUERIES = {
     "scan_fasta": scan_fasta, "scan_annotations": scan_annotations, "scan_expression": scan_expression, "scan_cluster_tsv": scan_cluster_tsv,
     "scan_quant_sf": scan_quant_sf, "write_quant": write_quant_formatted, "scan_bed": _bed, "attach_cds_coordinates": attach_cds_coordinates,
     "scan_gff_genes": scan_gff_genes, "scan_ontology": scan_ontology, "scan_run_list": scan_run_list, "export_id_list": export_id_list,
-    "write_table_set": write_table_set, "versioned_tables": versioned_tables, "write_qc_stats": write_qc_stats, "write_cog_counts": write_cog_counts,
+    "write_table_set": write_table_set, "versioned_tables": versioned_tables, "bucketed_tables": bucketed_tables, "write_qc_stats": write_qc_stats, "write_cog_counts": write_cog_counts,
     "build_catalog": build_catalog, "update_catalog": update_catalog, "update_report": update_report, "upsert_sample_metadata": upsert_sample_metadata,
     "backfill_expression": backfill_expression, "backfill_gene_map": backfill_gene_map, "expression_gene_map": expression_gene_map,
     "load_transcript_model": load_transcript_model, "detect_schema_version": detect_schema_version, "apply_migration_gene_map": apply_migration_gene_map,
