@@ -168,6 +168,58 @@ def test_license_near_misses():
         assert re.fullmatch("[a-z0-9.,:/_+-]+", r.keyword), r
 
 
+@pytest.mark.parametrize(("text", "labels"), [
+    ("SPDX-License-Identifier: (MIT OR Apache-2.0)", "apache-2.0,mit"), ("SPDX-License-Identifier: MIT AND (ISC OR Zlib)", "isc,mit,zlib"),
+    ("SPDX-License-Identifier:\tGPL-2.0-only WITH Classpath-exception-2.0", "gpl-2.0"), ("Dual licence, Apache-2.0 OR MIT", "apache-2.0,mit"),
+    ("EUPL v1.2", "eupl-1.2"), ("Microsoft Public License", "ms-pl"), ("it is in the public domain", "public-domain"),
+    ("it is not in the public domain", ""), ("never into the\npublic domain", ""), ("commit or permit, zlib and isc", ""), ("", ""),
+    ("// Licensed under the Apache Licence.\n// Unless required by applicable law or agreed to in writing, software\n// distributed under the License is distributed on an “AS IS” BASIS", "apache-2.0"),
+    ("under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License", "agpl-3.0"),
+    ("Neither the name of Google Inc. nor the names of its\n * contributors may be used to endorse or promote products derived from this software", "bsd-3-clause"),
+    ("Altered source versions must be plainly marked as such", "zlib"), ("the Software shall be used for Good, not Evil", "json"),
+    ("Unauthorized copying of this file, via any medium is strictly prohibited", "proprietary"),
+])
+def test_license_expressions_notices_and_negation(text, labels):
+    assert license_rules.Scanner().scan(text)[5] == labels
+
+
+def plain_detections(scanner, low):
+    """Every rule without the keyword gate; one detection after another against all accepted ones."""
+    found = [d for i in range(len(scanner.rules)) for d in scanner.matches(i, low)]
+    kept = []
+    for d in sorted(found, key=lambda d: (-d[2].priority, d[0] - d[1], d[0], d[2].label, d[2].phrasing)):
+        if all(d[1] <= k[0] or k[1] <= d[0] for k in kept):
+            kept.append(d)
+    return sorted(kept, key=lambda d: d[0])
+
+
+def test_license_rules_equal_a_plain_version_without_gate(spark, odd_docs):
+    """Texts out of the rules' own words, and the given documents: detections, labels and score."""
+    s, r = license_rules.Scanner(), random.Random(4)
+    words = sorted({w for rule, _ in s.rules for w in re.findall("[a-z0-9.-]{2,}", rule.keyword)}) + ["or", "and", "under the", "license", "license:", "gnu", "public",
+             "cc", "by", "mit", "4.0", "apache", "version", "2.0", "\n", "spdx-license-identifier:", "general", "subject to", "(mit or", "https://", "é"]
+    ids = [i for v in license_rules.LICENSES.values() for i in v[1]]
+    names = [n.replace("(?:version |v)?", "v") for v in license_rules.LICENSES.values() for n in v[0] if "\\" not in n]
+    texts = [" ".join(r.choice(r.choice([words, ids, names, words])) for _ in range(r.randrange(1, 40))) for _ in range(120)]
+    texts += [x["text"] or "" for x in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").collect()][:80]
+    hits = 0
+    for text in texts:
+        low = text.encode().lower()
+        want = plain_detections(s, low)
+        assert s.detections(low) == want
+        spans = [m.span() for p, *_ in s.base for m in p.finditer(low)]
+        miss = 1.0
+        for lo, hi, rule in want:
+            miss *= 1 - max([rule.confidence] + [0.9 for a, b in spans if lo <= a and b <= hi])
+        for a, b in spans:
+            miss *= 1 if any(lo <= a and b <= hi for lo, hi, _ in want) else 0.1
+        got = s.scan(text)
+        assert got[5] == ",".join(sorted({x.label for *_, x in want} | {label for p, *_, label in s.base if p.search(low)}))
+        assert abs(got[6] - (1 - miss)) < 1e-5
+        hits += len(want)
+    assert hits > 100
+
+
 # 6 ------------------------------------------------------------------------------------
 def plain_measures(text):
     text = text or ""
