@@ -79,12 +79,16 @@ class SampleConflict(RuntimeError):
     pass
 
 
+def conflicting_samples(master: Catalog, incoming: Catalog) -> DataFrame:
+    """Samples of ``incoming`` that the master already holds: what makes :func:`merge_strict` refuse."""
+    return incoming.sra_metadata.select("sample_id").join(master.sra_metadata.select("sample_id"), "sample_id", "left_semi").distinct()
+
+
 def merge_strict(master: Catalog, incoming: Catalog, check: bool = True) -> Catalog:
     """M5: refuse when any incoming sample is already in the master; else append the tables,
     gene-map rows only for genes not yet mapped and expression pairs not yet present."""
     if check:
-        clash = incoming.sra_metadata.select("sample_id").join(master.sra_metadata.select("sample_id"), "sample_id", "left_semi")
-        if clash.limit(1).count() > 0:
+        if not conflicting_samples(master, incoming).isEmpty():
             raise SampleConflict("incoming samples already present in the master catalogue")
     out = {}
     for name in ("sra_metadata", "sequences", "annotations", "go_terms", "ec_numbers", "kegg_info"):
@@ -183,6 +187,12 @@ def assign_representatives(sequences: DataFrame, assign: DataFrame) -> DataFrame
     return upd.select(*sequences.columns)
 
 
+def duplicate_clusters(cat: Catalog, edges: DataFrame) -> DataFrame:
+    """Clusters of the edge list that the catalogue already holds: what makes mode ``error`` refuse."""
+    new = valid_edges(edges, cat.sequences).select(F.col("representative").alias("cluster_id"))
+    return cat.clusters.select("cluster_id").join(new, "cluster_id", "left_semi").distinct()
+
+
 def update_clusters(cat: Catalog, edges: DataFrame, mode: str = "replace") -> ClusterUpdate:
     """Apply a (representative, member) edge list.
 
@@ -204,10 +214,8 @@ def update_clusters(cat: Catalog, edges: DataFrame, mode: str = "replace") -> Cl
         clusters, members = new_clusters, new_members
     else:
         old_c = cat.clusters
-        if mode == "error":
-            clash = new_clusters.join(old_c.select("cluster_id"), "cluster_id", "left_semi")
-            if clash.limit(1).count() > 0:
-                raise DuplicateClusters("edge list contains clusters already present")
+        if mode == "error" and not duplicate_clusters(cat, edges).isEmpty():
+            raise DuplicateClusters("edge list contains clusters already present")
         clusters = old_c.unionByName(new_clusters.join(old_c.select("cluster_id"), "cluster_id", "left_anti"))
         old_m = cat.cluster_members
         members = old_m.unionByName(new_members.join(old_m, ["seqhash_id", "cluster_id"], "left_anti"))
