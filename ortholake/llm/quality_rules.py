@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ortholake.llm.common import fresh, materialise, table, text_or_empty
+from ortholake.llm.common import materialise, table, text_or_empty
 
 # Fixed parameters (defaults).
 WINDOW = 8
@@ -146,17 +146,17 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host:
 
 
 def keep_documents(docs: DataFrame, host: Column | None = None, host_limit: float = HOST_LIMIT) -> DataFrame:
-    """The rows of ``docs`` that are kept, with their columns. The verdicts of the hosts are
-    joined back to the rows, whose own measures are taken anew."""
+    """The rows of ``docs`` that are kept, with their columns. Every text is measured once: the
+    rows are written with their flags, the hosts are judged from the flags alone, and their verdicts
+    are joined back to the written rows."""
     own = list(docs.columns)
-    h, f = fresh("_hostkey", own), fresh("_distrusted", own)
-    d = docs.withColumn(h, F.coalesce((host if host is not None else F.col("source")).cast("string"), F.lit("")))
-    m = measure(d, "text", [h]).withColumn("soft_failed", soft_failed())
-    bad = host_verdicts(m, h, host_limit).filter("distrusted").select(F.col(h).alias(f))
-    row = measure(d.select(F.struct("*").alias("_row"), F.col("text")), "text", ["_row"]).withColumn("soft_failed", soft_failed())
-    row = row.filter(~F.col("base_failed") & ~soft_failed(SEVERE))
-    out = row.join(materialise(bad, "distrusted"), F.col("_row")[h] == F.col(f), "left")
-    return out.filter(F.col(f).isNull() | ~F.col("soft_failed")).select(*[F.col("_row")[c].alias(c) for c in own])
+    key = F.coalesce((host if host is not None else F.col("source")).cast("string"), F.lit(""))
+    rows = docs.select(F.struct("*").alias("_row"), key.alias("_host"), F.col("text"))
+    m = measure(rows, "text", ["_row", "_host"]).withColumn("soft_failed", soft_failed())
+    m = materialise(m.select("_row", "_host", "base_failed", "soft_failed", soft_failed(SEVERE).alias("_severe")), "flagged")
+    bad = materialise(host_verdicts(m, "_host", host_limit).filter("distrusted").select(F.col("_host").alias("_bad")), "distrusted")
+    out = m.filter("not base_failed and not _severe").join(bad, F.col("_host") == F.col("_bad"), "left")
+    return out.filter("_bad is null or not soft_failed").select(*[F.col("_row")[c].alias(c) for c in own])
 
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
