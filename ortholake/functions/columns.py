@@ -160,11 +160,15 @@ def with_ngrams(df: DataFrame, words_col: str, n: int, out: str = "_ngrams") ->
     return NGram(n=n, inputCol=words_col, outputCol=out).transform(df)
 
 
+def flat_text(seq_col: str) -> Column:
+    """A sequence with ASCII letters upper-cased and white space left out."""
+    return F.regexp_replace(F.translate(F.coalesce(F.col(seq_col), F.lit("")), ASCII_LOWER, ASCII_UPPER), r"\s", "")
+
+
 def with_kmers(df: DataFrame, seq_col: str, k: int, out: str = "_ngrams") -> DataFrame:
     """Add the length-k substrings of a sequence, ASCII letters upper-cased, white space left out (none when
     shorter than k): the n-grams of its characters, which come space-joined."""
     from pyspark.ml.feature import NGram
 
-    flat = F.regexp_replace(F.translate(F.coalesce(F.col(seq_col), F.lit("")), ASCII_LOWER, ASCII_UPPER), r"\s", "")
-    chars = df.withColumn("_chars", F.filter(F.split(flat, ""), lambda c: c != ""))
+    chars = df.withColumn("_chars", F.filter(F.split(flat_text(seq_col), ""), lambda c: c != ""))
     return NGram(n=k, inputCol="_chars", outputCol=out).transform(chars).drop("_chars")

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from ortholake.functions.columns import content_id
 from ortholake.operators.kmer_depth import depths
+from ortholake.operators.kmers import kmers_in, reference_kmers
 from ortholake.operators.similarity import shingle_sets, similar_components, with_shingles
 from ortholake.operators.strands import shared_kmers
 from ortholake.session import materialise, scratch_path
@@ -58,6 +59,10 @@ def contaminant_pairs(reads: DataFrame, refs: DataFrame, n: int = SCREEN_NGRAM,
     ``unit="dna"`` a k-mer of ``n`` letters on either strand (``operators.strands``)."""
     if unit == "dna":
         return shared_kmers(reads, refs, n, read_id, ref_id, text_col)
+    if unit == "char":
+        fs = materialise(reference_kmers(refs, ref_id, text_col, n), "reference-kmers")
+        hit = kmers_in(reads, read_id, text_col, n, fs).select(read_id, "shingle")
+        return hit.join(fs, "shingle").groupBy(read_id, ref_id).agg(F.count(F.lit(1)).alias("shared"))
     rs = shingles(reads, read_id, text_col, n, unit=unit)
     fs = shingles(refs.select(F.col(ref_id), F.col(text_col)), ref_id, text_col, n, unit=unit)
     keys = fs.select("shingle").distinct()
@@ -154,9 +159,13 @@ def homology_search(queries: DataFrame, targets: DataFrame, n: int = SEARCH_NGRA
     by target and n-gram. For the queries left they are matched in ``TOPK_SALT`` parts of the targets each."""
     q = queries.select(F.col(query_id).alias("query"), F.col(text_col).alias("text"))
     t = targets.select(F.col(target_id).alias("target"), F.col(text_col).alias("text"))
-    qs = materialise(shingles(q, "query", "text", n, unit=unit), "query-grams")
-    sets = units(t, "text", n, unit).select("target", F.array_distinct("_ngrams").alias("set"))
-    ts = sets.select("target", F.size("set").alias("t_n"), F.explode("set").alias("shingle"))
+    own = reference_kmers(q, "query", "text", n) if unit == "char" else shingles(q, "query", "text", n, unit=unit)
+    qs = materialise(own, "query-grams")
+    if unit == "char":
+        ts = kmers_in(t, "target", "text", n, qs)
+    else:
+        sets = units(t, "text", n, unit).select("target", F.array_distinct("_ngrams").alias("set"))
+        ts = sets.select("target", F.size("set").alias("t_n"), F.explode("set").alias("shingle"))
     hits = materialise(ts.join(qs.select("shingle").distinct(), "shingle", "left_semi"), "target-grams")
     common = hits.groupBy("shingle").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") > hot).select("shingle")
     common = materialise(common, "hot-grams")
