@@ -25,6 +25,7 @@ from ortholake.sinks.manifest import Change, VersionedTables, key_ranges
 from ortholake.sources import files as src
 
 AS_OF = _dt.datetime(2000, 1, 1)
+SAMPLES_A_FILE = 256          # of the quantification that is written
 
 
 def _cat(spark, d) -> Catalog:
@@ -53,11 +54,12 @@ def scan_expression(spark, d) -> DataFrame:
     e = _cat(spark, d).expression
     record = F.to_json(F.struct(F.col("gene_seqhash_id").alias("Name"), F.lit(9).alias("Length"), F.col("effective_length").alias("EffectiveLength"),
                                 F.col("tpm").alias("TPM"), F.col("num_reads").alias("NumReads"), F.col("sample_id").alias("sample")))
-    # One array per file and sample, as the quantifier writes them.
+    # One array per sample, as the quantifier writes them; a file holds those of several samples, so that
+    # the number of files does not grow with the number of samples.
     arrays = e.select("sample_id", record.alias("r")).groupBy("sample_id").agg(F.concat(F.lit("["), F.array_join(F.collect_list("r"), ",\n"), F.lit("]")).alias("value"))
     path = scratch_path(spark, "quant")
-    arrays.repartition("sample_id").write.partitionBy("sample_id").text(path)
-    return src.scan_expression(spark, f"{path}/*")
+    arrays.select("value").write.option("maxRecordsPerFile", SAMPLES_A_FILE).text(path)
+    return src.scan_expression(spark, path)
 
 
 def scan_cluster_tsv(spark, d) -> DataFrame:

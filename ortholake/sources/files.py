@@ -45,10 +45,13 @@ GFF_SCHEMA = T.StructType([
 ])
 
 
-def sample_from_path(suffix_regex: str = r"\..*$") -> Column:
+ANY_SUFFIX = r"\..*$"
+
+
+def sample_from_path(suffix_regex: str = ANY_SUFFIX, path: str = "_metadata.file_path") -> Column:
     """Sample id = file base name without its extension(s) (``SRR123.emapper.annotations`` -> ``SRR123``)."""
-    base = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)$", 1)
-    return F.regexp_replace(base, suffix_regex, "")
+    base = F.substring_index(F.col(path), "/", -1)
+    return F.substring_index(base, ".", 1) if suffix_regex == ANY_SUFFIX else F.regexp_replace(base, suffix_regex, "")
 
 
 # S1 -------------------------------------------------------------------------
@@ -112,19 +115,21 @@ def json_objects(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
     A piece with an odd number of quotes has a brace inside a text. Files that have such pieces are put
     together again in their order: a piece that begins inside a text belongs to the one before."""
-    raw = spark.read.option("lineSep", "}").text(path).select("value", *fasta_meta(), sample_from_path().alias("sample"))
-    quotes = F.regexp_replace(F.regexp_replace("value", r"\\.", ""), '[^"]', "")
-    pieces = numbered_records(raw).withColumn("odd", (F.length(quotes) % 2).cast("int"))
+    raw = spark.read.option("lineSep", "}").text(path).select("value", *fasta_meta())
+    # Few texts hold a backslash; the others need no pattern.
+    bare = F.when(F.contains("value", F.lit("\\")), F.regexp_replace("value", r"\\.", "")).otherwise(F.col("value"))
+    quotes = F.length(bare) - F.length(F.replace(bare, F.lit('"'), F.lit("")))
+    pieces = numbered_records(raw).withColumn("odd", (quotes % 2).cast("int"))
     torn = materialise(pieces.filter("odd = 1").select("file_path").distinct(), "torn")
-    whole = pieces.join(torn, "file_path", "left_anti").select("value", "sample")
+    whole = pieces.join(torn, "file_path", "left_anti").select("value", "file_path")
     order = Window.partitionBy("file_path").orderBy("record_no")
     inside = F.coalesce(F.sum("odd").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) % 2
     parts = pieces.join(torn, "file_path", "left_semi").withColumn("inside", inside)
     parts = parts.withColumn("no", F.sum((1 - F.col("inside")).cast("long")).over(order))
-    joined = parts.groupBy("file_path", "sample", "no").agg(F.array_sort(F.collect_list(F.struct("record_no", "value"))).alias("v"))
-    again = joined.select(F.array_join(F.transform("v", lambda x: x["value"]), "}").alias("value"), "sample")
-    own = F.regexp_extract("value", r"(\{[\s\S]*)$", 1)
-    return whole.unionByName(again).filter(F.col("value").contains("{")).select(F.concat(own, F.lit("}")).alias("value"), "sample")
+    joined = parts.groupBy("file_path", "no").agg(F.array_sort(F.collect_list(F.struct("record_no", "value"))).alias("v"))
+    again = joined.select(F.array_join(F.transform("v", lambda x: x["value"]), "}").alias("value"), "file_path")
+    own = F.substring("value", F.locate("{", F.col("value")), F.length("value"))
+    return whole.unionByName(again).filter(F.col("value").contains("{")).select(F.concat(own, F.lit("}")).alias("value"), sample_from_path(path="file_path").alias("sample"))
 
 
 def scan_expression(spark: SparkSession, path: str | list[str]) -> DataFrame:
