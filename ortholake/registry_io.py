@@ -173,8 +173,7 @@ def bucketed_tables(spark, d) -> DataFrame:
 def write_qc_stats(spark, d) -> DataFrame:
     path = scratch_path(spark, "qc")
     wr.write_qc_stats(qc.assembly_totals(qc.transcripts(_cat(spark, d))), path)
-    back = spark.read.schema("value string, sample_id string").text(path)
-    return back.select("sample_id", F.from_json("value", "n_transcripts long, total_length long").alias("r")).select("sample_id", "r.*")
+    return spark.read.schema("sample_id string, n_transcripts long, total_length long").json(path)
 
 
 def write_cog_counts(spark, d) -> DataFrame:

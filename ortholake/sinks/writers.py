@@ -64,7 +64,9 @@ def qc_stats_json(report: DataFrame) -> DataFrame:
 
 
 def write_qc_stats(report: DataFrame, path: str, mode: str = "overwrite") -> None:
-    qc_stats_json(report).write.mode(mode).partitionBy("sample_id").text(path)
+    """One JSON document per sample and line, which names its sample; a folder per sample would be as
+    many folders to make, commit and list as there are samples."""
+    report.select("sample_id", *[c for c in report.columns if c != "sample_id"]).write.mode(mode).json(path)
 
 
 # K6 -------------------------------------------------------------------------
