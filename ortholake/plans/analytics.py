@@ -383,8 +383,11 @@ def tpm_by_annotation_status(cat: Catalog) -> DataFrame:
 
 
 def top_expressed_transcripts(cat: Catalog) -> DataFrame:
-    j = _protein_expression(cat).join(cat.sequences.select("seqhash_id", "length"), "seqhash_id")
-    j = j.join(cat.annotations.select("seqhash_id", "cog_category", "description"), "seqhash_id", "left")
+    # A gene's expression meets all its proteins, so these are described before that join, not after it.
+    p = cat.gene_protein_map.select("gene_seqhash_id", F.col("protein_seqhash_id").alias("seqhash_id"))
+    p = p.join(cat.sequences.select("seqhash_id", "length"), "seqhash_id")
+    p = p.join(cat.annotations.select("seqhash_id", "cog_category", "description"), "seqhash_id", "left")
+    j = cat.expression.select("gene_seqhash_id", "sample_id", "tpm").join(p, "gene_seqhash_id")
     return j.select("seqhash_id", "sample_id", "length", "tpm", "cog_category", "description").orderBy(
         F.col("tpm").desc(), "seqhash_id", "sample_id"
     )
