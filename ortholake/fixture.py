@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ortholake.catalog import SCHEMA_V2, Catalog, conform
+from ortholake.session import materialise, scratch_path
 
 # Fixed parameters of the mapping.
 N_CLUSTER_GROUPS = 500          # parts equal modulo this share a cluster
@@ -33,10 +34,19 @@ def _s(c):
     return F.col(c).cast("string")
 
 
-def build(spark: SparkSession, sf_dir: str, stage_dir: str | None = None) -> Catalog:
-    """The mapped catalogue, lazily. With ``stage_dir`` (a folder on shared storage), the two
-    lineitem aggregates every table derives from are written there once and read back, so
-    writing all tables does not re-aggregate lineitem per table."""
+STAGES = ("seq_part", "expression")
+
+
+def staged(spark: SparkSession, sf_dir: str, stages: tuple[str, ...] = STAGES) -> Catalog:
+    """The mapped catalogue for a job that reads an aggregate of lineitem several times: each of
+    ``stages`` is written once to a new folder under ``spark.checkpoint.dir``."""
+    return build(spark, sf_dir, scratch_path(spark, "stage"), stages)
+
+
+def build(spark: SparkSession, sf_dir: str, stage_dir: str | None = None, stages: tuple[str, ...] = STAGES) -> Catalog:
+    """The mapped catalogue, lazily. With ``stage_dir`` (a folder on shared storage), those of
+    the two lineitem aggregates every table derives from that ``stages`` names are written there once
+    and read back, so writing all tables does not re-aggregate lineitem per table."""
     li = read_table(spark, sf_dir, "lineitem")
     part = read_table(spark, sf_dir, "part")
     supplier = read_table(spark, sf_dir, "supplier")
@@ -57,7 +67,7 @@ def build(spark: SparkSession, sf_dir: str, stage_dir: str | None = None) -> Cat
 
     p = part.select("p_partkey", "p_name", "p_type", "p_brand", "p_size")
     seq_part = seq_rep.join(p, F.col("pk") == F.col("p_partkey"))
-    if stage_dir is not None:
+    if stage_dir is not None and "seq_part" in stages:
         seq_part.write.mode("overwrite").parquet(f"{stage_dir}/seq_part")
         seq_part = spark.read.parquet(f"{stage_dir}/seq_part")
 
@@ -89,7 +99,7 @@ def build(spark: SparkSession, sf_dir: str, stage_dir: str | None = None) -> Cat
         F.concat(F.lit("SRR"), _s("l_suppkey")).alias("sample_id"),
         "tpm", "num_reads", "effective_length",
     )
-    if stage_dir is not None:
+    if stage_dir is not None and "expression" in stages:
         expression.write.mode("overwrite").parquet(f"{stage_dir}/expression")
         expression = spark.read.parquet(f"{stage_dir}/expression")
 
@@ -273,10 +283,13 @@ ANN_FIELDS = [
 ]
 
 
-def incoming(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def incoming(spark: SparkSession, sf_dir: str, stage: bool = False) -> dict[str, DataFrame]:
+    """The batches; with ``stage`` the joined records that they derive from, and the quantification, are written once."""
     li = read_table(spark, sf_dir, "lineitem")
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_brand", "p_size")
-    j = li.join(part, F.col("l_partkey") == F.col("p_partkey"))
+    own = li.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity")
+    j = own.join(part, F.col("l_partkey") == F.col("p_partkey"))
+    j = materialise(j, "records") if stage else j
     sample = F.concat(F.lit("SRR"), _s("l_suppkey"))
     rank = F.col("l_suppkey").cast("int")
     protein = F.concat(F.lit("v1_DLS_"), _s("l_partkey"), F.lit(".p"), _s("l_linenumber"))
@@ -316,6 +329,7 @@ def incoming(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         F.concat(F.lit("v1_DLS_"), _s("l_partkey")).alias("gene_seqhash_id"), sample.alias("sample_id"),
         "tpm", "num_reads", "effective_length", rank.alias("sample_rank"),
     )
+    quant = materialise(quant, "quant") if stage else quant
     samples = read_table(spark, sf_dir, "supplier").select(
         F.concat(F.lit("SRR"), _s("s_suppkey")).alias("sample_id"), F.col("s_suppkey").cast("int").alias("sample_rank")
     )

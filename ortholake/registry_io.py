@@ -136,7 +136,7 @@ def scan_contaminant_stats(spark, d) -> DataFrame:
 # Sinks --------------------------------------------------------------------------------
 def write_table_set(spark, d) -> DataFrame:
     root = scratch_path(spark, "set")
-    cat = _cat(spark, d)
+    cat = fixture.staged(spark, d)
     wr.write_table_set(cat.with_tables(sequences=cat.sequences.limit(0)), root, "v1")
     wr.write_table_set(cat, root, "v2")
     return wr.read_current(spark, root).sequences
