@@ -66,8 +66,10 @@ def ingest_sequences(incoming: DataFrame, existing: Catalog | None = None,
     if "record_no" in rec.columns:
         # Rank and number in one long: a plain minimum finds the winner, and no text is sorted for it.
         rec = rec.withColumn("_place", F.shiftleft(F.col("sample_rank").cast("long"), RECORD_BITS) + F.col("record_no"))
-        first = rec.groupBy("seqhash_id").agg(F.min("_place").alias("_place"))
-        won = first.join(rec.select("seqhash_id", "_place", F.struct("sequence", "sample_id").alias("w")), ["seqhash_id", "_place"])
+        first = rec.groupBy("seqhash_id").agg(F.min("_place").alias("_first"))
+        # By id alone, as the minimum is grouped already: its rows are not dealt out again.
+        own = rec.select("seqhash_id", "_place", F.struct("sequence", "sample_id").alias("w"))
+        won = own.join(first, "seqhash_id").filter(F.col("_place") == F.col("_first"))
         # One row an id, unless a number was given twice: then its smallest text.
         won = won.groupBy("seqhash_id", "_place").agg(F.array_min(F.collect_set("w")).alias("w"))
         first = won.withColumn("first_rank", F.shiftright("_place", RECORD_BITS).cast("int")).drop("_place")
@@ -296,13 +298,14 @@ def bundle_rows(bundle: SampleBundle, base: Catalog, as_of: _dt.datetime | None
 
 
 def ingest_bundle(spark: SparkSession, bundle: SampleBundle, catalog: Catalog | None = None,
-                  as_of: _dt.datetime | None = None, ownership: bool = True) -> tuple[Catalog, DataFrame]:
+                  as_of: _dt.datetime | None = None, ownership: bool = True,
+                  stage: Callable[[DataFrame], DataFrame] = lambda df: df) -> tuple[Catalog, DataFrame]:
     """Run I1-I9 for a bundle of samples against ``catalog`` (or an empty one).
 
     Returns the catalogue with the new rows appended (lazily) and the per-sample report.
     Samples already present in ``sra_metadata`` are rejected (I11)."""
     base = catalog or _empty_catalog(spark)
-    new, report = bundle_rows(bundle, base, as_of, ownership)
+    new, report = bundle_rows(bundle, base, as_of, ownership, stage)
     meta = upsert_sample_metadata(base.sra_metadata, new.pop("sra_metadata"))
     return base.with_tables(sra_metadata=meta, **{t: base[t].unionByName(rows) for t, rows in new.items()}), report
 

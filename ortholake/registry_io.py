@@ -18,7 +18,7 @@ from ortholake.operators import maintain as mt
 from ortholake.operators import qc
 from ortholake.operators import seqsets as ss
 from ortholake.plans import analytics as an
-from ortholake.session import scratch_path
+from ortholake.session import materialise, scratch_path
 from ortholake.sinks import bucketed
 from ortholake.sinks import writers as wr
 from ortholake.sinks.manifest import Change, VersionedTables, key_ranges
@@ -183,8 +183,7 @@ def write_cog_counts(spark, d) -> DataFrame:
 
 
 # Whole ingests ------------------------------------------------------------------------
-def _bundle(spark, d, keep=None) -> ig.SampleBundle:
-    inc = fixture.incoming(spark, d)
+def _bundle(inc: dict[str, DataFrame], keep=None) -> ig.SampleBundle:
     if keep is not None:
         inc = {k: v.filter(keep) for k, v in inc.items()}
     return ig.SampleBundle(inc["samples"], inc["proteins"].withColumnRenamed("seqhash_id", "id").drop("sample_rank"),
@@ -196,14 +195,15 @@ def _rows_per_table(cat: Catalog) -> DataFrame:
 
 
 def build_catalog(spark, d) -> DataFrame:
-    return _rows_per_table(ig.build_catalog(spark, _bundle(spark, d), as_of=AS_OF)[0])
+    return _rows_per_table(ig.build_catalog(spark, _bundle(fixture.incoming(spark, d, stage=True)), as_of=AS_OF, stage=materialise)[0])
 
 
 def _updated(spark, d):
-    first, _ = ig.build_catalog(spark, _bundle(spark, d, F.col("sample_rank") % 3 != 0), as_of=AS_OF)
+    inc = fixture.incoming(spark, d, stage=True)
+    first, _ = ig.build_catalog(spark, _bundle(inc, F.col("sample_rank") % 3 != 0), as_of=AS_OF, stage=materialise)
     path = scratch_path(spark, "first")
     first.save(path)
-    return ig.update_catalog(spark, _bundle(spark, d, F.col("sample_rank") % 2 == 0), Catalog.open(spark, path), as_of=AS_OF)
+    return ig.update_catalog(spark, _bundle(inc, F.col("sample_rank") % 2 == 0), Catalog.open(spark, path), as_of=AS_OF, stage=materialise)
 
 
 def update_catalog(spark, d) -> DataFrame:
