@@ -162,7 +162,7 @@ def versioned_tables(spark, d) -> DataFrame:
 def bucketed_tables(spark, d) -> DataFrame:
     """K1 by buckets: sequences with annotation, cluster and pathways over a bucketed table set."""
     root = scratch_path(spark, "bucketed")
-    bucketed.write_bucketed(_cat(spark, d), root, 8)
+    bucketed.write_bucketed(fixture.staged(spark, d), root, 8)
     c = bucketed.open_bucketed(spark, root)
     a = c.annotations.select("seqhash_id", "preferred_name")
     k = c.kegg_info.select("seqhash_id", "kegg_pathway")
