@@ -293,7 +293,7 @@ def read_totals(spark, d) -> DataFrame:
 
 
 def qc_report_full(spark, d) -> DataFrame:
-    return qc.with_not_available(qc.qc_report(_cat(spark, d), _mapping(spark, d), _reads(spark, d)))
+    return qc.with_not_available(qc.qc_report(fixture.staged(spark, d), _mapping(spark, d), _reads(spark, d)))
 
 
 # SQL ------------------------------------------------------------------------------------
