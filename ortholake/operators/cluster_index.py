@@ -1,10 +1,10 @@
 """A clustering that is kept on disk and takes batch after batch.
 
-Tables of the index, changed together by one commit per batch: ``shingle_order`` (the global order of
-shingles, taken from the first batch and kept, so that prefixes of different batches agree),
-``representatives`` (their sets), ``prefixes`` (their index rows) and ``members``. A
-batch reads its own texts and joins the index; texts of earlier batches are never read
-or hashed again. A replayed batch changes nothing.
+Tables of the index, changed together by one commit per batch: ``shingle_order`` (the counts that give the global
+order of shingles, taken from the first batch and kept, so that prefixes of different batches agree),
+``representatives`` (their texts, which take less room than their sets), ``prefixes`` (their index rows) and
+``members``. A batch reads its own texts and joins the index; of earlier texts only those of
+representatives that a new text may be linked to are hashed again. A replayed batch changes nothing.
 
 Any fixed order is right; a shingle that became common later is merely no longer sorted as such.
 ``reorder`` takes the order anew from the representatives kept.
@@ -17,12 +17,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ortholake.operators import seqsets
-from ortholake.operators.similarity import confirmed, frequencies, prefixes, shingle_sets, sizes_allow
+from ortholake.operators.similarity import ORDER, linked, measured, prefixes, sizes_allow
 from ortholake.session import materialise
 from ortholake.sinks.manifest import Change, VersionedTables
 
-ORDER = T.StructType([T.StructField("s", T.LongType()), T.StructField("c", T.LongType())])
-
 
 class ClusterIndex:
     def __init__(self, spark: SparkSession, root: str, n: int = seqsets.SEARCH_NGRAM, percent: int = seqsets.CLUSTER_PERCENT,
@@ -31,9 +29,9 @@ class ClusterIndex:
 
     def _schema(self, name: str) -> T.StructType:
         key, long_ = self.id_type or T.LongType(), T.LongType()
-        cols = {"representatives": [("id", key), ("n", long_), ("set", T.ArrayType(long_))], "prefixes": [("s", long_), ("id", key), ("n", long_)],
+        cols = {"representatives": [("id", key), ("text", T.StringType())], "prefixes": [("s", long_), ("id", key), ("n", long_)],
                 "members": [("id", key), ("representative", key)]}
-        return ORDER if name == "shingle_order" else T.StructType([T.StructField(c, t) for c, t in cols[name]])
+        return T.StructType.fromDDL(ORDER) if name == "shingle_order" else T.StructType([T.StructField(c, t) for c, t in cols[name]])
 
     def _read(self, name: str) -> DataFrame:
         return self.tables.read(name, self._schema(name))
@@ -45,18 +43,21 @@ class ClusterIndex:
     def start(self, clustered: DataFrame, tag: str = "start") -> bool:
         """Begin with a clustering: (id, text, representative)."""
         self.id_type = clustered.schema["id"].dataType
-        reps = clustered.filter(F.col("id") == F.col("representative"))
-        sets = materialise(shingle_sets(reps, "id", "text", self.n, self.unit), "sets")
-        order = materialise(frequencies(sets), "frequencies")
-        return self.tables.commit({"shingle_order": order, "representatives": sets, "prefixes": prefixes(sets, order, self.percent, whole=True),
+        reps = materialise(clustered.filter(F.col("id") == F.col("representative")).select("id", "text"), "representatives")
+        order = measured(reps, self.n, self.unit)[1]
+        return self.tables.commit({"shingle_order": order, "representatives": reps, "prefixes": self._prefixes(reps, order),
                                    "members": clustered.select("id", "representative")}, tag)
 
-    def matched(self, sets: DataFrame) -> DataFrame:
-        """(id, representative): the smallest kept representative that each of ``sets`` is linked to."""
-        mine = prefixes(sets, self._read("shingle_order"), self.percent, whole=True)
+    def _prefixes(self, texts: DataFrame, order: DataFrame | None = None) -> DataFrame:
+        return prefixes(texts, order if order is not None else self._read("shingle_order"), self.percent, self.n, self.unit)
+
+    def matched(self, texts: DataFrame) -> DataFrame:
+        """(id, representative): the smallest kept representative that each of ``texts`` (id, text) is linked to."""
+        mine = self._prefixes(texts)
         kept = self._read("prefixes").select("s", F.col("id").alias("b"), F.col("n").alias("nb"))
         pairs = mine.join(kept, "s").filter(sizes_allow("n", "nb", self.percent)).select(F.col("id").alias("a"), "b").distinct()
-        links = confirmed(materialise(pairs, "pairs"), sets, self._read("representatives"), self.percent)
+        pairs = materialise(pairs, "pairs")
+        links = linked(pairs, texts, self._read("representatives"), self.percent, self.n, self.unit)
         return links.groupBy("a").agg(F.min("b").alias("representative")).withColumnRenamed("a", "id")
 
     def add(self, batch: DataFrame, tag: str) -> bool:
@@ -66,16 +67,14 @@ class ClusterIndex:
             return False
         self.id_type = self.id_type or batch.schema["id"].dataType
         batch = materialise(batch.join(self.members().select("id"), "id", "left_anti").select("id", "text"), "batch")
-        sets = materialise(shingle_sets(batch, "id", "text", self.n, self.unit), "sets")
-        old = materialise(self.matched(sets), "matched")
-        rest = batch.join(old.select("id"), "id", "left_anti")
+        old = materialise(self.matched(batch), "matched")
+        rest = materialise(batch.join(old.select("id"), "id", "left_anti"), "rest")
         new = materialise(seqsets.cluster_sequences(rest, "id", "text", n=self.n, percent=self.percent, unit=self.unit), "clustered")
-        reps = materialise(sets.join(new.filter("id = representative").select("id"), "id", "left_semi"), "representatives")
-        return self.tables.commit({"representatives": reps, "prefixes": prefixes(reps, self._read("shingle_order"), self.percent, whole=True),
-                                   "members": old.unionByName(new)}, tag)
+        reps = materialise(rest.join(new.filter("id = representative").select("id"), "id", "left_semi"), "representatives")
+        return self.tables.commit({"representatives": reps, "prefixes": self._prefixes(reps), "members": old.unionByName(new)}, tag)
 
     def reorder(self, tag: str) -> bool:
         """Take the order of shingles, and so all prefixes, anew from the representatives kept."""
-        sets = self._read("representatives")
-        order = materialise(frequencies(sets), "frequencies")
-        return self.tables.commit({"shingle_order": Change(order, None), "prefixes": Change(prefixes(sets, order, self.percent, whole=True), None)}, tag)
+        reps = self._read("representatives")
+        order = measured(reps, self.n, self.unit)[1]
+        return self.tables.commit({"shingle_order": Change(order, None), "prefixes": Change(self._prefixes(reps, order), None)}, tag)

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from ortholake.functions.columns import content_id
 from ortholake.operators.kmer_depth import depths
 from ortholake.operators.kmers import kmers_in, reference_kmers
-from ortholake.operators.similarity import shingle_sets, similar_components, with_shingles
+from ortholake.operators.similarity import measured, only, similar_components, with_shingles
 from ortholake.operators.strands import shared_kmers
 from ortholake.session import materialise, scratch_path
 
@@ -208,12 +208,12 @@ def cluster_sequences(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sets; clusters are the connected components, and the representative is the longest member, ties by
     smallest id. Texts without an n-gram stay by themselves. Equal sets are compared once."""
     length = F.col(length_col) if length_col else F.length(text_col)
-    sets = materialise(shingle_sets(df, id_col, text_col, n, unit), "sets")
-    keyed = sets.withColumn("h", F.xxhash64("set")).withColumn("h2", F.xxhash64(F.lit(1), "set"))
+    texts = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    keyed, order = measured(texts, n, unit)
     classes = materialise(keyed.groupBy("n", "h", "h2").agg(F.min("id").alias("rep")), "classes")
-    named = materialise(keyed.select("id", "n", "h", "h2").join(classes, ["n", "h", "h2"]).select("id", "rep"), "named")
-    reps = materialise(sets.join(classes.select(F.col("rep").alias("id")), "id", "left_semi"), "representatives")
-    comp = similar_components(reps, percent).select(F.col("id").alias("rep"), "component")
+    named = materialise(keyed.join(classes, ["n", "h", "h2"]).select("id", "rep"), "named")
+    reps = only(texts, classes.select("rep"))                # a copy that passes as well is only compared once more
+    comp = similar_components(reps, order, percent, n, unit).select(F.col("id").alias("rep"), "component")
     comp = named.join(comp, "rep", "left").select("id", F.coalesce("component", "rep").alias("component"))
     m = df.select(F.col(id_col).alias("id"), length.alias("_len")).join(materialise(comp, "components"), "id", "left")
     m = materialise(m.select("id", "_len", F.coalesce("component", "id").alias("component")), "members")
