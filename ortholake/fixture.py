@@ -13,6 +13,9 @@ Spark-side plan choices (equal results, better shape at scale):
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -487,10 +490,19 @@ _BASES = ("ACGT" * 7)[:26] * 2
 def nucleotides(df: DataFrame, id_col: str, both_strands: bool = False) -> DataFrame:
     """(id, text): a nucleotide sequence per text, a base for every ASCII letter. With
     ``both_strands``, odd ids are given as read from the other strand."""
-    seq = F.regexp_replace(F.translate(F.coalesce("text", F.lit("")), _LETTERS, _BASES), "[^ACGT]", "")
-    if both_strands:
-        seq = F.when(F.col(id_col) % 2 == 1, F.reverse(F.translate(seq, "ACGT", "TGCA"))).otherwise(seq)
-    return df.select(id_col, seq.alias("text"))
+    bases, paired = bytes.maketrans(_LETTERS.encode(), _BASES.encode()), bytes.maketrans(b"ACGT", b"TGCA")
+    others, kind = bytes(set(range(128)) - set(_LETTERS.encode())), df.schema[id_col].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = []
+            for t, other in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
+                seq = t.encode("ascii", "ignore").translate(bases, others)
+                out.append((seq.translate(paired)[::-1] if other else seq).decode())
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.string())], names=[id_col, "text"])
+
+    other = F.coalesce(F.col(id_col) % 2 == 1, F.lit(False)) if both_strands else F.lit(False)
+    return df.select(id_col, F.coalesce("text", F.lit("")).alias("text"), other.alias("other")).mapInArrow(run, f"`{id_col}` {kind}, text string")
 
 
 def nucleotides_sql(table: str, id_col: str, both_strands: bool = False) -> str:

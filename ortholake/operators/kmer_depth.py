@@ -13,19 +13,22 @@ joined back; so one very common n-gram, such as a stretch of one letter, is a ha
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ortholake.functions.columns import ASCII_LOWER, ASCII_UPPER, words
+from ortholake.operators.kmers import hashes
 from ortholake.session import materialise
 
 HOT = 1 << 18       # n-grams of a minimizer that are counted in one place
+BLOCK = 1 << 14     # n-grams hashed at a time
+AT_ONCE = 1 << 18   # n-grams counted at a time, of whole minimizers
 PIECE = 11          # letters of a piece of a character n-gram
 #: Between the words of a stretch; no word holds it.
 GAP = " "
@@ -50,6 +53,9 @@ def complement(seq: str) -> str:
 
 
 _PAIRED = str.maketrans("ACGT", "TGCA")
+#: ASCII letters in upper case, without white space (as ``functions.columns.flat_text``).
+_FLAT = str.maketrans(ASCII_LOWER, ASCII_UPPER, " \t\n\x0b\f\r")
+_PAIRED_CODES = np.array([ord(chr(i).translate(_PAIRED)) for i in range(128)], np.uint64)
 
 
 def minimizers(tokens: list[str] | str, n: int, strands: bool = False) -> np.ndarray:
@@ -59,47 +65,104 @@ def minimizers(tokens: list[str] | str, n: int, strands: bool = False) -> np.nda
     if len(tokens) < n:
         return np.zeros(0, np.uint64)
     if isinstance(tokens, str):
-        codes = np.frombuffer(tokens.encode("utf-32-le"), np.uint32).astype(np.uint64)
-        m = min(PIECE, n)
-        def pieces(codes: np.ndarray) -> np.ndarray:
-            piece = np.zeros(len(codes) - m + 1, np.uint64)
-            for j in range(m):
-                piece = piece * np.uint64(0x9E3779B97F4A7C15) + codes[j:j + len(piece)]
-            return _mix(piece)
-
-        piece = pieces(codes)
-        if strands:
-            other = np.frombuffer(complement(tokens).encode("utf-32-le"), np.uint32).astype(np.uint64)
-            piece = np.minimum(piece, pieces(other)[::-1])
-        return window_minima(piece, n - m + 1)
+        return _minima(_codes(tokens), n, strands)
     known: dict[str, int] = {}
     ids = np.array([known.setdefault(t, len(known)) for t in tokens])
-    hashes = np.array([crc32(t.encode()) for t in known], np.uint64)
-    return window_minima(_mix(hashes * np.uint64(0x9E3779B97F4A7C15))[ids], n)
+    return window_minima(_word_hashes(list(known))[ids], n)
 
 
-def runs(tokens: list[str] | str, n: int, strands: bool = False) -> Iterator[tuple[int, int, object]]:
-    """(minimizer, n-grams, stretch of tokens) of each run of n-grams with one minimizer."""
-    low = minimizers(tokens, n, strands)
-    if not len(low):
-        return
-    cut = np.flatnonzero(np.concatenate([[True], low[1:] != low[:-1]])).tolist()
-    for a, b in zip(cut, [*cut[1:], len(low)], strict=True):
-        yield int(low[a].astype(np.int64)), b - a, tokens[a:b + n - 1]
+def _codes(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
 
 
-def grams(stretch: str, n: int, unit: str) -> list[str]:
-    if unit != "word":
-        own = [stretch[i:i + n] for i in range(len(stretch) - n + 1)]
-        return [min(g, complement(g)) for g in own] if unit == "dna" else own
-    w = stretch.split(GAP)
-    return [GAP.join(w[i:i + n]) for i in range(len(w) - n + 1)]
+def _other_strand(codes: np.ndarray) -> np.ndarray:
+    return np.where(codes < 128, _PAIRED_CODES[np.minimum(codes, 127).astype(np.int64)], codes)[::-1]
+
+
+def _minima(codes: np.ndarray, n: int, strands: bool) -> np.ndarray:
+    m = min(PIECE, n)
+
+    def pieces(codes: np.ndarray) -> np.ndarray:
+        piece = np.zeros(len(codes) - m + 1, np.uint64)
+        for j in range(m):
+            piece = piece * np.uint64(0x9E3779B97F4A7C15) + codes[j:j + len(piece)]
+        return _mix(piece)
+
+    piece = pieces(codes)
+    if strands:
+        piece = np.minimum(piece, pieces(_other_strand(codes))[::-1])
+    return window_minima(piece, n - m + 1)
+
+
+def _word_hashes(known: list[str]) -> np.ndarray:
+    return _mix(np.array([crc32(t.encode()) for t in known], np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+
+
+def windows(sizes: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row, place) of every n-gram of rows of tokens that stand one after the other."""
+    each = np.maximum(sizes - n + 1, 0)
+    row = np.repeat(np.arange(len(sizes)), each)
+    return row, np.arange(len(row)) + np.repeat(np.cumsum(sizes) - sizes - np.cumsum(each) + each, each)
+
+
+def split_words(texts: pa.Array) -> tuple[np.ndarray, pa.DictionaryArray]:
+    """(number of words of each text, their words one after the other); an empty text has none."""
+    some = pc.split_pattern(texts.filter(pc.not_equal(texts, "")), GAP)
+    sizes = np.zeros(len(texts), np.int64)
+    sizes[np.asarray(pc.not_equal(texts, "").cast(pa.int8())) == 1] = np.asarray(pc.list_value_length(some))
+    return sizes, some.flatten().dictionary_encode()
+
+
+def all_runs(texts: list[str], n: int, unit: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[str]]:
+    """(row, minimizer, n-grams, stretch) of each run of n-grams with one minimizer, of all texts."""
+    if unit == "word":
+        sizes, own = split_words(pa.array(texts, pa.string()))
+        hashed = _word_hashes(own.dictionary.to_pylist())[np.asarray(own.indices)] if len(own) else np.zeros(0, np.uint64)
+        low = window_minima(hashed, n) if len(hashed) >= n else hashed[:0]
+        length = np.asarray(pc.utf8_length(own.dictionary))[np.asarray(own.indices)].astype(np.int64) if len(own) else np.zeros(0, np.int64)
+        flat = GAP.join(t for t in texts if t)
+        start = np.cumsum(length + len(GAP)) - length - len(GAP)
+    else:
+        sizes, flat = np.array([len(t) for t in texts], np.int64), "".join(texts)
+        low = _minima(_codes(flat), n, unit == "dna") if len(flat) >= n else np.zeros(0, np.uint64)
+        start, length = np.arange(len(flat)), np.ones(len(flat), np.int64)
+    row, place = windows(sizes, n)
+    if not len(row):
+        return row, low[:0].view(np.int64), row, []
+    low = low[place]
+    cut = np.flatnonzero(np.concatenate([[True], (low[1:] != low[:-1]) | (row[1:] != row[:-1])]))
+    size = np.diff(np.concatenate([cut, [len(row)]]))
+    last = place[cut] + size + n - 2                         # the last token of a run
+    ends = zip(start[place[cut]].tolist(), (start[last] + length[last]).tolist(), strict=True)
+    return row[cut], low[cut].view(np.int64), size, [flat[a:b] for a, b in ends]
+
+
+def runs(text: str, n: int, strands: bool = False) -> Iterator[tuple[int, int, str]]:
+    """(minimizer, n-grams, stretch) of each run of a text's n-grams with one minimizer."""
+    _, low, size, own = all_runs([text], n, "dna" if strands else "char")
+    yield from zip(low.tolist(), size.tolist(), own, strict=True)
+
+
+def gram_hashes(texts: pa.Array, n: int, unit: str) -> tuple[np.ndarray, np.ndarray]:
+    """(row, 64-bit hash) of every n-gram of stretches; with ``unit="dna"`` the same for both strands."""
+    if unit == "word":
+        sizes, own = split_words(texts)
+        codes = np.asarray(own.indices).astype(np.uint64)
+    else:
+        sizes, codes = np.asarray(pc.utf8_length(texts)).astype(np.int64), _codes("".join(texts.to_pylist()))
+    row, place = windows(sizes, n)
+    found = np.zeros(max(len(codes) - n + 1, 0), np.uint64)
+    for lo in range(0, len(found), BLOCK):
+        some = codes[lo:lo + BLOCK + n - 1]
+        own = hashes(some, n)
+        found[lo:lo + BLOCK] = np.minimum(own, hashes(_other_strand(some), n)[::-1]) if unit == "dna" else own
+    return row, found[place]
 
 
 def stretches(reads: DataFrame, read_id: str, text_col: str, n: int, unit: str) -> DataFrame:
     """(read, minimizer, grams, stretch) rows of all reads."""
     if unit in ("char", "dna"):
-        text = F.regexp_replace(F.translate(F.coalesce(F.col(text_col), F.lit("")), ASCII_LOWER, ASCII_UPPER), r"\s", "")
+        text = F.coalesce(F.col(text_col), F.lit(""))
     elif unit == "word":
         text = F.array_join(words(F.coalesce(F.col(text_col), F.lit(""))), GAP)
     else:
@@ -111,48 +174,44 @@ def stretches(reads: DataFrame, read_id: str, text_col: str, n: int, unit: str)
         for b in batches:
             for lo in range(0, b.num_rows, 256):
                 part = b.slice(lo, 256)
-                who, rows = [], []
-                for i, t in enumerate(part.column(1).to_pylist()):
-                    own = list(runs(t if unit != "word" else t.split(GAP) if t else [], n, unit == "dna"))
-                    who += [i] * len(own)
-                    rows += own
-                low, size, text = zip(*rows, strict=True) if rows else ((), (), ())
-                text = pa.array(text if unit != "word" else [GAP.join(x) for x in text], pa.string())
-                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(who, pa.int32())), pa.array(low, pa.int64()), pa.array(size, pa.int64()), text], names=names)
+                own = part.column(1).to_pylist()
+                who, low, size, text = all_runs(own if unit == "word" else [t.translate(_FLAT) for t in own], n, unit)
+                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(who)), pa.array(low), pa.array(size), pa.array(text, pa.string())], names=names)
 
     return reads.select(F.col(read_id).alias("read"), text.alias("text")).mapInArrow(run, f"read {kind}, minimizer long, grams long, stretch string")
 
 
 def counted_runs(rows: DataFrame, n: int, unit: str) -> DataFrame:
     """(read, c, times): per read, how many of its occurrences have the count ``c``; the stretches
-    of one minimizer (at most ``HOT`` n-grams) are counted together. Parts of a read are not added up yet."""
+    of one minimizer (at most ``HOT`` n-grams) are counted together, as 64-bit hashes, those of many minimizers
+    at a time. Parts of a read are not added up yet."""
     kind = rows.schema["read"].dataType.simpleString()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, held, total, read_type = None, [], Counter(), None
-
-        def out() -> pa.RecordBatch:
-            found = Counter()
-            for read, own in held:
-                found.update((read, total[g]) for g in own)
-            keys = list(found)
-            return pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], read_type), pa.array([k[1] for k in keys], pa.int64()),
-                                               pa.array(list(found.values()), pa.int64())], names=["read", "c", "times"])
+    def counted(part: pa.Table) -> pa.RecordBatch:
+        row, own = gram_hashes(part.column("stretch").combine_chunks(), n, unit)
+        _, which, total = np.unique(own, return_inverse=True, return_counts=True)
+        reads = part.column("read").combine_chunks().dictionary_encode(null_encoding="encode")
+        key, times = np.unique(np.asarray(reads.indices).astype(np.int64)[row] * (len(own) + 1) + total[which], return_counts=True)
+        read, c = np.divmod(key, len(own) + 1)
+        return pa.RecordBatch.from_arrays([reads.dictionary.take(pa.array(read)), pa.array(c), pa.array(times.astype(np.int64))], names=["read", "c", "times"])
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, have = [], 0
         for b in batches:
-            read_type = b.schema.field("read").type
-            for read, low, text in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
-                if low != now:
-                    if held:
-                        yield out()
-                    now, held, total = low, [], Counter()
-                own = grams(text, n, unit)
-                total.update(own)
-                held.append((read, own))
-        if held:
-            yield out()
-
-    dealt = rows.select("read", "minimizer", "stretch").repartition("minimizer").sortWithinPartitions("minimizer")
+            held.append(b)
+            have += int(pc.sum(b.column(3)).as_py() or 0)
+            if have >= AT_ONCE:
+                part = pa.Table.from_batches(held)
+                low = np.asarray(part.column("minimizer"))
+                full = int(np.searchsorted(low, low[-1]))    # the last minimizer may go on
+                if full:
+                    yield counted(part.slice(0, full))
+                    held = part.slice(full).combine_chunks().to_batches()
+                    have = sum(int(pc.sum(x.column(3)).as_py()) for x in held)
+        if have:
+            yield counted(pa.Table.from_batches(held))
+
+    dealt = rows.select("read", "minimizer", "stretch", "grams").repartition("minimizer").sortWithinPartitions("minimizer")
     return dealt.mapInArrow(run, f"read {kind}, c long, times long")
 
 
