@@ -27,6 +27,7 @@ from ortholake.operators.kmers import hashes
 from ortholake.session import materialise
 
 HOT = 1 << 18       # n-grams of a minimizer that are counted in one place
+ROWS = 16           # reads cut at a time
 BLOCK = 1 << 14     # n-grams hashed at a time
 AT_ONCE = 1 << 18   # n-grams counted at a time, of whole minimizers
 PIECE = 11          # letters of a piece of a character n-gram
@@ -172,8 +173,8 @@ def stretches(reads: DataFrame, read_id: str, text_col: str, n: int, unit: str)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for lo in range(0, b.num_rows, 256):
-                part = b.slice(lo, 256)
+            for lo in range(0, b.num_rows, ROWS):
+                part = b.slice(lo, ROWS)
                 own = part.column(1).to_pylist()
                 who, low, size, text = all_runs(own if unit == "word" else [t.translate(_FLAT) for t in own], n, unit)
                 yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(who)), pa.array(low), pa.array(size), pa.array(text, pa.string())], names=names)
