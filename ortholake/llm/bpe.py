@@ -16,7 +16,8 @@ from __future__ import annotations
 import base64
 import struct
 from array import array
-from itertools import accumulate, chain
+from collections.abc import Iterator
+from itertools import accumulate, chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +30,10 @@ from ortholake.llm.common import by_batch, table, text_or_empty
 #: sentencepiece treats as ordinary characters.
 FIRST_CHAR = 0x100
 #: Units remembered per task (in either memory), and the longest one remembered (characters).
-CACHE_UNITS, CACHE_CHARS = 500_000, 48
+#: A unit takes some 250 bytes, and an executor runs an encoder for each of its cores.
+CACHE_UNITS, CACHE_CHARS = 50_000, 48
+#: Characters encoded at once, and bytes of a piece of a batch.
+GROUP_CHARS, ROOM = 1 << 20, 1 << 22
 
 
 def read_ranks(path: str) -> list[bytes]:
@@ -96,7 +100,10 @@ class Encoder:
     first cut at its spaces (the remembered unit is then a space and what follows it), and
     the pattern only runs on units not met before; any other text is cut by the pattern
     alone. Both ways give the same pre-tokens. ``space_led`` says whether the pattern has
-    this property; without it every text is cut by the pattern."""
+    this property; without it every text is cut by the pattern.
+
+    Working memory does not grow with a text's length: a long one is cut at such spaces that
+    also follow a character other than white space, so no run of white space is parted."""
 
     def __init__(self, model: bytes, tokens: list[bytes], pattern: str, space_led: bool = False):
         import regex
@@ -108,6 +115,7 @@ class Encoder:
         self.spaced: dict[str, bytes] = {}
         self.plain: dict[str, bytes] = {}
         self.other_gap = regex.compile(r" (?:\s|\Z)").search if space_led else lambda _: True
+        self.inner_gap = regex.compile(r"(?<=\S) (?=\S)").search if space_led else lambda *_: None
 
     def _merge(self, words: list[str]) -> dict[str, bytes]:
         """Ids of pre-tokens: a token of the vocabulary is its own id, as merging all its bytes
@@ -120,7 +128,35 @@ class Encoder:
             got.update((words[i], array("I", x).tobytes()) for i, x in zip(rest, ids, strict=True))
         return got
 
+    def _pieces(self, text: str) -> Iterator[str]:
+        """A text whose pieces, cut one by one, give its pre-tokens; short ones stay whole."""
+        lo = 0
+        while len(text) - lo > GROUP_CHARS and (gap := self.inner_gap(text, lo + GROUP_CHARS)):
+            yield text[lo:gap.start()]
+            lo = gap.start()
+        yield text[lo:] if lo else text
+
     def pack(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text, worked out for about ``GROUP_CHARS`` characters at a time."""
+        out: list[list[bytes]] = [[] for _ in texts]
+        group: list[tuple[int, str]] = []
+        size = 0
+
+        def done() -> None:
+            for (i, _), ids in zip(group, self._pack_group([t for _, t in group]), strict=True):
+                out[i].append(ids)
+
+        for i, text in enumerate(texts):
+            for piece in self._pieces(text):
+                if group and size + len(piece) > GROUP_CHARS:
+                    done()
+                    group, size = [], 0
+                group.append((i, piece))
+                size += len(piece)
+        done()
+        return [b"".join(x) for x in out]
+
+    def _pack_group(self, texts: list[str]) -> list[bytes]:
         """The merges run once for all units of these texts that are new."""
         cuts = []                                     # (units, their ids or None, which memory)
         new: tuple[set[str], set[str]] = set(), set()
@@ -152,9 +188,10 @@ class Encoder:
             out.append(lead + b"".join(ids))
             lead = b""
         for memory, found in ((self.plain, merged), (self.spaced, fresh[1])):
-            if len(memory) > CACHE_UNITS:
+            few = list(islice(((w, x) for w, x in found.items() if len(w) <= CACHE_CHARS), CACHE_UNITS))
+            if len(memory) + len(few) > CACHE_UNITS:
                 memory.clear()
-            memory.update((w, x) for w, x in found.items() if len(w) <= CACHE_CHARS)
+            memory.update(few)
         return out
 
 
@@ -179,7 +216,7 @@ def encode_texts(df: DataFrame, tokens: list[bytes], pattern: str, id_col: str =
         return work
 
     rows = df.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
-    return by_batch(rows, f"id {kind}, ids array<int>", make).withColumnRenamed("id", id_col)
+    return by_batch(rows, f"id {kind}, ids array<int>", make, ROOM).withColumnRenamed("id", id_col)
 
 
 def decode_ids(df: DataFrame, tokens: list[bytes], id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
@@ -200,7 +237,7 @@ def decode_ids(df: DataFrame, tokens: list[bytes], id_col: str = "doc_id", ids_c
         return work
 
     rows = df.select(F.col(id_col).alias("id"), F.col(ids_col).cast("array<int>").alias("ids"))
-    return by_batch(rows, f"id {kind}, n_tokens long, packed binary, decoded binary", make).withColumnRenamed("id", id_col)
+    return by_batch(rows, f"id {kind}, n_tokens long, packed binary, decoded binary", make, ROOM).withColumnRenamed("id", id_col)
 
 
 def digest(df: DataFrame, tokens: list[bytes], pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
