@@ -106,7 +106,7 @@ def depth_normalize(reads: DataFrame, target: float, min_depth: float, n: int =
     how often each n-gram occurs in the whole read set (``operators.kmer_depth``; on either strand with
     ``unit="dna"``). Read ids are unique. Reads below ``min_depth`` are dropped;
     reads above ``target`` are kept with probability target/depth using a deterministic draw."""
-    depth = depths(reads, read_id, text_col, n, unit).withColumnRenamed("read", read_id)
+    depth = depths(reads, read_id, text_col, n, unit).withColumnRenamed("read", read_id).hint("shuffle_hash")     # reads need no sort
     r = reads.join(depth, read_id, "left").withColumn("depth", F.coalesce(F.col("depth"), F.lit(0)))
     keep = (F.col("depth") >= F.lit(min_depth)) & (
         (F.col("depth") <= F.lit(target)) | (_draw(read_id) * F.col("depth") < F.lit(target * HASH_SPACE))
