@@ -30,13 +30,13 @@ from pyspark.sql import functions as F
 from ortholake.functions.columns import ASCII_LOWER, ASCII_UPPER
 from ortholake.operators.kmers import hashes
 
-HOT = 1 << 21       # n-grams counted at a time
+HOT = 1 << 20       # n-grams counted at a time
 BLOCK = 1 << 14     # n-grams hashed at a time
 PIECE = 11          # letters of a piece of a character n-gram
 CUT_ROWS, CUT_BYTES = 1 << 12, 1 << 18              # reads cut at a time, at most, and bytes of them
 CHUNK_PARTS, CHUNK_BYTES = 1 << 21, 1 << 24         # n-grams or runs, and bytes of runs, that end a chunk
 CHUNK_READS = (1 << 16) - CUT_ROWS                  # a read's number in its chunk takes two bytes
-BUCKETS = 8         # a shuffle partition
+BUCKETS = 16        # a shuffle partition
 KEPT = 7            # bytes of a word n-gram's hash that are sent
 SENT = 256          # packed rows given to Spark at a time
 #: Between the words of a stretch; no word holds it.
@@ -281,7 +281,7 @@ class Chunk:
             self.grams, rest = self.grams + len(row), [own]
         else:
             row, low, grams, first, end, data = char_runs([t.translate(_FLAT) for t in texts.to_pylist()], self.n, self.unit)
-            key, rest = _spread(low), [grams.astype(np.uint32), first + self.bytes, (end - first).astype(np.uint32)]
+            key, rest = _spread(low), [grams.astype(np.uint32), (first + self.bytes).astype(np.uint32), (end - first).astype(np.uint32)]
             self.grams, self.bytes = self.grams + int(grams.sum()), self.bytes + len(data)
             self.data.append(data)
         bucket = ((key >> np.uint64(32)) % np.uint64(self.buckets)).astype(np.uint16)
@@ -295,9 +295,12 @@ class Chunk:
         # By its place and not at random: a task that runs once more sends the same.
         place = TaskContext.get().partitionId()
         number = (place << 32) + self.count
-        bucket, read, *rest = (np.concatenate(x) for x in zip(*self.cut, strict=True))
-        order = np.argsort(bucket, kind="stable")            # reads ascend within a bucket
-        bucket, read, rest = bucket[order], read[order], [x[order] for x in rest]
+        own, self.cut = [list(x) for x in zip(*self.cut, strict=True)], []
+        order = np.argsort(np.concatenate(own[0]), kind="stable")        # reads ascend within a bucket
+        for i, x in enumerate(own):                          # one by one, as all would take much memory
+            own[i] = np.concatenate(x)[order]
+            x.clear()
+        bucket, read, *rest = own
         cut = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(bucket) else order
         ids = pa.concat_arrays(self.ids)
         lists = pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids)
@@ -312,7 +315,7 @@ class Chunk:
                 else:
                     size, first, long = (x[a:b] for x in rest)
                     upto = np.cumsum(long, dtype=np.int64)
-                    at = np.repeat(first - upto + long, long) + np.arange(upto[-1])
+                    at = np.repeat(first.astype(np.int64) - upto + long, long) + np.arange(upto[-1])
                     head, body, grams = pack(_steps(read[a:b]), long), pack(text[at]), int(size.sum())
                 own.append((number, int(bucket[a]), grams, b - a, head, body))
             yield _rows(*zip(*own, strict=True), pa.nulls(len(own), lists.type))
